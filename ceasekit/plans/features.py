@@ -151,38 +151,30 @@ def validate_one_hot(gold: DataFrame, prefixes=ONE_HOT_PREFIXES) -> DataFrame:
     return gold.agg(*aggs).select(F.inline(F.array(*rows)))
 
 
+def pearson(a, b) -> Column:
+    """Pearson r over rows where both are non-null (pairwise), from the stable
+    central-moment aggregates; zero variance gives NaN (as pandas), not an error."""
+    x, y = F.col(a).cast("double"), F.col(b).cast("double")
+    both = x.isNotNull() & y.isNotNull()
+    den = F.stddev_samp(F.when(both, x)) * F.stddev_samp(F.when(both, y))
+    return F.when(den == 0, F.lit(float("nan"))).otherwise(F.try_divide(F.covar_samp(x, y), den))
+
+
 def numeric_columns(df: DataFrame, exclude=()) -> list[str]:
     num = ("int", "bigint", "double", "float", "smallint", "tinyint")
     return [n for n, t in df.dtypes if t in num and n not in exclude]
 
 
-def correlation_matrix(df: DataFrame, columns=None, chunk: int = 150) -> DataFrame:
-    """Pearson r of every column pair (a before b), nulls skipped pairwise.
-
-    ``corr`` aggregates in chunks of one ``agg`` each (keeps generated code small);
-    each chunk is one scan with partial aggregation.
-    """
-    columns = columns or numeric_columns(df)
-    pairs = list(combinations(columns, 2))
-    parts = []
-    for k in range(0, len(pairs), chunk):
-        part = pairs[k:k + chunk]
-        agg = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{i}")
-                       for i, (a, b) in enumerate(part)])
-        parts.append(agg.select(F.inline(F.array(*[
-            F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r{i}").alias("r"))
-            for i, (a, b) in enumerate(part)]))))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def correlation_matrix(df: DataFrame, columns=None) -> DataFrame:
+    """Pearson r of every numeric column pair, long form (a, b, r)."""
+    from ceasekit.operators.stats import pairwise_pearson
+    return pairwise_pearson(df, columns or numeric_columns(df))
 
 
 def target_correlation(df: DataFrame, target: str = "churned", columns=None) -> DataFrame:
     """r of every feature with the label, strongest positive first."""
     columns = [c for c in (columns or numeric_columns(df)) if c != target]
-    agg = df.agg(*[F.corr(F.col(target).cast("double"), F.col(c).cast("double")).alias(f"r{i}")
-                   for i, c in enumerate(columns)])
+    agg = df.agg(*[pearson(target, c).alias(f"r{i}") for i, c in enumerate(columns)])
     return agg.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"r{i}").alias("r"))
                                          for i, c in enumerate(columns)]))).orderBy(F.col("r").desc_nulls_last())
 
