@@ -169,4 +169,4 @@ def with_ctes(select_sql: str) -> str:
             visit(n)
     if not order:
         return select_sql
-    return "WITH " + ",\n".join(f"{n} AS ({defs[n]}\n)" for n in order) + "\n" + select_sql
+    return "WITH RECURSIVE " + ",\n".join(f"{n} AS ({defs[n]}\n)" for n in order) + "\n" + select_sql

@@ -17,15 +17,16 @@ def overall_rate(raw_info: DataFrame, cfg: ChurnConfig = DEFAULT) -> DataFrame:
 
 
 def rate_by_category(df: DataFrame, by, cfg: ChurnConfig = DEFAULT, with_overall: bool = False,
-                     name: str | None = None) -> DataFrame:
-    """Customers, churn rate and share of all customers per value of ``by``.
+                     name: str | None = None, extra: tuple = ()) -> DataFrame:
+    """Customers, churn rate and share of all customers per value of ``by``
+    (plus any ``extra`` key columns, e.g. a bucket ordinal).
 
     The share is computed after the aggregate (a window over the few result rows),
     not by a separate ``count()`` job. ``with_overall`` adds the overall rate instead.
     """
     col = F.col(by) if isinstance(by, str) else by
     name = name or (by if isinstance(by, str) else "category")
-    g = df.groupBy(col.alias(name)).agg(
+    g = df.groupBy(col.alias(name), *extra).agg(
         F.count(F.lit(1)).alias("total_customers"),
         F.sum(cfg.label_col).alias("_churned"))
     everyone = Window.partitionBy()
@@ -39,3 +40,158 @@ def rate_by_category(df: DataFrame, by, cfg: ChurnConfig = DEFAULT, with_overall
                          F.try_divide(F.col("total_customers") * F.lit(100.0),
                                       F.sum("total_customers").over(everyone)))
     return g.drop("_churned")
+
+
+def rate_by_value_in_range(raw_info: DataFrame, c: str, lo: float, hi: float,
+                           cfg: ChurnConfig = DEFAULT) -> DataFrame:
+    """P5: per value of ``c`` within [lo, hi] (non-null): churn rate and customers."""
+    return (raw_info.where(F.col(c).isNotNull() & F.col(c).between(lo, hi))
+            .groupBy(c).agg(F.avg(cfg.label_col).cast("double").alias("churn_rate"),
+                            F.count(F.lit(1)).alias("customer_count")))
+
+
+def min_size_buckets(raw_info: DataFrame, c: str = "ooc_days", lo: float = -170, hi: float = -80,
+                     min_size: int = 1000, cfg: ChurnConfig = DEFAULT) -> DataFrame:
+    """Walk the values of ``c`` in [lo, hi] in order and close a bucket as soon
+    as it holds at least ``min_size`` customers; the last partial bucket is kept.
+
+    Rows are first aggregated per value (partial aggregation on the cluster); the
+    greedy walk is a fold (``aggregate``) over the sorted per-value rows, whose
+    number is bounded by the distinct values in the range, not by the rows.
+    Output: bucket, ooc_mid (plain mean of the values), churn_rate (weighted), n.
+    """
+    per = (raw_info.where(F.col(c).isNotNull() & F.col(c).between(lo, hi))
+           .groupBy(F.col(c).cast("double").alias("v"))
+           .agg(F.count(F.lit(1)).alias("n"), F.sum(cfg.label_col).cast("double").alias("s")))
+    bucket_t = "array<struct<ooc_mid:double,churn_rate:double,n:bigint>>"
+    init = F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0.0).alias("s"), F.lit(0.0).alias("ds"),
+                    F.lit(0).cast("bigint").alias("dc"), F.array().cast(bucket_t).alias("out"))
+
+    def bucket(n, s, ds, dc):
+        return F.struct(F.try_divide(ds, dc.cast("double")).alias("ooc_mid"),
+                        F.try_divide(s, n.cast("double")).alias("churn_rate"), n.alias("n"))
+
+    def step(acc, x):
+        n, s = acc["n"] + x["n"], acc["s"] + x["s"]
+        ds, dc = acc["ds"] + x["v"], acc["dc"] + 1
+        close = n >= min_size
+        return F.struct(F.when(close, F.lit(0).cast("bigint")).otherwise(n).alias("n"),
+                        F.when(close, F.lit(0.0)).otherwise(s).alias("s"),
+                        F.when(close, F.lit(0.0)).otherwise(ds).alias("ds"),
+                        F.when(close, F.lit(0).cast("bigint")).otherwise(dc).alias("dc"),
+                        F.when(close, F.array_append(acc["out"], bucket(n, s, ds, dc))).otherwise(acc["out"])
+                        .alias("out"))
+
+    def finish(acc):
+        return F.when(acc["n"] > 0, F.array_append(acc["out"], bucket(acc["n"], acc["s"], acc["ds"], acc["dc"]))) \
+            .otherwise(acc["out"])
+
+    folded = per.agg(F.aggregate(F.array_sort(F.collect_list(F.struct("v", "n", "s"))), init, step, finish)
+                     .alias("b"))
+    return folded.select(F.posexplode("b").alias("pos", "x")).select(
+        (F.col("pos") + 1).cast("int").alias("bucket"), "x.ooc_mid", "x.churn_rate", "x.n")
+
+
+def quantile_edges(df: DataFrame, c: str, probs, exact: bool = True, rel_error: float = 0.01) -> Column:
+    """Quantile edges of ``c`` as an array Column (a scalar subquery).
+
+    ``exact``: ``percentile`` with linear interpolation (memory grows with distinct
+    values); else ``percentile_approx`` (bounded sketch, relative error
+    ``rel_error``), the same estimator family as ``approxQuantile``. Nulls skipped.
+    """
+    x = F.col(c).cast("double")
+    arr = F.array(*[F.lit(float(p)) for p in probs])
+    if exact:
+        agg = F.percentile(x, arr)
+    else:
+        agg = F.percentile_approx(x, arr, int(1 / rel_error)).cast("array<double>")
+    return df.where(F.col(c).isNotNull() & ~F.isnan(x)).select(agg).scalar()
+
+
+DECILES = tuple(round(0.1 * i, 1) for i in range(1, 10))
+
+
+def rate_by_quantile_bucket(raw_info: DataFrame, c: str, digits: int, exact: bool = True,
+                            cfg: ChurnConfig = DEFAULT) -> DataFrame:
+    """Deciles of ``c`` as buckets ``0-q1`` ... ``q9+`` and ``Missing``."""
+    from ceasekit.functions.buckets import quantile_bucket
+    e = quantile_edges(raw_info, c, DECILES, exact)
+    edges = [F.element_at(e, i + 1) for i in range(len(DECILES))]
+    label, order = quantile_bucket(c, edges, digits)
+    b = raw_info.select(label.alias(f"{c}_bucket"), order.alias("bucket_order"), cfg.label_col)
+    return rate_by_category(b, f"{c}_bucket", cfg, extra=("bucket_order",))
+
+
+def rate_by_fixed_bucket(raw_info: DataFrame, c: str = "line_speed", compat: bool = False,
+                         cfg: ChurnConfig = DEFAULT) -> DataFrame:
+    """Line-speed buckets by tens (see ``line_speed_bucket``)."""
+    from ceasekit.functions.buckets import line_speed_bucket, line_speed_bucket_order
+    g = rate_by_category(raw_info, line_speed_bucket(c, compat), cfg, name=f"{c}_bucket")
+    return g.withColumn("bucket_order", line_speed_bucket_order(f"{c}_bucket"))
+
+
+def with_flag(raw_info: DataFrame, facts: DataFrame, name: str, cfg: ChurnConfig = DEFAULT) -> DataFrame:
+    from ceasekit.operators.relational import existence_flag
+    return existence_flag(raw_info.select(cfg.id_col, cfg.label_col), facts, [cfg.id_col], name)
+
+
+def rate_by_flag(raw_info: DataFrame, facts: DataFrame, name: str, cfg: ChurnConfig = DEFAULT) -> DataFrame:
+    """Churn rate and customers by whether the customer has any row in ``facts``."""
+    f = with_flag(raw_info, facts, name, cfg)
+    return f.groupBy(name).agg(F.avg(cfg.label_col).cast("double").alias("churn_rate"),
+                               F.count(F.lit(1)).alias("customer_count"))
+
+
+def flag_label_crosstab(raw_info: DataFrame, facts: DataFrame, name: str, cfg: ChurnConfig = DEFAULT) -> DataFrame:
+    """P10: flag x label counts with margins."""
+    from ceasekit.operators.stats import crosstab_with_margins
+    return crosstab_with_margins(with_flag(raw_info, facts, name, cfg), name, cfg.label_col, [0, 1])
+
+
+def rate_by_usage_bucket(obs: DataFrame, usage_obs_month: DataFrame, cfg: ChurnConfig = DEFAULT) -> DataFrame:
+    """Churn rate and customers per usage-day bucket of the observation month."""
+    from ceasekit.functions.buckets import usage_bucket_label
+    from ceasekit.plans.features import usage_days
+    d = usage_days(usage_obs_month, cfg)
+    j = obs.select(cfg.id_col, cfg.behav_col, cfg.label_col).join(d, cfg.id_col, "left")
+    lab = usage_bucket_label(F.coalesce(F.col("usage_days"), F.lit(0)), cfg.behav_col)
+    return j.groupBy(lab.alias("usage_bucket")).agg(F.avg(cfg.label_col).cast("double").alias("churn_rate"),
+                                                     F.count(F.lit(1)).alias("customer_count"))
+
+
+def qcut(df: DataFrame, c: str, q: int = 10, name: str = "bucket") -> DataFrame:
+    """A10: equal-frequency buckets 0..k-1 with duplicate edges dropped.
+
+    Edges are the exact quantiles 0, 1/q, ..., 1 (linear interpolation); a value
+    goes to the number of distinct inner edges below it (right-closed bins, the
+    lowest value in bucket 0). Null values get a null bucket.
+    """
+    probs = [i / q for i in range(q + 1)]
+    e = F.array_distinct(quantile_edges(df, c, probs, exact=True))
+    inner = F.slice(e, 2, F.greatest(F.size(e) - 2, F.lit(0)))
+    x = F.col(c).cast("double")
+    # fixed positions instead of a lambda: the edges are a scalar subquery, which
+    # higher-order functions may not contain
+    b = sum((F.coalesce((F.try_element_at(inner, F.lit(k)) < x).cast("int"), F.lit(0)) for k in range(2, q)),
+            F.coalesce((F.try_element_at(inner, F.lit(1)) < x).cast("int"), F.lit(0)))
+    return df.withColumn(name, F.when(x.isNull(), F.lit(None)).otherwise(b).cast("int"))
+
+
+def rate_by_usage_decile(obs: DataFrame, usage_obs_month: DataFrame, measure: str,
+                         cfg: ChurnConfig = DEFAULT, q: int = 10) -> DataFrame:
+    """Total of ``measure`` per customer in the observation month (0 without
+    usage), cut into ``q`` equal-frequency buckets: churn rate, customers, min, max."""
+    tot = usage_obs_month.groupBy(cfg.id_col).agg(F.sum(measure).alias("total"))
+    j = obs.select(cfg.id_col, cfg.label_col).join(tot, cfg.id_col, "left") \
+        .withColumn("total", F.coalesce(F.col("total"), F.lit(0.0)))
+    b = qcut(j, "total", q, "usage_bucket")
+    return b.groupBy("usage_bucket").agg(F.avg(cfg.label_col).cast("double").alias("churn_rate"),
+                                         F.count(F.lit(1)).alias("customer_count"),
+                                         F.min("total").alias("min_usage_mb"), F.max("total").alias("max_usage_mb"))
+
+
+def tenure_summary(raw_info: DataFrame, c: str = "tenure_days", exact: bool = True) -> DataFrame:
+    """Summary statistics and the number of distinct values."""
+    from ceasekit.operators.stats import summary_stats
+    s = summary_stats(raw_info, c, exact)
+    return s.withColumn("distinct_values", raw_info.select(F.count_distinct(c)).scalar())
