@@ -1 +1,188 @@
-"""Registered queries."""
+"""Registered queries: splits, metrics and model training."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ceasekit.catalog import query
+from ceasekit.catalog.study import study
+from ceasekit.functions.keys import uniform
+from ceasekit.oracle_sql import register
+from ceasekit.operators.ranking import auc
+from ceasekit.plans import model as M
+
+ID = "unique_customer_identifier"
+
+
+def _u_sql(*parts: str) -> str:
+    return (f"CAST(CAST(('0x' || substr(md5(concat_ws('|', {', '.join(parts)})), 1, 8)) AS BIGINT) AS DOUBLE)"
+            f" / 4294967296.0")
+
+
+SPLIT_SQL = (f"CASE WHEN {_u_sql(ID, chr(39) + '42' + chr(39))} < 0.6 THEN 'train' "
+             f"WHEN {_u_sql(ID, chr(39) + '42' + chr(39))} < 0.8 THEN 'val' ELSE 'test' END")
+PART_SQL = (f"CASE WHEN split <> 'train' THEN split "
+            f"WHEN {_u_sql(ID, chr(39) + 'monitor' + chr(39), chr(39) + '42' + chr(39))} < 0.1 THEN 'monitor' "
+            f"ELSE 'fit' END")
+register("gold_split", f"SELECT {ID}, churned, {SPLIT_SQL} AS split FROM gold")
+register("gold_parts", f"SELECT *, {PART_SQL} AS part FROM gold_split")
+register("scored_fixture", f"""
+SELECT {ID}, churned, split, {PART_SQL} AS part, score, CASE WHEN score >= 0.5 THEN 1 ELSE 0 END AS predicted
+FROM (SELECT {ID}, churned, {SPLIT_SQL} AS split,
+             {_u_sql(ID, 'CAST(behav_win AS VARCHAR)', chr(39) + '42' + chr(39))} AS score FROM raw_info)""")
+
+
+def _parts(s):
+    return M.early_stop_carve(M.stratified_split(s.gold.select(ID, "churned"), 42), 42)
+
+
+def scored_fixture(s):
+    """A fixed score per customer (md5 of id|month|seed), for metric checks."""
+    r = s.raw_info.select(ID, "churned", "behav_win")
+    sc = M.early_stop_carve(M.stratified_split(r, 42), 42)
+    u = uniform(ID, "behav_win", seed=42)
+    return sc.select(ID, "churned", "split", "part", u.alias("score"),
+                     F.when(u >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
+@query("m1_stratified_split", "SELECT * FROM gold_split")
+def m1(spark, d):
+    return M.stratified_split(study(spark, d).gold.select(ID, "churned"), 42)
+
+
+@query("m2_early_stop_carve", "SELECT * FROM gold_parts")
+def m2(spark, d):
+    return _parts(study(spark, d))
+
+
+@query("m3_split_report", "SELECT part, count(*) AS rows, CAST(avg(churned) AS DOUBLE) AS churn_rate FROM gold_parts GROUP BY 1")
+def m3(spark, d):
+    return M.split_report(_parts(study(spark, d)))
+
+
+@query("m4_class_weight", """
+SELECT CAST(count_if(churned = 0) AS DOUBLE) / count_if(churned = 1) AS scale_pos_weight FROM gold_parts WHERE part = 'fit'""")
+def m4(spark, d):
+    return M.class_weight(_parts(study(spark, d)))
+
+
+@query("m5_select_features")
+def m5(spark, d):
+    g = study(spark, d).gold
+    rows = [("full", c) for c in M.select_features(g.columns)] + \
+           [("reduced", c) for c in M.select_features(g.columns, reduced=True)]
+    return spark.createDataFrame(rows, "model string, feature string")
+
+
+@query("m9_auc", """
+SELECT split, (sum(CASE WHEN churned = 1 THEN r END) - p * (p + 1) / 2.0) / (p * n) AS auc,
+       CAST(p AS BIGINT) AS positives, CAST(n AS BIGINT) AS negatives
+FROM (SELECT split, churned,
+             rank() OVER (PARTITION BY split ORDER BY score) + (count(*) OVER (PARTITION BY split, score) - 1) / 2.0 AS r,
+             count_if(churned = 1) OVER (PARTITION BY split) AS p, count_if(churned = 0) OVER (PARTITION BY split) AS n
+      FROM scored_fixture)
+GROUP BY split, p, n""")
+def m9(spark, d):
+    return auc(scored_fixture(study(spark, d)), "score", "churned", ["split"])
+
+
+def _report_sql() -> str:
+    c = ("SELECT split, count_if(churned = 0 AND predicted = 0) AS c00, count_if(churned = 0 AND predicted = 1) AS c01, "
+         "count_if(churned = 1 AND predicted = 0) AS c10, count_if(churned = 1 AND predicted = 1) AS c11 "
+         "FROM scored_fixture WHERE split IN ('val', 'test') GROUP BY 1")
+    cls = []
+    for k in (0, 1):
+        o = 1 - k
+        tp, fp, fn = f"c{k}{k}", f"c{o}{k}", f"c{k}{o}"
+        prec = f"COALESCE(CAST({tp} AS DOUBLE) / NULLIF({tp} + {fp}, 0), 0.0)"
+        rec = f"COALESCE(CAST({tp} AS DOUBLE) / NULLIF({tp} + {fn}, 0), 0.0)"
+        cls.append(f"SELECT split, '{k}' AS metric, {prec} AS precision, {rec} AS recall, "
+                   f"COALESCE(2 * {prec} * {rec} / NULLIF({prec} + {rec}, 0), 0.0) AS f1, "
+                   f"CAST({tp} + {fn} AS DOUBLE) AS support FROM cm")
+    per = " UNION ALL ".join(cls)
+    return f"""
+SELECT * FROM (
+  WITH cm AS ({c}), per AS ({per}), tot AS (SELECT split, CAST(c00 + c01 + c10 + c11 AS DOUBLE) AS total, c00 + c11 AS hit FROM cm)
+  SELECT * FROM per
+  UNION ALL SELECT split, 'accuracy', NULL, NULL, hit / total, total FROM tot
+  UNION ALL SELECT split, 'macro avg', avg(precision), avg(recall), avg(f1), (SELECT total FROM tot t WHERE t.split = per.split) FROM per GROUP BY split
+  UNION ALL SELECT p.split, 'weighted avg', sum(precision * support) / t.total, sum(recall * support) / t.total,
+                   sum(f1 * support) / t.total, t.total FROM per p JOIN tot t USING (split) GROUP BY p.split, t.total)"""
+
+
+@query("m10_classification_report", _report_sql())
+def m10(spark, d):
+    sc = scored_fixture(study(spark, d)).where(F.col("split").isin("val", "test"))
+    return M.classification_report(sc, by=("split",))
+
+
+def trained(spark, d, reduced: bool = False):
+    s = study(spark, d)
+    key = "_model_reduced" if reduced else "_model_full"
+    if not hasattr(s, key):
+        setattr(s, key, M.train_boosted_trees(s.gold, M.MODEL_2 if reduced else M.MODEL_1, reduced))
+    return getattr(s, key)
+
+
+def _train_summary(spark, tm, name):
+    return spark.createDataFrame(
+        [(name, int(tm.model.getNumTrees), len(tm.features), float(tm.scale_pos_weight),
+          int(tm.model.totalNumNodes))],
+        "model string, trees int, features int, scale_pos_weight double, total_nodes int")
+
+
+@query("m6_train_boosted_trees")
+def m6(spark, d):
+    return _train_summary(spark, trained(spark, d), "full")
+
+
+@query("m6_train_boosted_trees_reduced")
+def m6b(spark, d):
+    return _train_summary(spark, trained(spark, d, True), "reduced")
+
+
+@query("m7_learning_curve")
+def m7(spark, d):
+    return M.learning_curve(trained(spark, d))
+
+
+@query("m8_cross_validate")
+def m8(spark, d):
+    tm = trained(spark, d)
+    return M.cross_validate(tm, M.best_trees(tm))
+
+
+@query("m9_model_auc")
+def m9m(spark, d):
+    return auc(M.score(trained(spark, d)), "score", "churned", ["part"])
+
+
+@query("m10_model_classification_report")
+def m10m(spark, d):
+    return M.classification_report(M.score(trained(spark, d)).where(F.col("part").isin("val", "test")))
+
+
+@query("m11_feature_importance")
+def m11(spark, d):
+    return M.feature_importance(trained(spark, d))
+
+
+@query("m12_run_summary")
+def m12(spark, d):
+    tm = trained(spark, d)
+    sc = M.score(tm)
+    a = {r["part"]: r["auc"] for r in auc(sc, "score", "churned", ["part"]).collect()}
+    sizes = {r["part"]: r["rows"] for r in M.split_report(tm.data).collect()}
+    p = tm.params
+    return M.run_summary(spark, {
+        "rows": sum(sizes.values()), "features": len(tm.features), "fit_rows": sizes.get("fit", 0),
+        "monitor_rows": sizes.get("monitor", 0), "val_rows": sizes.get("val", 0), "test_rows": sizes.get("test", 0),
+        "trees": tm.model.getNumTrees, "best_trees": M.best_trees(tm), "val_auc": a.get("val"), "test_auc": a.get("test"),
+        "learning_rate": p.learning_rate, "max_depth": p.max_depth, "row_sample": p.row_sample,
+        "column_sample": p.column_sample, "min_rows_per_leaf": p.min_rows_per_leaf,
+        "scale_pos_weight": round(tm.scale_pos_weight, 6)})
+
+
+@query("m13_score_customers")
+def m13(spark, d):
+    return M.score(trained(spark, d))
