@@ -21,10 +21,16 @@ def query(name: str, sql: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
         if sql is not None:
-            SQL[name] = with_ctes(sql)
+            SQL[name] = sql
         return fn
     return deco
 
 
+def oracle(name: str) -> str:
+    """The DuckDB SQL of ``name`` with the CTEs it needs (resolved after all loads)."""
+    return with_ctes(SQL[name])
+
+
 def load_all() -> None:
     from ceasekit.catalog import base, features, model, observation, profiles, quality, sources  # noqa: F401
+    base.register_aliases()
