@@ -157,11 +157,12 @@ def j1(spark, d):
 
 
 @query("j3_left_join", f"""
-SELECT r.{ID}, r.churned, u.usage_days FROM raw_info r LEFT JOIN usage_days_a u ON r.{ID} = u.{ID}""")
+SELECT r.{ID}, r.churned, CAST(u.usage_days AS DOUBLE) AS usage_days FROM raw_info r LEFT JOIN usage_days_a u ON r.{ID} = u.{ID}""")
 def j3(spark, d):
     from ceasekit.plans.features import usage_days
     s = study(spark, d)
-    return s.raw_info.select(ID, "churned").join(usage_days(s.usage_behav_month, s.cfg), ID, "left")
+    return s.raw_info.select(ID, "churned").join(usage_days(s.usage_behav_month, s.cfg), ID, "left") \
+        .withColumn("usage_days", F.col("usage_days").cast("double"))
 
 
 @query("j4_left_anti", f"SELECT DISTINCT {ID} FROM customer_info WHERE {ID} NOT IN (SELECT {ID} FROM calls)")
