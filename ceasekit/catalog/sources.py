@@ -1 +1,107 @@
-"""Registered queries."""
+"""Registered queries: sources and sinks (S1-S13) and incremental landing."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, IntegerType, StringType, StructField, StructType
+
+from ceasekit.catalog import query
+from ceasekit.catalog.study import study
+from ceasekit.functions.keys import order_key
+from ceasekit.plans import observation as OB
+from ceasekit.sources import io as IO
+from ceasekit.streaming.ingest import land_files
+
+ID = "unique_customer_identifier"
+CEASE_SCHEMA = StructType([StructField(ID, StringType()), StructField("cease_placed_date", DateType()),
+                           StructField("cease_completed_date", DateType()),
+                           StructField("reason_description_insight", StringType())])
+
+
+@query("s1_csv_scan", "SELECT * FROM cease")
+def s1(spark, d):
+    s = study(spark, d)
+    path = IO.export_csv(s.cease, IO.scratch_path(spark, "cease-csv"))
+    return IO.read_csv(spark, path, CEASE_SCHEMA)
+
+
+@query("s2_parquet_scan", "SELECT c_custkey, c_mktsegment, c_acctbal FROM customer WHERE c_acctbal > 0")
+def s2(spark, d):
+    c = IO.read_parquet(spark, f"{d}/customer.parquet")
+    return c.where(F.col("c_acctbal") > 0).select("c_custkey", "c_mktsegment", "c_acctbal")
+
+
+@query("s3_s4_table_write_scan", "SELECT * FROM raw_info")
+def s3(spark, d):
+    s = study(spark, d)
+    IO.create_namespace(spark, "ceasekit_check")
+    name = "ceasekit_check.raw_info"
+    IO.drop_table(spark, name)
+    IO.write_table(s.raw_info, name, IO.scratch_path(spark, "raw-info"))
+    return IO.read_table(spark, name)
+
+
+@query("s7_csv_export", f"""
+SELECT u.{ID}, min(u.calendar_date) AS first_usage_date, max(u.calendar_date) AS last_usage_date, c.cease_placed_date,
+       CAST(date_diff('day', max(u.calendar_date), c.cease_placed_date) AS INTEGER) AS days_diff_usage_to_cease
+FROM usage u JOIN cease c ON u.{ID} = c.{ID} GROUP BY u.{ID}, c.cease_placed_date""")
+def s7(spark, d):
+    from ceasekit.plans.quality import usage_to_event_gap
+    s = study(spark, d)
+    g = usage_to_event_gap(s.usage, s.cease, ID, "calendar_date", "cease_placed_date")
+    path = IO.export_csv(g, IO.scratch_path(spark, "gap-csv"))
+    return IO.read_csv(spark, path, f"{ID} string, first_usage_date date, last_usage_date date, "
+                                    "cease_placed_date date, days_diff_usage_to_cease int")
+
+
+@query("s8_rewrite_deduplicated", """
+SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY unique_customer_identifier
+  ORDER BY behav_win, reason_description_insight NULLS FIRST) AS rn FROM churned_baseline) WHERE rn = 1""")
+def s8(spark, d):
+    s = study(spark, d)
+    IO.create_namespace(spark, "ceasekit_check")
+    name = "ceasekit_check.churned_baseline"
+    IO.drop_table(spark, name)
+    root = IO.scratch_path(spark, "churned")
+    IO.write_table(OB.churned_baseline(s.info, s.cease, s.cfg), name, f"{root}/v-0")
+    return IO.rewrite_deduplicated(spark, name, ID, "behav_win", root)
+
+
+@query("s9_preview")
+def s9(spark, d):
+    return IO.preview(study(spark, d).info, 25)
+
+
+@query("s10_random_sample", f"""
+SELECT * FROM raw_info
+ORDER BY CAST(('0x' || substr(md5(concat_ws('|', {ID}, '42')), 1, 15)) AS BIGINT), {ID} LIMIT 20""")
+def s10(spark, d):
+    return IO.sample_n(study(spark, d).raw_info, 20, [ID], seed=42)
+
+
+@query("s11_schema_report")
+def s11(spark, d):
+    return IO.schema_report(study(spark, d).info)
+
+
+@query("s13_typed_cleansing", f"""
+SELECT 'unique_customer_identifier' AS column_name, 0 AS rejected
+UNION ALL SELECT 'cease_placed_date', 0 UNION ALL SELECT 'cease_completed_date', 0
+UNION ALL SELECT 'reason_description_insight', count(reason_description_insight) FROM cease""")
+def s13(spark, d):
+    s = study(spark, d)
+    path = IO.export_csv(s.cease, IO.scratch_path(spark, "cease-text"))
+    text = IO.read_csv(spark, path, ", ".join(f"`{f.name}` string" for f in CEASE_SCHEMA.fields))
+    declared = StructType(CEASE_SCHEMA.fields[:3] + [StructField("reason_description_insight", IntegerType())])
+    _, report = IO.typed_cleanse(text, declared)
+    return report.withColumn("rejected", F.col("rejected").cast("int"))
+
+
+@query("st1_stream_land_usage", "SELECT * FROM usage")
+def st1(spark, d):
+    s = study(spark, d)
+    src = IO.scratch_path(spark, "usage-files")
+    s.usage.write.mode("overwrite").parquet(src)
+    target = IO.scratch_path(spark, "usage-bronze")
+    land_files(spark, src, s.usage.schema, target, IO.scratch_path(spark, "usage-stream-ckpt"))
+    return spark.read.schema(s.usage.schema).parquet(target)
