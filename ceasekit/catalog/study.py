@@ -18,6 +18,19 @@ from ceasekit.sources import fixtures as FX
 
 CFG = FX.FIXTURE_CONFIG
 _MEMO: dict = {}
+_BRONZE: dict = {}
+
+
+def bronze(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """Derived input table ``name``, landed once per session as parquet under the
+    checkpoint folder (the bronze layer) and read from there afterwards."""
+    from ceasekit.sources.io import scratch_path
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _BRONZE:
+        path = scratch_path(spark, f"bronze-{name}")
+        build(spark, sf_dir).write.mode("overwrite").parquet(path)
+        _BRONZE[key] = path
+    return spark.read.parquet(_BRONZE[key])
 
 
 class Study:
@@ -29,27 +42,27 @@ class Study:
 
     @cached_property
     def cease(self) -> DataFrame:
-        return FX.cease(self.spark, self.sf_dir)
+        return bronze(self.spark, self.sf_dir, "cease", FX.cease)
 
     @cached_property
     def info(self) -> DataFrame:
-        return FX.customer_info(self.spark, self.sf_dir)
+        return bronze(self.spark, self.sf_dir, "customer_info", FX.customer_info)
 
     @cached_property
     def calls(self) -> DataFrame:
-        return FX.calls(self.spark, self.sf_dir)
+        return bronze(self.spark, self.sf_dir, "calls", FX.calls)
 
     @cached_property
     def usage(self) -> DataFrame:
-        return FX.usage(self.spark, self.sf_dir)
+        return bronze(self.spark, self.sf_dir, "usage", FX.usage)
 
     @cached_property
     def obs_b(self) -> DataFrame:
-        return FX.observation_b(self.spark, self.sf_dir)
+        return bronze(self.spark, self.sf_dir, "observation_b", FX.observation_b)
 
     @cached_property
     def usage_b(self) -> DataFrame:
-        return FX.usage_b(self.spark, self.sf_dir)
+        return bronze(self.spark, self.sf_dir, "usage_b", FX.usage_b)
 
     @cached_property
     def raw_info_plan(self) -> DataFrame:
