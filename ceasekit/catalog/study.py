@@ -1,8 +1,9 @@
 """The derived study tables of one test-data directory, built lazily on Spark.
 
-Silver and gold are checkpointed (reliable checkpoint directory of the session)
-once per session and directory, so the many small profile queries do not
-recompute the whole lineage; the checkpoint also cuts lineage for recovery.
+Derived inputs (bronze), silver and gold are written as parquet under the
+session's shared checkpoint folder and read back, once per session and
+directory, so the many small profile queries do not recompute the whole
+lineage; the written table also cuts lineage for recovery.
 """
 
 from __future__ import annotations
@@ -13,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ceasekit.plans import features as FE
 from ceasekit.plans import observation as OB
-from ceasekit.session import ensure_checkpoint_dir
 from ceasekit.sources import fixtures as FX
 
 CFG = FX.FIXTURE_CONFIG
@@ -28,7 +28,10 @@ def bronze(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _BRONZE:
         path = scratch_path(spark, f"bronze-{name}")
-        build(spark, sf_dir).write.mode("overwrite").parquet(path)
+        df = build(spark, sf_dir)
+        # files clustered by customer: parallel reads, and each customer's rows together
+        df.repartition(spark.sparkContext.defaultParallelism, CFG.id_col) \
+            .write.mode("overwrite").parquet(path)
         _BRONZE[key] = path
     return spark.read.parquet(_BRONZE[key])
 
@@ -68,10 +71,17 @@ class Study:
     def raw_info_plan(self) -> DataFrame:
         return OB.observation_set(self.info, self.cease, self.cfg)
 
+    def _landed(self, name: str, df: DataFrame) -> DataFrame:
+        """Write ``df`` once as parquet under the shared checkpoint folder and read it
+        back: one computation, lineage cut (``checkpoint()`` would compute twice)."""
+        from ceasekit.sources.io import scratch_path
+        path = scratch_path(self.spark, name)
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
+
     @cached_property
     def raw_info(self) -> DataFrame:
-        ensure_checkpoint_dir(self.spark)
-        return self.raw_info_plan.checkpoint()
+        return self._landed("silver-raw-info", self.raw_info_plan)
 
     @cached_property
     def usage_behav_month(self) -> DataFrame:
@@ -80,7 +90,7 @@ class Study:
     @cached_property
     def gold(self) -> DataFrame:
         g = FE.gold_dataset(self.raw_info, self.usage_behav_month, self.calls, self.cfg)
-        return g.checkpoint()
+        return self._landed("gold", g)
 
 
 def study(spark: SparkSession, sf_dir: str) -> Study:

@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 def summary_stats(df: DataFrame, c: str, exact: bool = True, accuracy: int = 10000) -> DataFrame:
     """Count, mean, sample stddev, min, quartiles, max of one column in one pass.
 
-    ``exact`` uses ``percentile`` (linear interpolation; memory grows with the
-    number of distinct values); otherwise ``percentile_approx`` (bounded sketch).
+    ``exact`` uses :func:`exact_quantiles` (linear interpolation, bounded
+    memory); otherwise ``percentile_approx`` (bounded sketch).
     """
     x = F.col(c).cast("double")
     if exact:
-        q = [F.percentile(x, p) for p in (0.25, 0.5, 0.75)]
+        e = exact_quantiles(df, c, (0.25, 0.5, 0.75)) or [None, None, None]
+        q = [F.lit(v).cast("double") for v in e]
     else:
         q = [F.percentile_approx(x, p, accuracy).cast("double") for p in (0.25, 0.5, 0.75)]
     return df.agg(F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("stddev"),
@@ -94,3 +95,71 @@ def pairwise_pearson(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     names = F.array(*[F.lit(c) for c in columns])
     return s.select(F.element_at(names, F.col("i") + 1).alias("a"), F.element_at(names, F.col("j") + 1).alias("b"),
                     r.alias("r"))
+
+
+SMALL_QUANTILE_INPUT = 200_000    # up to this many values one ``percentile`` task is bounded
+
+
+def exact_quantiles(df: DataFrame, c: str, probs: Sequence[float], accuracy: int = 100000,
+                    small: int = SMALL_QUANTILE_INPUT) -> list | None:
+    """Exact quantiles (linear interpolation at rank p*(n-1), as ``percentile``)
+    with bounded memory; returns the ``len(probs)`` numbers (like ``approxQuantile``),
+    or None when the column has no values.
+
+    1. Two small jobs: the row count and ``percentile_approx`` brackets around every
+       target rank (rank error <= n/accuracy, widened by two positions); the
+       2 x len(probs) bracket values return as literals, like ``approxQuantile``.
+    2. Rows become (value, count) pairs (a value repeated a billion times is one
+       row); only the pairs inside a bracket are kept, about 10*n/accuracy per
+       target whatever n is, plus one count of the values below each bracket.
+    3. A running count over each small bracket finds the two order statistics.
+    ``percentile`` keeps every distinct value in one task, so it is used only
+    when the count shows at most ``small`` values.
+    Nulls and NaN are skipped.
+    """
+    from pyspark import StorageLevel
+
+    x = F.col(c).cast("double")
+    # one column, read three times below: kept (memory, spilling to disk) meanwhile
+    data = df.select(x.alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x")) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _exact_quantiles(data, probs, accuracy, small)
+    finally:
+        data.unpersist()
+
+
+def _exact_quantiles(data: DataFrame, probs, accuracy: int, small: int):
+    import math
+
+    from pyspark.sql import Window
+
+    n = data.count()
+    if n == 0:
+        return None
+    if n <= small:
+        return list(data.select(F.percentile("_x", F.array(*[F.lit(float(p)) for p in probs]))).first()[0])
+    d = 5.0 / accuracy + 2.0 / n
+    k = len(probs)
+    lo_p = [max(0.0, p - d) for p in probs]
+    hi_p = [min(1.0, p + d) for p in probs]
+    b = data.select(F.percentile_approx("_x", F.array(*[F.lit(float(p)) for p in lo_p + hi_p]), accuracy)
+                    .cast("array<double>").alias("b")).first().b
+    lo, hi = b[:k], b[k:]
+    counts = data.groupBy("_x").agg(F.count(F.lit(1)).alias("_c"))
+    below = counts.select(F.inline(F.array(*[
+        F.struct(F.lit(j).alias("j"), F.when(F.col("_x") < F.lit(lo[j]), F.col("_c")).otherwise(0).alias("_b"))
+        for j in range(k)]))).groupBy("j").agg(F.sum("_b").alias("_below"))
+    tags = F.array(*[F.when(F.col("_x").between(F.lit(lo[j]), F.lit(hi[j])), F.lit(j)) for j in range(k)])
+    cand = counts.select(F.explode(tags).alias("j"), "_x", "_c").where(F.col("j").isNotNull())
+    run = Window.partitionBy("j").orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cand = cand.join(below, "j").withColumn("_cum", F.col("_below") + F.sum("_c").over(run))
+    ranks = [p * (n - 1) for p in probs]
+    i0 = F.element_at(F.array(*[F.lit(int(math.floor(r))) for r in ranks]), F.col("j") + 1)
+    i1 = F.element_at(F.array(*[F.lit(int(math.ceil(r))) for r in ranks]), F.col("j") + 1)
+    fr = F.element_at(F.array(*[F.lit(float(r - math.floor(r))) for r in ranks]), F.col("j") + 1)
+    per = cand.groupBy("j").agg(F.min(F.when(F.col("_cum") > i0, F.col("_x"))).alias("v0"),
+                                F.min(F.when(F.col("_cum") > i1, F.col("_x"))).alias("v1"), F.first(fr).alias("fr"))
+    per = per.withColumn("q", F.col("v0") + F.col("fr") * (F.col("v1") - F.col("v0")))
+    got = {r.j: r.q for r in per.select("j", "q").collect()}
+    return [got.get(j) for j in range(k)]

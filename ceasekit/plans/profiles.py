@@ -93,19 +93,22 @@ def min_size_buckets(raw_info: DataFrame, c: str = "ooc_days", lo: float = -170,
 
 
 def quantile_edges(df: DataFrame, c: str, probs, exact: bool = True, rel_error: float = 0.01) -> Column:
-    """Quantile edges of ``c`` as an array Column (a scalar subquery).
+    """Quantile edges of ``c`` as an array Column of literals.
 
-    ``exact``: ``percentile`` with linear interpolation (memory grows with distinct
-    values); else ``percentile_approx`` (bounded sketch, relative error
+    ``exact``: linear interpolation at rank p*(n-1) via :func:`exact_quantiles`
+    (bounded memory); else ``percentile_approx`` (bounded sketch, relative error
     ``rel_error``), the same estimator family as ``approxQuantile``. Nulls skipped.
     """
     x = F.col(c).cast("double")
-    arr = F.array(*[F.lit(float(p)) for p in probs])
     if exact:
-        agg = F.percentile(x, arr)
+        from ceasekit.operators.stats import exact_quantiles
+        q = exact_quantiles(df, c, probs)
     else:
-        agg = F.percentile_approx(x, arr, int(1 / rel_error)).cast("array<double>")
-    return df.where(F.col(c).isNotNull() & ~F.isnan(x)).select(agg).scalar()
+        q = df.select(x.alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x")) \
+            .approxQuantile("_x", list(probs), rel_error) or None
+    if not q:
+        return F.lit(None).cast("array<double>")
+    return F.array(*[F.lit(None).cast("double") if v is None else F.lit(float(v)) for v in q])
 
 
 DECILES = tuple(round(0.1 * i, 1) for i in range(1, 10))

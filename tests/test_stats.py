@@ -25,6 +25,16 @@ def test_exact_edges_match_numpy(spark):
     assert np.allclose(got, np.percentile(vals, [p * 100 for p in probs]))
 
 
+def test_exact_quantiles_bracket_path(spark):
+    from ceasekit.operators.stats import exact_quantiles
+    rng = np.random.default_rng(8)
+    vals = np.concatenate([rng.normal(size=3000), np.full(2000, 0.25)])
+    df = spark.createDataFrame(pd.DataFrame({"x": vals}))
+    probs = [0.0, 0.05, 0.3, 0.5, 0.77, 1.0]
+    got = exact_quantiles(df, "x", probs, accuracy=1000, small=0)    # force the bracket method
+    assert np.allclose(got, np.percentile(vals, [p * 100 for p in probs]))
+
+
 def test_min_size_buckets_match_loop(spark):
     rng = np.random.default_rng(5)
     days = rng.integers(-170, -79, 3000)
