@@ -12,40 +12,52 @@ def auc(df: DataFrame, score: str, label: str, by: Sequence[str] = (), partition
     """M9: exact area under the ROC curve (ties count one half), per group ``by``.
 
     AUC = sum over positives of (negatives with a lower score + half the negatives
-    with the same score) / (P * N). Rows are range-partitioned by (group, score):
-    equal keys share a partition and partitions are ordered, so each task adds
-    its own pairs with numpy and reports (first key, positives, negatives, local
-    sum); the pairs across partitions are positives times the negatives of all
-    earlier partitions of the group, a window over one row per partition.
+    with the same score) / (P * N).
+
+    1. Rows become one (group, score, positives, negatives) row per distinct score,
+       with a map-side partial aggregate: a score shared by a third of all rows (a
+       tree model gives few distinct scores) is one row per map task, not one task.
+    2. The distinct (group, score) keys are range-partitioned, so partitions are
+       balanced and ordered. Each task folds its sorted rows batch by batch,
+       carrying only per-group running counts, and reports (first score,
+       positives, negatives, local pair sum) per group.
+    3. Pairs across partitions are positives times the negatives of all earlier
+       partitions of the group: a window over one row per partition and group.
     """
     import numpy as np
     import pandas as pd
 
     by = list(by)
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    data = df.select(*by, F.col(score).cast("double").alias("_s"), F.col(label).cast("int").alias("_y")) \
-        .where(F.col("_s").isNotNull() & F.col("_y").isNotNull())
-    ranged = data.repartitionByRange(n, *by, "_s").sortWithinPartitions(*by, "_s")
-    keys = by
+    y = F.col(label).cast("int")
+    counts = df.where(F.col(score).isNotNull() & y.isNotNull()) \
+        .groupBy(*by, F.col(score).cast("double").alias("_s")) \
+        .agg(F.sum(y).cast("double").alias("_p"), F.count(F.lit(1)).cast("double").alias("_c"))
+    ranged = counts.repartitionByRange(n, *by, "_s").sortWithinPartitions(*by, "_s")
+    nk = len(by)
 
     def local(batches):
-        frames = [b for b in batches]
-        if not frames:
-            return
-        pdf = pd.concat(frames, ignore_index=True)
-        if pdf.empty:
-            return
-        out = []
-        for gkey, g in (pdf.groupby(keys, sort=False, dropna=False) if keys else [((), pdf)]):
-            c = g.groupby("_s", sort=True)["_y"].agg(["sum", "count"])
-            pos = c["sum"].to_numpy(dtype=float)
-            neg = c["count"].to_numpy(dtype=float) - pos
-            below = np.cumsum(neg) - neg
-            gk = gkey if isinstance(gkey, tuple) else (gkey,)
-            out.append((*gk, float(c.index[0]), pos.sum(), neg.sum(), float((pos * (below + 0.5 * neg)).sum())))
-        yield pd.DataFrame(out, columns=[*keys, "_first", "_pos", "_neg", "_local"])
-
-    schema_by = [f"`{f.name}` {f.dataType.simpleString()}" for f in data.schema.fields if f.name in by]
+        acc: dict = {}                     # group -> [first score, pos, neg, local sum]
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            groups = pdf.groupby(by, sort=False, dropna=False) if by else [((), pdf)]
+            for gkey, g in groups:
+                gk = gkey if isinstance(gkey, tuple) else (gkey,)
+                pos = g["_p"].to_numpy(dtype=float)
+                neg = g["_c"].to_numpy(dtype=float) - pos
+                a = acc.get(gk)
+                if a is None:
+                    a = acc[gk] = [float(g["_s"].iloc[0]), 0.0, 0.0, 0.0]
+                below = a[2] + np.cumsum(neg) - neg
+                a[3] += float((pos * (below + 0.5 * neg)).sum())
+                a[1] += float(pos.sum())
+                a[2] += float(neg.sum())
+        if acc:
+            yield pd.DataFrame([(*gk[:nk], *v) for gk, v in acc.items()],
+                               columns=[*by, "_first", "_pos", "_neg", "_local"])
+
+    schema_by = [f"`{f.name}` {f.dataType.simpleString()}" for f in counts.schema.fields if f.name in by]
     schema = ", ".join(schema_by + ["_first double", "_pos double", "_neg double", "_local double"])
     parts = ranged.mapInPandas(local, schema)
     w = Window.partitionBy(*by).orderBy("_first").rowsBetween(Window.unboundedPreceding, -1)

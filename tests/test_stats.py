@@ -66,6 +66,19 @@ def test_auc_with_ties_matches_rank_formula(spark):
         assert abs(got[g] - want) < 1e-12
 
 
+def test_auc_hot_tied_score_no_groups(spark):
+    # a third of the rows share one score; the rest are continuous, spread over many partitions
+    rng = np.random.default_rng(8)
+    n = 3000
+    s = np.where(rng.random(n) < 0.34, 0.5, rng.random(n))
+    pdf = pd.DataFrame({"s": s, "y": rng.integers(0, 2, n)})
+    got = auc(spark.createDataFrame(pdf), "s", "y", partitions=7).first()
+    r = pdf["s"].rank()
+    p, q = pdf["y"].sum(), (1 - pdf["y"]).sum()
+    want = (r[pdf["y"] == 1].sum() - p * (p + 1) / 2) / (p * q)
+    assert abs(got.auc - want) < 1e-12 and got.positives == p and got.negatives == q
+
+
 def test_poly_fit_matches_numpy(spark):
     from ceasekit.plans.fits import poly_fit
     rng = np.random.default_rng(7)
