@@ -46,7 +46,27 @@ def _source(group: str) -> Column:
 
 
 def categories(raw_info: DataFrame, cfg: ChurnConfig = DEFAULT, groups=None) -> dict[str, list]:
-    return {g: distinct_values(raw_info, _source(g), cfg.max_categories) for g in (groups or ONE_HOT_SPECS)}
+    """Distinct values of every one-hot group in one job: each row becomes one
+    (group, value) row per group, each value in a column of its own type; a
+    partial-aggregate distinct keeps at most ``max_categories`` rows per group."""
+    groups = list(groups or ONE_HOT_SPECS)
+    if len(groups) == 1:
+        return {groups[0]: distinct_values(raw_info, _source(groups[0]), cfg.max_categories)}
+    cap = cfg.max_categories
+    types = [raw_info.select(_source(g).alias("v")).schema[0].dataType for g in groups]
+    tagged = [F.struct(F.lit(i).alias("g"), *[(_source(g) if j == i else F.lit(None).cast(t)).alias(f"v{j}")
+                                              for j, t in enumerate(types)])
+              for i, g in enumerate(groups)]
+    pairs = raw_info.select(F.inline(F.array(*tagged)))
+    present = F.coalesce(*[F.when(F.col("g") == i, F.col(f"v{i}").isNotNull()) for i in range(len(groups))])
+    rows = pairs.where(present).distinct().limit(len(groups) * cap + 1).collect()
+    out = {}
+    for i, g in enumerate(groups):
+        vals = [r[f"v{i}"] for r in rows if r.g == i]
+        if len(vals) > cap or len(rows) > len(groups) * cap:
+            raise ValueError(f"more than {cap} distinct values in a one-hot group; not a category")
+        out[g] = sorted(vals)
+    return out
 
 
 def one_hot_group(group: str, values) -> list[Column]:
