@@ -29,9 +29,9 @@ def bronze(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     if key not in _BRONZE:
         path = scratch_path(spark, f"bronze-{name}")
         df = build(spark, sf_dir)
-        # files clustered by customer: parallel reads, and each customer's rows together
-        df.repartition(spark.sparkContext.defaultParallelism, CFG.id_col) \
-            .write.mode("overwrite").parquet(path)
+        # files clustered by customer; ``rebalance`` lets AQE size the partitions
+        # (advisory bytes) and split a hot customer over several files
+        df.hint("rebalance", CFG.id_col).write.mode("overwrite").parquet(path)
         _BRONZE[key] = path
     return spark.read.parquet(_BRONZE[key])
 
