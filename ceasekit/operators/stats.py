@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -49,46 +49,77 @@ def pairwise_pearson(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson r of every column pair (i < j in ``columns`` order), with nulls
     skipped pairwise, in one scan.
 
-    Each task folds its rows into k x k sums with numpy (values shifted by the
-    column minimum for conditioning; a null contributes through a 0/1 mask), emits
-    them once as long rows (i, j, sums), and a small ``groupBy(i, j)`` adds the
-    partitions up. Work is linear in rows; only k^2 numbers per task are shuffled.
-    Zero variance gives NaN, fewer than two pairs null.
+    Each task folds its Arrow batches into k x k co-moments with numpy. Values are
+    shifted by a per-task reference (each column's first non-null value: well
+    conditioned, and a constant column stays exactly constant), reduced per batch
+    to per-pair counts, means, squared deviations and co-deviations, and merged
+    into the task's running moments with Chan's pairwise update. Only k^2 numbers
+    per task are shuffled. The tasks' moments are merged per pair around the
+    smallest task reference (a window and an aggregate on the same (i, j)
+    partitioning). Zero variance gives NaN, fewer than two pairs null.
     """
     import numpy as np
     import pandas as pd
 
     k = len(columns)
     vals = [F.col(f"`{c}`").cast("double") for c in columns]
-    shifts = df.agg(*[F.min(v).alias(f"m{i}") for i, v in enumerate(vals)]).first()
-    shift = np.array([0.0 if v is None or v != v else float(v) for v in shifts], dtype=float)
     x = df.select(*[F.coalesce(v, F.lit(0.0)).alias(f"x{i}") for i, v in enumerate(vals)],
                   *[v.isNotNull().cast("double").alias(f"m{i}") for i, v in enumerate(vals)])
     ii, jj = np.triu_indices(k, 1)
 
+    def moments(xv, m, ref):
+        y = (xv - ref) * m
+        n = m.T @ m
+        sa = y.T @ m                       # [a, b]: sum of shifted a over rows where a and b are present
+        d = sa / np.where(n > 0, n, 1.0)
+        return n, d, (y * y).T @ m - sa * d, y.T @ y - sa * d.T
+
+    def merge(p, q):
+        n1, mu1, q1, c1 = p
+        n2, mu2, q2, c2 = q
+        n = n1 + n2
+        safe = np.where(n > 0, n, 1.0)
+        w = n1 * n2 / safe
+        delta = mu2 - mu1
+        return n, mu1 + delta * n2 / safe, q1 + q2 + delta * delta * w, c1 + c2 + delta * delta.T * w
+
     def fold(batches):
-        n = sa = saa = sab = None
+        acc, ref, seen = None, np.zeros(k), np.zeros(k, dtype=bool)
         for pdf in batches:
+            if not len(pdf):
+                continue
             m = pdf.iloc[:, k:].to_numpy(dtype=float)
-            xv = (pdf.iloc[:, :k].to_numpy(dtype=float) - shift) * m
-            if n is None:
-                n = np.zeros((k, k)); sa = np.zeros((k, k)); saa = np.zeros((k, k)); sab = np.zeros((k, k))
-            n += m.T @ m
-            sa += xv.T @ m
-            saa += (xv * xv).T @ m
-            sab += xv.T @ xv
-        if n is None:
+            xv = pdf.iloc[:, :k].to_numpy(dtype=float)
+            new = ~seen & m.any(axis=0)    # a column's reference is fixed by its first non-null value
+            if new.any():
+                ref[new] = xv[m.argmax(axis=0), np.arange(k)][new]
+                seen |= new
+            b = moments(xv, m, ref)
+            acc = b if acc is None else merge(acc, b)
+        if acc is None:
             return
+        n, mu, q, c = acc
         yield pd.DataFrame({"i": ii.astype("int32"), "j": jj.astype("int32"), "n": n[ii, jj],
-                            "sa": sa[ii, jj], "sb": sa[jj, ii], "saa": saa[ii, jj], "sbb": saa[jj, ii],
-                            "sab": sab[ii, jj]})
-
-    schema = "i int, j int, n double, sa double, sb double, saa double, sbb double, sab double"
-    s = x.mapInPandas(fold, schema).groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in
-                                                            ("n", "sa", "sb", "saa", "sbb", "sab")])
-    va = F.col("n") * F.col("saa") - F.col("sa") * F.col("sa")
-    vb = F.col("n") * F.col("sbb") - F.col("sb") * F.col("sb")
-    cov = F.col("n") * F.col("sab") - F.col("sa") * F.col("sb")
+                            "ra": ref[ii], "rb": ref[jj], "ma": mu[ii, jj], "mb": mu[jj, ii],
+                            "qa": q[ii, jj], "qb": q[jj, ii], "c": c[ii, jj]})
+
+    schema = "i int, j int, n double, ra double, rb double, ma double, mb double, qa double, qb double, c double"
+    parts = x.mapInPandas(fold, schema)
+    pair = Window.partitionBy("i", "j")
+    has = F.col("n") > 0
+
+    def dev(r, mu):                        # task mean minus the smallest task reference, without rounding it
+        return F.coalesce(F.when(has, (F.col(r) - F.min(F.when(has, F.col(r))).over(pair)) + F.col(mu)), F.lit(0.0))
+
+    t = parts.select("i", "j", "n", "qa", "qb", "c", dev("ra", "ma").alias("da"), dev("rb", "mb").alias("db"))
+    s = t.groupBy("i", "j").agg(
+        F.sum("n").alias("n"), F.sum(F.col("n") * F.col("da")).alias("sa"), F.sum(F.col("n") * F.col("db")).alias("sb"),
+        F.sum(F.col("qa") + F.col("n") * F.col("da") * F.col("da")).alias("qa"),
+        F.sum(F.col("qb") + F.col("n") * F.col("db") * F.col("db")).alias("qb"),
+        F.sum(F.col("c") + F.col("n") * F.col("da") * F.col("db")).alias("c"))
+    va = F.col("qa") - F.col("sa") * F.col("sa") / F.col("n")
+    vb = F.col("qb") - F.col("sb") * F.col("sb") / F.col("n")
+    cov = F.col("c") - F.col("sa") * F.col("sb") / F.col("n")
     r = (F.when(F.col("n") < 2, F.lit(None).cast("double"))
          .when((va <= 0) | (vb <= 0), F.lit(float("nan")))
          .otherwise(F.least(F.greatest(cov / F.sqrt(va * vb), F.lit(-1.0)), F.lit(1.0))))

@@ -78,3 +78,40 @@ def test_pairwise_pearson_matches_pandas(spark):
     for (x, y), r in got.items():
         w = want.loc[x, y]
         assert (math.isnan(r) and math.isnan(w)) if (r is not None and math.isnan(r)) or math.isnan(w) else abs(r - w) < 1e-9
+
+
+def test_pairwise_pearson_many_batches_and_partitions(spark):
+    import numpy as np
+    import pandas as pd
+    rng = np.random.default_rng(3)
+    n = 2000
+    pdf = pd.DataFrame({"a": rng.normal(size=n) * 1e-3 + 1e9, "b": rng.normal(size=n),
+                        "k": np.full(n, 0.1), "z": rng.integers(0, 3, n).astype(float)})
+    pdf["c"] = pdf["b"] * 2 + rng.normal(size=n) * 0.1
+    pdf.loc[pdf.index < 500, "b"] = None          # whole batches without b
+    pdf.loc[::3, "c"] = None
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    try:
+        df = spark.createDataFrame(pdf).repartition(5)
+        got = {(r.a, r.b): r.r for r in FE.correlation_matrix(df, list(pdf.columns)).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    from fractions import Fraction
+
+    def exact(x, y):                 # rational arithmetic: column a defeats pandas' float centering
+        m = pdf[x].notna() & pdf[y].notna()
+        xs, ys = [Fraction(v) for v in pdf[x][m]], [Fraction(v) for v in pdf[y][m]]
+        mx, my = sum(xs) / len(xs), sum(ys) / len(ys)
+        sxx, syy = sum((a - mx) ** 2 for a in xs), sum((b - my) ** 2 for b in ys)
+        if sxx == 0 or syy == 0:
+            return float("nan")
+        return float(sum((a - mx) * (b - my) for a, b in zip(xs, ys))) / math.sqrt(float(sxx) * float(syy))
+
+    assert len(got) == 10
+    for (x, y), r in got.items():
+        w = exact(x, y)
+        if math.isnan(w):
+            assert math.isnan(r), (x, y, r)
+        else:
+            assert abs(r - w) < 1e-12, (x, y, r, w)
