@@ -45,9 +45,10 @@ def sorted_string_agg(c, sep: str = ", ") -> Column:
     return F.array_join(F.array_sort(F.collect_set(col)), sep)
 
 
-def pairwise_pearson(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def pairwise_pearson(df: DataFrame, columns: Sequence[str], first_only: bool = False) -> DataFrame:
     """Pearson r of every column pair (i < j in ``columns`` order), with nulls
-    skipped pairwise, in one scan.
+    skipped pairwise, in one scan. ``first_only`` keeps the pairs of the first
+    column with each other column (a target correlation: k - 1 rows per task).
 
     Each task folds its Arrow batches into k x k co-moments with numpy. Values are
     shifted by a per-task reference (each column's first non-null value: well
@@ -65,7 +66,10 @@ def pairwise_pearson(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     vals = [F.col(f"`{c}`").cast("double") for c in columns]
     x = df.select(*[F.coalesce(v, F.lit(0.0)).alias(f"x{i}") for i, v in enumerate(vals)],
                   *[v.isNotNull().cast("double").alias(f"m{i}") for i, v in enumerate(vals)])
-    ii, jj = np.triu_indices(k, 1)
+    if first_only:
+        ii, jj = np.zeros(k - 1, dtype=int), np.arange(1, k)
+    else:
+        ii, jj = np.triu_indices(k, 1)
 
     def moments(xv, m, ref):
         y = (xv - ref) * m

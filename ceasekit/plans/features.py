@@ -192,11 +192,12 @@ def correlation_matrix(df: DataFrame, columns=None) -> DataFrame:
 
 
 def target_correlation(df: DataFrame, target: str = "churned", columns=None) -> DataFrame:
-    """r of every feature with the label, strongest positive first."""
+    """r of every feature with the label, strongest positive first (the
+    one-scan co-moment fold, keeping only the pairs with the target)."""
+    from ceasekit.operators.stats import pairwise_pearson
     columns = [c for c in (columns or numeric_columns(df)) if c != target]
-    agg = df.agg(*[pearson(target, c).alias(f"r{i}") for i, c in enumerate(columns)])
-    return agg.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"r{i}").alias("r"))
-                                         for i, c in enumerate(columns)]))).orderBy(F.col("r").desc_nulls_last())
+    return pairwise_pearson(df, [target, *columns], first_only=True) \
+        .select(F.col("b").alias("feature"), "r").orderBy(F.col("r").desc_nulls_last())
 
 
 def redundant_pairs(df: DataFrame, threshold: float = 0.99, columns=None) -> DataFrame:
