@@ -30,8 +30,10 @@ def get_spark(master: str | None = None, app: str = "ceasekit",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        # keep broadcast decisions to AQE's runtime statistics of a bounded side
-        "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+        # plan-time estimates come from compressed file sizes: keep them to Spark's 10 MB;
+        # AQE broadcasts a side up to 32 MB measured on its materialised shuffle output
+        "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
         "spark.driver.memory": os.environ.get("CEASEKIT_DRIVER_MEMORY", "16g"),
     }
     if shuffle_partitions:
