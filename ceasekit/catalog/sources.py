@@ -67,9 +67,9 @@ def s8(spark, d):
     return IO.rewrite_deduplicated(spark, name, ID, "behav_win", root)
 
 
-@query("s9_preview")
+@query("s9_preview", "SELECT * FROM customer_info ORDER BY ALL LIMIT 25")
 def s9(spark, d):
-    return IO.preview(study(spark, d).info, 25)
+    return IO.preview(study(spark, d).info, 25, order=[ID, "datevalue"])
 
 
 @query("s10_random_sample", f"""

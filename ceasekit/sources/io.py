@@ -97,9 +97,14 @@ def rewrite_deduplicated(spark: SparkSession, name: str, key, order, root: str)
     return spark.table(name)
 
 
-def preview(df: DataFrame, n: int = 5) -> DataFrame:
-    """The first ``n`` rows (whatever comes first; for display)."""
-    return df.limit(n)
+def preview(df: DataFrame, n: int = 5, order=None) -> DataFrame:
+    """``n`` rows for display. With ``order`` (column names) the first ``n`` in
+    that order, ties broken by the remaining columns: repeatable, and planned as a
+    per-task top-n, not a global sort. Without it, whatever rows come first."""
+    if not order:
+        return df.limit(n)
+    order = list(order)
+    return df.orderBy(*order, *[c for c in df.columns if c not in order]).limit(n)
 
 
 def sample_n(df: DataFrame, n: int, key_cols, seed: int = 42) -> DataFrame:
