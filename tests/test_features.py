@@ -63,6 +63,23 @@ def test_distinct_values_cap(spark):
         pass
 
 
+def test_categories_one_job_matches_per_group_and_caps(spark):
+    from ceasekit.config import ChurnConfig
+    rows = [(f"s{i % 3}", f"t{i % 2}", [18, 35, None][i % 3], ["Other", "Field", None][i % 3],
+             ["Faster Fibre", None][i % 2]) for i in range(30)]
+    df = spark.createDataFrame(rows, "contract_status string, technology string, speed int, sales_channel string, "
+                                     "crm_package_name string")
+    got = FE.categories(df)
+    want = {g: FE.distinct_values(df, FE._source(g), 100) for g in FE.ONE_HOT_SPECS}
+    assert got == want and got["speed"] == [18, 35]
+    wide = df.withColumn("contract_status", F.concat(F.lit("s"), (F.monotonically_increasing_id() % 25).cast("string")))
+    try:
+        FE.categories(wide, ChurnConfig().with_(max_categories=20))
+        assert False, "cap not enforced"
+    except ValueError:
+        pass
+
+
 def test_pairwise_pearson_matches_pandas(spark):
     import numpy as np
     import pandas as pd
