@@ -14,6 +14,7 @@ from ceasekit.functions import dates as D
 from ceasekit.functions.categories import clean_name_sql
 from ceasekit.functions.buckets import line_speed_bucket
 from ceasekit.operators.relational import existence_flag, same_month_join
+from ceasekit.plans import quality as Q
 
 ID = "unique_customer_identifier"
 ATTRS = ("contract_status, contract_dd_cancels, dd_cancel_60_day, ooc_days, technology, speed, line_speed, "
@@ -193,10 +194,8 @@ FROM usage u JOIN (SELECT DISTINCT {ID}, cease_placed_date FROM cease) c
   ON u.{ID} = c.{ID} AND u.calendar_date > c.cease_placed_date GROUP BY 1, 2""")
 def j7(spark, d):
     s = study(spark, d)
-    u = s.usage.groupBy(ID, "calendar_date").agg(F.count(F.lit(1)).alias("_n"))
-    c = s.cease.select(ID, "cease_placed_date").distinct()
-    return u.join(c, (u[ID] == c[ID]) & (u["calendar_date"] > c["cease_placed_date"])) \
-        .groupBy(c[ID], c["cease_placed_date"]).agg(F.sum("_n").cast("bigint").alias("usage_rows_after"))
+    r = Q.usage_rows_after(s.usage, s.cease, ID, "calendar_date", "cease_placed_date")
+    return r.where(F.col("after") > 0).select(ID, "cease_placed_date", F.col("after").alias("usage_rows_after"))
 
 
 @query("a1_global_count", "SELECT count(*) AS n FROM usage")

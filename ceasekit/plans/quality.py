@@ -99,19 +99,36 @@ def usage_to_event_gap(usage: DataFrame, cease: DataFrame, key: str, usage_date:
                                  F.datediff(event_date, "last_usage_date").alias("days_diff_usage_to_cease"))
 
 
+def usage_rows_after(usage: DataFrame, cease: DataFrame, key: str, usage_date: str, event_date: str) -> DataFrame:
+    """Per (customer, event date): the event rows on that date (``events``) and the
+    usage rows dated strictly after it (``after``, 0 included).
+
+    Pair-free: usage is counted per (customer, day), event dates per (customer,
+    day); both go into one day-ordered stream per customer, and the customer's
+    total usage minus the running sum up to the event day gives the usage after it.
+    Work is linear in the distinct days, with no (usage day x event) pairs; a
+    customer's stream holds its distinct days, bounded by the calendar.
+    """
+    u = usage.groupBy(key, F.col(usage_date).alias("_d")).agg(F.count(F.lit(1)).alias("_nu")) \
+        .withColumn("_nc", F.lit(0).cast("bigint"))
+    c = cease.where(F.col(event_date).isNotNull()).groupBy(key, F.col(event_date).alias("_d")) \
+        .agg(F.count(F.lit(1)).alias("_nc")).withColumn("_nu", F.lit(0).cast("bigint"))
+    # after = all usage of the customer - usage up to and including the day (two linear frames;
+    # a frame running to the partition end would be re-summed for every row)
+    whole = Window.partitionBy(key)
+    upto = Window.partitionBy(key).orderBy(F.unix_date("_d")).rangeBetween(Window.unboundedPreceding, 0)
+    both = u.unionByName(c).withColumn("after", (F.sum("_nu").over(whole) - F.sum("_nu").over(upto)).cast("bigint"))
+    return both.where(F.col("_nc") > 0).select(key, F.col("_d").alias(event_date), F.col("_nc").alias("events"),
+                                                "after")
+
+
 def usage_after(usage: DataFrame, cease: DataFrame, key: str, usage_date: str, event_date: str) -> DataFrame:
     """Q11/Q12: customers with usage after an event date and the number of
-    (usage row, cease row) pairs with usage after the event.
-
-    Both sides are first counted per (customer, date); the pair count is then
-    sum(n_usage * n_cease) over date pairs, which never materialises row pairs.
-    """
-    u = usage.groupBy(key, F.col(usage_date).alias("_d")).agg(F.count(F.lit(1)).alias("_nu"))
-    c = cease.where(F.col(event_date).isNotNull()).groupBy(key, F.col(event_date).alias("_e")) \
-        .agg(F.count(F.lit(1)).alias("_nc"))
-    j = u.join(c, key).where(F.col("_d") > F.col("_e"))
-    return j.agg(F.count_distinct(key).alias("customers"),
-                 F.sum(F.col("_nu") * F.col("_nc")).cast("bigint").alias("records"))
+    (usage row, cease row) pairs with usage after the event, as
+    sum(events * usage rows after) from :func:`usage_rows_after` (no pairs built)."""
+    r = usage_rows_after(usage, cease, key, usage_date, event_date).where(F.col("after") > 0)
+    return r.agg(F.count_distinct(key).alias("customers"),
+                 F.sum(F.col("events") * F.col("after")).cast("bigint").alias("records"))
 
 
 def null_rate(df: DataFrame, c: str) -> DataFrame:
