@@ -171,15 +171,6 @@ def validate_one_hot(gold: DataFrame, prefixes=ONE_HOT_PREFIXES) -> DataFrame:
     return gold.agg(*aggs).select(F.inline(F.array(*rows)))
 
 
-def pearson(a, b) -> Column:
-    """Pearson r over rows where both are non-null (pairwise), from the stable
-    central-moment aggregates; zero variance gives NaN (as pandas), not an error."""
-    x, y = F.col(a).cast("double"), F.col(b).cast("double")
-    both = x.isNotNull() & y.isNotNull()
-    den = F.stddev_samp(F.when(both, x)) * F.stddev_samp(F.when(both, y))
-    return F.when(den == 0, F.lit(float("nan"))).otherwise(F.try_divide(F.covar_samp(x, y), den))
-
-
 def numeric_columns(df: DataFrame, exclude=()) -> list[str]:
     num = ("int", "bigint", "double", "float", "smallint", "tinyint")
     return [n for n, t in df.dtypes if t in num and n not in exclude]
