@@ -79,7 +79,12 @@ def s10(spark, d):
     return IO.sample_n(study(spark, d).raw_info, 20, [ID], seed=42)
 
 
-@query("s11_schema_report")
+@query("s11_schema_report", """
+SELECT CAST(row_number() OVER () AS INTEGER) AS position, column_name,
+       CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int'
+            WHEN 'DOUBLE' THEN 'double' WHEN 'DATE' THEN 'date' ELSE lower(column_type) END AS data_type,
+       "null" = 'YES' AS nullable, (SELECT count(*) FROM customer_info) AS row_count
+FROM (DESCRIBE SELECT * FROM customer_info)""")
 def s11(spark, d):
     return IO.schema_report(study(spark, d).info)
 
