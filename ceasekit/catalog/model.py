@@ -66,7 +66,16 @@ def m4(spark, d):
     return M.class_weight(_parts(study(spark, d)))
 
 
-@query("m5_select_features")
+def _m5_sql() -> str:
+    q = lambda xs: ", ".join(f"'{x}'" for x in xs)
+    cols = "(SELECT column_name AS c FROM (DESCRIBE SELECT * FROM gold))"
+    full = f"c NOT IN ({q(M.NON_FEATURES)})"
+    return (f"SELECT 'full' AS model, c AS feature FROM {cols} WHERE {full}\nUNION ALL\n"
+            f"SELECT 'reduced' AS model, c AS feature FROM {cols} WHERE {full} AND c NOT IN ({q(M.MODEL_2_DROP)}) "
+            f"AND NOT starts_with(c, '{M.MODEL_2_DROP_PREFIX}')")
+
+
+@query("m5_select_features", _m5_sql())
 def m5(spark, d):
     g = study(spark, d).gold
     rows = [("full", c) for c in M.select_features(g.columns)] + \
