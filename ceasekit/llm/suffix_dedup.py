@@ -1,5 +1,406 @@
-"""Operator 9: placeholder module body follows."""
+"""Operator 9: removal of repeated byte strings by threshold-bounded interval expansion.
 
+A byte goes if a string of ``LENGTH`` bytes that covers it also starts in a document with a
+smaller id. A suffix array over the whole corpus would not fit any task, so equal strings are
+first brought together and each block then gets its own Burrows-Wheeler transform:
 
-def op9_suffix_dedup(spark, sf_dir):
-    raise NotImplementedError
+1. Of every string of LENGTH bytes the GRAM-byte substring of least hash is its anchor (a
+   minimizer): equal strings have equal anchors at equal places. Anchors that two different
+   texts have are candidates; they are found by one sort, in a stream.
+2. The strings of a candidate anchor form one fragment of its text. Fragments meet on the anchor.
+   Equal fragments are settled at once: only the least id keeps them. Different fragments of one
+   anchor go, many anchors at a time, into a block.
+3. In a block, breadth-first backward extension on the Burrows-Wheeler transform sets common
+   prefixes in order of increasing value and stops at LENGTH: suffixes with no boundary between
+   them share LENGTH bytes. The least id of each such group keeps the string.
+
+An anchor with more different fragments than a block holds leaves the block: its strings are
+grouped by an ordinary aggregate instead, so no task gathers an unbounded group. Exact copies
+of a text are settled by the text's hash and enter none of this.
+
+Defined cases: a null text is empty; texts under LENGTH bytes lose nothing; rows of equal id
+never remove each other's bytes; a missing id counts as larger than any; repeated rows are
+judged alike; an empty table gives an empty result; other columns are not used.
+"""
+
+from __future__ import annotations
+
+import hashlib
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ceasekit.llm.common import landed, table
+
+LENGTH = 50
+GRAM = 24
+SPAN = LENGTH - GRAM + 1          # anchor places in a string
+BLOCK_BYTES = 1 << 20             # of different fragments in one Burrows-Wheeler transform
+NO_ID = (1 << 63) - 1
+ODD = np.uint64(0x9E3779B97F4A7C15)
+
+
+def gram_hashes(raw: np.ndarray) -> np.ndarray:
+    """Hashes of all GRAM-byte substrings, from hashes of 2, 4, 8 and 16 bytes."""
+    def join(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        x = a * ODD + b
+        return x ^ (x >> np.uint64(29))
+    h = raw.astype(np.uint64) + np.uint64(1)
+    by = {}
+    width = 1
+    while width < 16:
+        h = join(h[:len(h) - width], h[width:])
+        width *= 2
+        by[width] = h
+    out = join(by[16][:len(raw) - GRAM + 1], by[8][16:16 + len(raw) - GRAM + 1])
+    out = out * ODD
+    return out ^ (out >> np.uint64(32))
+
+
+def sliding(x: np.ndarray, width: int, op) -> np.ndarray:
+    """op (minimum or maximum) over every ``width`` neighbours, by doubling."""
+    done, out = 1, x
+    while done * 2 <= width:
+        out = op(out[:len(out) - done], out[done:])
+        done *= 2
+    rest = width - done
+    return op(out[:len(out) - rest], out[rest:]) if rest else out
+
+
+def anchors(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes of all grams, least hash of each string, places that are some string's anchor)."""
+    h = gram_hashes(raw)
+    least = sliding(h, SPAN, np.minimum)
+    edge = np.zeros(SPAN - 1, dtype=np.uint64)
+    most = sliding(np.concatenate([edge, least, edge]), SPAN, np.maximum)
+    return h, least, np.flatnonzero(most == h)
+
+
+def raw_of(value) -> np.ndarray:
+    return np.frombuffer(value.as_buffer(), dtype=np.uint8)
+
+
+def anchor_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, body) -> (anchor, node). A text that a task has met is not read again, so a group of
+    copies counts once per task."""
+    seen: set[int] = set()
+    with np.errstate(over="ignore"):
+        for b in batches:
+            found, nodes = [], []
+            for node, body in zip(b.column("node").to_pylist(), b.column("body"), strict=True):
+                if node in seen:
+                    continue
+                seen.add(node)
+                raw = raw_of(body)
+                if len(raw) >= LENGTH:
+                    h, _, at = anchors(raw)
+                    own = np.unique(h[at])
+                    found.append(own)
+                    nodes.append(np.full(len(own), node, dtype=np.int64))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64)), pa.array(np.concatenate(nodes))],
+                                                 names=["anchor", "node"])
+
+
+def shared_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(anchor, node) sorted -> the rows whose anchor has two nodes. Of a run that goes on in the next
+    batch only its first row is held."""
+    held_anchor = held_node = None
+    sent = False
+    for b in batches:
+        a, n = b.column("anchor").to_numpy(), b.column("node").to_numpy()
+        if held_anchor is not None:
+            a, n = np.concatenate(([held_anchor], a)), np.concatenate(([held_node], n))
+        new = np.concatenate(([True], (a[1:] != a[:-1]) | (n[1:] != n[:-1])))
+        first = np.concatenate(([True], a[1:] != a[:-1]))
+        run = np.cumsum(first) - 1
+        several = np.bincount(run, weights=new) >= 2
+        if held_anchor is not None and sent:
+            several[0] = True
+        keep = new & several[run]
+        if held_anchor is not None and sent:
+            keep[0] = False                     # went out with the batch before
+        last_sent = bool(several[-1])
+        if keep.any():
+            yield pa.RecordBatch.from_arrays([pa.array(n[keep]), pa.array(a[keep])], names=["node", "anchor"])
+        held_anchor, held_node, sent = a[-1], n[-1], last_sent
+
+
+def fragment_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, id, body, shared anchors) -> (anchor, fragment, id, node, start): all strings of an anchor."""
+    with np.errstate(over="ignore"):
+        for b in batches:
+            for i in range(len(b)):
+                raw = raw_of(b.column("body")[i])
+                if len(raw) < LENGTH:
+                    continue
+                h, least, at = anchors(raw)
+                at = at[np.isin(h[at], b.column("shared")[i].values.to_numpy().view(np.uint64))]
+                low, high = np.full(len(at), -1), np.full(len(at), -1)
+                for back in range(SPAN):              # the strings whose least gram is here, a contiguous run
+                    s = at - back
+                    ok = (s >= 0) & (s < len(least))
+                    ok[ok] = least[s[ok]] == h[at[ok]]
+                    low = np.where(ok, s, low)
+                    high = np.where(ok & (high < 0), s, high)
+                some = low >= 0
+                at, low, high = at[some], low[some], high[some]
+                body = raw.tobytes()
+                pieces = [body[s:e + LENGTH] for s, e in zip(low.tolist(), high.tolist(), strict=True)]
+                n = len(at)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(h[at].view(np.int64)), pa.array(pieces, pa.binary()), pa.array(np.full(n, b.column("id")[i].as_py())),
+                     pa.array(np.full(n, b.column("node")[i].as_py())), pa.array(low.astype(np.int32))],
+                    names=["anchor", "fragment", "id", "node", "start"])
+
+
+def suffix_order(text: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """Suffixes in order, each read up to its end mark (0), ``left`` characters on; equal ones by place."""
+    n = len(text)
+    padded = np.concatenate([text, np.zeros(8, dtype=text.dtype)]).astype(np.int64)
+    key = np.zeros(n, dtype=np.int64)
+    for k in range(7):
+        key = (key << 9) | np.where(left >= k, padded[k:k + n], 0)
+    width, longest = 7, int(left.max()) + 1
+    while True:
+        order = np.argsort(key, kind="stable")
+        ordered = key[order]
+        rank = np.empty(n, dtype=np.int64)
+        rank[order] = np.cumsum(np.concatenate(([1], (ordered[1:] != ordered[:-1]).astype(np.int64))))
+        if width >= longest:
+            return order
+        ahead = np.zeros(n, dtype=np.int64)
+        ahead[:n - width] = rank[width:]
+        key = rank * np.int64(n + 2) + np.where(left >= width, ahead, 0)
+        width *= 2
+
+
+def prefix_groups(text: np.ndarray, left: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(suffixes in order, boundary flags): suffixes with no boundary between them share ``length`` bytes.
+
+    Breadth first from the empty string: an interval of suffixes that start with w is extended to
+    the left by each character of the transform. The end of a new interval is a boundary with a
+    common prefix of the level before. An interval whose end was known is not extended again."""
+    order = suffix_order(text, left)
+    n = len(order)
+    rank = np.empty(n, dtype=np.int64)
+    rank[order] = np.arange(n)
+    before = order - 1
+    transform = np.where(before >= 0, text[before], 0)
+    step = np.where(before >= 0, rank[before], 0)         # place of the suffix one longer
+    boundary = np.zeros(n + 1, dtype=bool)
+    boundary[[0, n]] = True
+    # level 1: one interval for each first character, the end mark's as well
+    first = text[order]
+    starts = np.flatnonzero(np.concatenate(([True], first[1:] != first[:-1])))
+    ends = np.concatenate((starts[1:], [n]))
+    boundary[ends] = True
+    for _ in range(length - 1):
+        if len(starts) == 0:
+            break
+        sizes = ends - starts
+        owner = np.repeat(np.arange(len(starts)), sizes)
+        at = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes) + starts[owner]
+        real = transform[at] != 0
+        at, owner = at[real], owner[real]
+        to = step[at]
+        by = np.argsort(to, kind="stable")
+        to, owner, char = to[by], owner[by], transform[at][by]
+        if len(to) == 0:
+            break
+        cut = np.flatnonzero((to[1:] != to[:-1] + 1) | (owner[1:] != owner[:-1]) | (char[1:] != char[:-1])) + 1
+        starts, ends = to[np.concatenate(([0], cut))], to[np.concatenate((cut - 1, [len(to) - 1]))] + 1
+        new = ~boundary[ends]
+        boundary[ends] = True
+        starts, ends = starts[new], ends[new]
+    return order, boundary
+
+
+def least_owners(fragments: list[bytes], ids: np.ndarray) -> list[np.ndarray]:
+    """For every fragment and place in it, the least id of the fragments that have the same LENGTH bytes there or elsewhere."""
+    sizes = np.array([len(f) for f in fragments])
+    joined = np.frombuffer(b"\0".join(fragments) + b"\0", dtype=np.uint8).astype(np.int16) + 1
+    ends = np.cumsum(sizes + 1)
+    joined[ends - 1] = 0
+    left = np.repeat(ends - 1, sizes + 1) - np.arange(len(joined))
+    order, boundary = prefix_groups(joined, left, LENGTH)
+    owner = np.repeat(np.arange(len(fragments)), sizes + 1)
+    whole = left >= LENGTH
+    value = np.where(whole, ids[owner], NO_ID)[order]
+    group = np.flatnonzero(boundary[:-1])
+    least = np.minimum.reduceat(value, group)
+    of = np.empty(len(joined), dtype=np.int64)
+    of[order] = np.repeat(least, np.diff(np.concatenate((group, [len(order)]))))
+    return [of[e - s - 1:e - LENGTH] for s, e in zip(sizes, ends, strict=True)]
+
+
+class Block:
+    """Sorted (anchor, fragment, id, node, start) rows of whole anchors; yields removed ranges."""
+
+    def __init__(self) -> None:
+        self.out: list[tuple[int, int, int]] = []         # node, from, to
+        self.wide: list[tuple[bytes, int, int, int]] = [] # string, id, node, start
+        self.fragments: list[bytes] = []
+        self.ids: list[int] = []
+        self.rows: list[tuple[int, int]] = []             # node, start of each fragment's least row
+        self.size = 0
+        self.anchor = self.last = None
+        self.begin = self.open_size = 0                   # of the open anchor in fragments
+        self.overflow = False
+
+    def add(self, anchor: int, fragment: bytes, row_id: int, node: int, start: int) -> None:
+        if anchor != self.anchor:
+            self.close()
+            self.anchor, self.last = anchor, None
+        if fragment == self.last:
+            if row_id > self.least:
+                self.out.append((node, start, start + len(fragment)))
+                return
+            if not self.overflow:                         # the same id again: its rows share a fate
+                self.fragments.append(fragment)
+                self.ids.append(row_id)
+                self.rows.append((node, start))
+                return
+        else:
+            self.last, self.least = fragment, row_id
+            self.size += len(fragment) + 1
+            self.open_size += len(fragment) + 1
+        if self.overflow:
+            self.spill(fragment, row_id, node, start)
+            return
+        self.fragments.append(fragment)
+        self.ids.append(row_id)
+        self.rows.append((node, start))
+        if self.open_size > BLOCK_BYTES:
+            for f, i, (n, s) in zip(self.fragments[self.begin:], self.ids[self.begin:], self.rows[self.begin:], strict=True):
+                self.spill(f, i, n, s)
+            del self.fragments[self.begin:], self.ids[self.begin:], self.rows[self.begin:]
+            self.overflow = True
+
+    def spill(self, fragment: bytes, row_id: int, node: int, start: int) -> None:
+        for k in range(len(fragment) - LENGTH + 1):
+            self.wide.append((fragment[k:k + LENGTH], row_id, node, start + k))
+
+    def close(self) -> None:
+        """End of an anchor: alone, its fragment removes nothing more; a full block is settled."""
+        if len(self.fragments) - self.begin <= 1 or len(set(self.ids[self.begin:])) == 1:
+            del self.fragments[self.begin:], self.ids[self.begin:], self.rows[self.begin:]
+        self.begin, self.open_size, self.overflow = len(self.fragments), 0, False
+        if self.size >= BLOCK_BYTES:
+            self.settle()
+
+    def settle(self) -> None:
+        if self.fragments:
+            least = least_owners(self.fragments, np.array(self.ids, dtype=np.int64))
+            for own, row_id, (node, start) in zip(least, self.ids, self.rows, strict=True):
+                gone = np.flatnonzero(own < row_id)
+                if len(gone):
+                    cut = np.flatnonzero(np.diff(gone) > 1) + 1
+                    for a, b in zip(gone[np.concatenate(([0], cut))].tolist(), gone[np.concatenate((cut - 1, [len(gone) - 1]))].tolist(), strict=True):
+                        self.out.append((node, start + a, start + b + LENGTH))
+        self.fragments, self.ids, self.rows, self.size, self.begin = [], [], [], 0, 0
+
+    def drain(self) -> Iterator[pa.RecordBatch]:
+        if self.out or self.wide:
+            n = len(self.out)
+            yield pa.RecordBatch.from_arrays([
+                pa.array([x[0] for x in self.out] + [x[2] for x in self.wide], pa.int64()),
+                pa.array([x[1] for x in self.out] + [x[3] for x in self.wide], pa.int32()),
+                pa.array([x[2] for x in self.out] + [x[3] + LENGTH for x in self.wide], pa.int32()),
+                pa.array([None] * n + [x[0] for x in self.wide], pa.binary()),
+                pa.array([None] * n + [x[1] for x in self.wide], pa.int64())], names=["node", "start", "stop", "string", "id"])
+        self.out, self.wide = [], []
+
+
+def removal_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    block = Block()
+    for b in batches:
+        cols = [b.column(c).to_pylist() for c in ("anchor", "fragment", "id", "node", "start")]
+        for row in zip(*cols, strict=True):
+            block.add(*row)
+            if len(block.wide) > 50_000:
+                yield from block.drain()
+        yield from block.drain()
+    block.close()
+    block.settle()
+    yield from block.drain()
+
+
+def merged(ranges: list[tuple[int, int]]) -> list[list[int]]:
+    out: list[list[int]] = []
+    for s, e in sorted(ranges):
+        if out and s <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], e)
+        else:
+            out.append([s, e])
+    return out
+
+
+def cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, body, ranges) -> (node, spans, kept bytes)."""
+    for b in batches:
+        spans, kept = [], []
+        for body, ranges in zip(b.column("body").to_pylist(), b.column("ranges").to_pylist(), strict=True):
+            runs = merged([(x["start"], x["stop"]) for x in ranges])
+            edges = [0, *[x for r in runs for x in r], len(body)]
+            kept.append(b"".join(body[edges[i]:edges[i + 1]] for i in range(0, len(edges), 2)))
+            spans.append([{"start": s, "stop": e} for s, e in runs])
+        kind = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
+        yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(spans, kind), pa.array(kept, pa.binary())], names=["node", "spans", "kept"])
+
+
+def sha256(data: bytes) -> str:
+    return hashlib.sha256(data).hexdigest()
+
+
+def removed_ranges(docs: DataFrame, reps: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(texts with a shared anchor, their removed ranges by node). ``docs``: id, node, copy, body;
+    ``reps``: the least id of each distinct text."""
+    found = docs.where(F.octet_length("body") >= LENGTH).select("node", "body").mapInArrow(anchor_batches, "anchor bigint, node bigint")
+    shared = found.repartition("anchor").sortWithinPartitions("anchor", "node").mapInArrow(shared_batches, "node bigint, anchor bigint")
+    listed = shared.groupBy("node").agg(F.collect_set("anchor").alias("shared"))
+    wanted = reps.join(listed, "node").select(F.col("copy").alias("_copy"), F.col("least").alias("_least"), "shared")
+    texts = docs.join(wanted, (F.col("copy") == F.col("_copy")) & (F.col("id") == F.col("_least"))) \
+        .select("node", "id", "body", "shared")
+    texts = landed(texts.dropDuplicates(["node"]), "suffix-texts")
+    rows = texts.mapInArrow(fragment_batches, "anchor bigint, fragment binary, id bigint, node bigint, start int")
+    out = landed(rows.repartition("anchor").sortWithinPartitions("anchor", "fragment", "id")
+                 .mapInArrow(removal_batches, "node bigint, start int, stop int, string binary, id bigint"), "suffix-ranges")
+    strings = out.where("string IS NOT NULL")
+    least = strings.groupBy("string").agg(F.min("id").alias("least"))
+    late = strings.join(least, "string").where("id > least").select("node", "start", "stop")
+    return texts, out.where("string IS NULL").select("node", "start", "stop").union(late)
+
+
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per row of ``docs``: its id, n_bytes, n_removed, n_spans, spans, kept (null: as it was) and kept_sha256."""
+    body = F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")
+    rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)).alias("id"),
+                       F.md5(body).alias("copy"), body.alias("body"))
+    rows = rows.withColumn("node", F.conv(F.substring("copy", 1, 15), 16, 10).cast("long"))
+    facts = landed(rows.select("_id", "id", "copy", "node", F.octet_length("body").cast("long").alias("n_bytes"),
+                               F.sha2("body", 256).alias("sha")), "suffix-facts")
+    reps = landed(facts.groupBy("copy", "node").agg(F.min("id").alias("least")), "suffix-reps")
+    texts, ranges = removed_ranges(rows, reps)
+    listed = ranges.distinct().groupBy("node").agg(F.collect_list(F.struct("start", "stop")).alias("ranges"))
+    cut = texts.select("node", "body").join(listed, "node").select("node", "body", "ranges") \
+        .mapInArrow(cut_batches, "node bigint, spans array<struct<start:int,stop:int>>, kept binary")
+    cut = cut.select("node", "spans", "kept", F.sha2("kept", 256).alias("cut_sha"))
+    joined = facts.join(reps.select("copy", "least").join(cut.join(reps.select("node", "copy"), "node"), "copy", "left"), "copy")
+    copied = (F.col("id") > F.col("least")) & (F.col("n_bytes") >= LENGTH)
+    removed = F.coalesce(F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + (x.getField("stop") - x.getField("start"))), F.lit(0).cast("long"))
+    all_of_it = F.array(F.struct(F.lit(0).alias("start"), F.col("n_bytes").cast("int").alias("stop")))
+    return joined.select(
+        F.col("_id").alias(id_col), "n_bytes", F.when(copied, F.col("n_bytes")).otherwise(removed).alias("n_removed"),
+        F.when(copied, F.lit(1)).otherwise(F.greatest(F.coalesce(F.size("spans"), F.lit(0)), F.lit(0))).cast("long").alias("n_spans"),
+        F.when(copied, all_of_it).otherwise(F.col("spans")).alias("spans"),
+        F.when(copied, F.lit(b"")).otherwise(F.col("kept")).alias("kept"),
+        F.when(copied, F.lit(sha256(b""))).otherwise(F.coalesce("cut_sha", "sha")).alias("kept_sha256"))
+
+
+def op9_suffix_dedup(spark, sf_dir: str) -> DataFrame:
+    out = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
