@@ -83,6 +83,20 @@ def raw_of(value) -> np.ndarray:
     return np.frombuffer(value.as_buffer(), dtype=np.uint8)
 
 
+def pack_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, id, body) with the body compressed: texts are shuffled twice and stored once."""
+    codec = pa.Codec("zstd")
+    for b in batches:
+        size = [len(x.as_buffer()) for x in b.column("body")]
+        packed = [codec.compress(x.as_buffer(), asbytes=True) for x in b.column("body")]
+        yield pa.RecordBatch.from_arrays([b.column("node"), b.column("id"), pa.array(size, pa.int64()), pa.array(packed, pa.binary())],
+                                         names=["node", "id", "size", "packed"])
+
+
+def unpacked_body(batch: pa.RecordBatch, i: int) -> bytes:
+    return pa.decompress(batch.column("packed")[i].as_buffer(), batch.column("size")[i].as_py(), codec="zstd", asbytes=True)
+
+
 def anchor_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(node, body) -> (anchor, node). A text that a task has met is not read again, so a group of
     copies counts once per task."""
@@ -130,11 +144,12 @@ def shared_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def fragment_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, id, body, shared anchors) -> (anchor, fragment, id, node, start): all strings of an anchor."""
+    """(node, id, packed body, shared anchors) -> (anchor, fragment, id, node, start): all strings of an anchor."""
     with np.errstate(over="ignore"):
         for b in batches:
             for i in range(len(b)):
-                raw = raw_of(b.column("body")[i])
+                body = unpacked_body(b, i)
+                raw = np.frombuffer(body, dtype=np.uint8)
                 if len(raw) < LENGTH:
                     continue
                 h, least, at = anchors(raw)
@@ -148,7 +163,6 @@ def fragment_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
                     high = np.where(ok & (high < 0), s, high)
                 some = low >= 0
                 at, low, high = at[some], low[some], high[some]
-                body = raw.tobytes()
                 pieces = [body[s:e + LENGTH] for s, e in zip(low.tolist(), high.tolist(), strict=True)]
                 n = len(at)
                 yield pa.RecordBatch.from_arrays(
@@ -340,10 +354,11 @@ def merged(ranges: list[tuple[int, int]]) -> list[list[int]]:
 
 
 def cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, body, ranges) -> (node, spans, kept bytes)."""
+    """(node, packed body, ranges) -> (node, spans, kept bytes)."""
     for b in batches:
         spans, kept = [], []
-        for body, ranges in zip(b.column("body").to_pylist(), b.column("ranges").to_pylist(), strict=True):
+        for i, ranges in enumerate(b.column("ranges").to_pylist()):
+            body = unpacked_body(b, i)
             runs = merged([(x["start"], x["stop"]) for x in ranges])
             edges = [0, *[x for r in runs for x in r], len(body)]
             kept.append(b"".join(body[edges[i]:edges[i + 1]] for i in range(0, len(edges), 2)))
@@ -362,10 +377,12 @@ def removed_ranges(docs: DataFrame, reps: DataFrame) -> tuple[DataFrame, DataFra
     found = docs.where(F.octet_length("body") >= LENGTH).select("node", "body").mapInArrow(anchor_batches, "anchor bigint, node bigint")
     shared = found.repartition("anchor").sortWithinPartitions("anchor", "node").mapInArrow(shared_batches, "node bigint, anchor bigint")
     listed = shared.groupBy("node").agg(F.collect_set("anchor").alias("shared"))
-    wanted = reps.join(listed, "node").select(F.col("copy").alias("_copy"), F.col("least").alias("_least"), "shared")
-    texts = docs.join(wanted, (F.col("copy") == F.col("_copy")) & (F.col("id") == F.col("_least"))) \
-        .select("node", "id", "body", "shared")
-    texts = landed(texts.dropDuplicates(["node"]), "suffix-texts")
+    wanted = reps.join(listed, "node").select(F.col("node").alias("_node"), F.col("least").alias("_least"), "shared")
+    packed = docs.where(F.octet_length("body") >= LENGTH).select("node", "id", "body") \
+        .mapInArrow(pack_batches, "node bigint, id bigint, size bigint, packed binary")
+    texts = packed.join(wanted, (F.col("node") == F.col("_node")) & (F.col("id") == F.col("_least"))) \
+        .select("node", "id", "size", "packed", "shared")
+    texts = landed(texts.dropDuplicates(["node", "id"]), "suffix-texts")     # on the join's own partitioning
     rows = texts.mapInArrow(fragment_batches, "anchor bigint, fragment binary, id bigint, node bigint, start int")
     out = landed(rows.repartition("anchor").sortWithinPartitions("anchor", "fragment", "id")
                  .mapInArrow(removal_batches, "node bigint, start int, stop int, string binary, id bigint"), "suffix-ranges")
@@ -386,7 +403,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     reps = landed(facts.groupBy("copy", "node").agg(F.min("id").alias("least")), "suffix-reps")
     texts, ranges = removed_ranges(rows, reps)
     listed = ranges.distinct().groupBy("node").agg(F.collect_list(F.struct("start", "stop")).alias("ranges"))
-    cut = texts.select("node", "body").join(listed, "node").select("node", "body", "ranges") \
+    cut = texts.select("node", "size", "packed").join(listed, "node").select("node", "size", "packed", "ranges") \
         .mapInArrow(cut_batches, "node bigint, spans array<struct<start:int,stop:int>>, kept binary")
     cut = cut.select("node", "spans", "kept", F.sha2("kept", 256).alias("cut_sha"))
     joined = facts.join(reps.select("copy", "least").join(cut.join(reps.select("node", "copy"), "node"), "copy", "left"), "copy")
