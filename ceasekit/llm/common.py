@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,6 +38,13 @@ def landed(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete the shuffle files behind frames that are out of scope. It learns of
+    them when the driver's garbage is collected, by default every half hour only."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def with_columns(df: DataFrame, added: dict[str, Column]) -> DataFrame:
     """``df`` plus the given columns; a column of the same name is replaced, whatever its case."""
     taken = {n.lower() for n in added}

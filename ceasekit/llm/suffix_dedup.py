@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ceasekit.llm.common import landed, table
+from ceasekit.llm.common import landed, release_shuffles, table
 
 LENGTH = 50
 GRAM = 24
@@ -371,18 +371,29 @@ def sha256(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 
 
-def removed_ranges(docs: DataFrame, reps: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(texts with a shared anchor, their removed ranges by node). ``docs``: id, node, copy, body;
-    ``reps``: the least id of each distinct text."""
+def shared_anchors(docs: DataFrame) -> DataFrame:
+    """(node, shared: its anchors that another text has)."""
     found = docs.where(F.octet_length("body") >= LENGTH).select("node", "body").mapInArrow(anchor_batches, "anchor bigint, node bigint")
     shared = found.repartition("anchor").sortWithinPartitions("anchor", "node").mapInArrow(shared_batches, "node bigint, anchor bigint")
-    listed = shared.groupBy("node").agg(F.collect_set("anchor").alias("shared"))
-    wanted = reps.join(listed, "node").select(F.col("node").alias("_node"), F.col("least").alias("_least"), "shared")
+    return landed(shared.groupBy("node").agg(F.collect_set("anchor").alias("shared")), "suffix-anchors")
+
+
+def texts_with_shared(docs: DataFrame, reps: DataFrame) -> DataFrame:
+    """(node, id, size, packed, shared) of the texts with a shared anchor, one row of each."""
+    wanted = reps.join(shared_anchors(docs), "node").select(F.col("node").alias("_node"), F.col("least").alias("_least"), "shared")
+    release_shuffles(docs.sparkSession)
     packed = docs.where(F.octet_length("body") >= LENGTH).select("node", "id", "body") \
         .mapInArrow(pack_batches, "node bigint, id bigint, size bigint, packed binary")
     texts = packed.join(wanted, (F.col("node") == F.col("_node")) & (F.col("id") == F.col("_least"))) \
         .select("node", "id", "size", "packed", "shared")
-    texts = landed(texts.dropDuplicates(["node", "id"]), "suffix-texts")     # on the join's own partitioning
+    return landed(texts.dropDuplicates(["node", "id"]), "suffix-texts")     # on the join's own partitioning
+
+
+def removed_ranges(docs: DataFrame, reps: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(texts with a shared anchor, their removed ranges by node). ``docs``: id, node, copy, body;
+    ``reps``: the least id of each distinct text."""
+    texts = texts_with_shared(docs, reps)
+    release_shuffles(docs.sparkSession)
     rows = texts.mapInArrow(fragment_batches, "anchor bigint, fragment binary, id bigint, node bigint, start int")
     out = landed(rows.repartition("anchor").sortWithinPartitions("anchor", "fragment", "id")
                  .mapInArrow(removal_batches, "node bigint, start int, stop int, string binary, id bigint"), "suffix-ranges")
@@ -402,6 +413,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
                                F.sha2("body", 256).alias("sha")), "suffix-facts")
     reps = landed(facts.groupBy("copy", "node").agg(F.min("id").alias("least")), "suffix-reps")
     texts, ranges = removed_ranges(rows, reps)
+    release_shuffles(docs.sparkSession)
     listed = ranges.distinct().groupBy("node").agg(F.collect_list(F.struct("start", "stop")).alias("ranges"))
     cut = texts.select("node", "size", "packed").join(listed, "node").select("node", "size", "packed", "ranges") \
         .mapInArrow(cut_batches, "node bigint, spans array<struct<start:int,stop:int>>, kept binary")
