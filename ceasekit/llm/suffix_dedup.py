@@ -30,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -147,28 +148,33 @@ def fragment_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     """(node, id, packed body, shared anchors) -> (anchor, fragment, id, node, start): all strings of an anchor."""
     with np.errstate(over="ignore"):
         for b in batches:
-            for i in range(len(b)):
-                body = unpacked_body(b, i)
-                raw = np.frombuffer(body, dtype=np.uint8)
-                if len(raw) < LENGTH:
-                    continue
-                h, least, at = anchors(raw)
-                at = at[np.isin(h[at], b.column("shared")[i].values.to_numpy().view(np.uint64))]
-                low, high = np.full(len(at), -1), np.full(len(at), -1)
-                for back in range(SPAN):              # the strings whose least gram is here, a contiguous run
-                    s = at - back
-                    ok = (s >= 0) & (s < len(least))
-                    ok[ok] = least[s[ok]] == h[at[ok]]
-                    low = np.where(ok, s, low)
-                    high = np.where(ok & (high < 0), s, high)
-                some = low >= 0
-                at, low, high = at[some], low[some], high[some]
-                pieces = [body[s:e + LENGTH] for s, e in zip(low.tolist(), high.tolist(), strict=True)]
-                n = len(at)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h[at].view(np.int64)), pa.array(pieces, pa.binary()), pa.array(np.full(n, b.column("id")[i].as_py())),
-                     pa.array(np.full(n, b.column("node")[i].as_py())), pa.array(low.astype(np.int32))],
-                    names=["anchor", "fragment", "id", "node", "start"])
+            for first in range(0, len(b), 128):
+                part = b.slice(first, 128)
+                cols: tuple[list, list, list, list, list] = ([], [], [], [], [])
+                ids, nodes = part.column("id").to_pylist(), part.column("node").to_pylist()
+                for i in range(len(part)):
+                    body = unpacked_body(part, i)
+                    key, low, high = fragments_of(np.frombuffer(body, dtype=np.uint8), part.column("shared")[i].values.to_numpy().view(np.uint64))
+                    cols[0].append(key.view(np.int64))
+                    cols[1].extend([body[s:e] for s, e in zip(low.tolist(), high.tolist(), strict=True)])
+                    cols[2].append(np.full(len(key), ids[i], dtype=np.int64))
+                    cols[3].append(np.full(len(key), nodes[i], dtype=np.int64))
+                    cols[4].append(low.astype(np.int32))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(cols[0])), pa.array(cols[1], pa.binary()), *[
+                    pa.array(np.concatenate(c)) for c in cols[2:]]], names=["anchor", "fragment", "id", "node", "start"])
+
+
+def fragments_of(raw: np.ndarray, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(anchor, begin, end) of the strings of each shared anchor: a contiguous run of them."""
+    h, least, at = anchors(raw)
+    at = at[np.isin(h[at], shared)]
+    place = at[None, :] - np.arange(SPAN)[:, None]
+    inside = (place >= 0) & (place < len(least))
+    mine = inside & (least[np.clip(place, 0, len(least) - 1)] == h[at][None, :])
+    some = mine.any(axis=0)
+    high = at - mine.argmax(axis=0)
+    low = at - (SPAN - 1 - mine[::-1].argmax(axis=0))
+    return h[at][some], low[some], high[some] + LENGTH
 
 
 def suffix_order(text: np.ndarray, left: np.ndarray) -> np.ndarray:
@@ -269,17 +275,14 @@ class Block:
         if anchor != self.anchor:
             self.close()
             self.anchor, self.last = anchor, None
-        if fragment == self.last:
-            if row_id > self.least:
-                self.out.append((node, start, start + len(fragment)))
-                return
-            if not self.overflow:                         # the same id again: its rows share a fate
+        if fragment == self.last:                         # the same id again: larger ones are settled before
+            if not self.overflow:
                 self.fragments.append(fragment)
                 self.ids.append(row_id)
                 self.rows.append((node, start))
                 return
         else:
-            self.last, self.least = fragment, row_id
+            self.last = fragment
             self.size += len(fragment) + 1
             self.open_size += len(fragment) + 1
         if self.overflow:
@@ -329,10 +332,34 @@ class Block:
         self.out, self.wide = [], []
 
 
+def settled_rows(b: pa.RecordBatch, last: tuple) -> tuple[np.ndarray, tuple]:
+    """Which sorted rows repeat the anchor and fragment of the row before under a larger id than the
+    first such row, and the state to go on with. ``last``: anchor, fragment, least id of the batch before."""
+    anchor, ids, fragment = b.column("anchor").to_numpy(), b.column("id").to_numpy(), b.column("fragment")
+    same = np.zeros(len(b), dtype=bool)
+    same[1:] = (anchor[1:] == anchor[:-1]) & pc.equal(fragment.slice(1), fragment.slice(0, len(b) - 1)).to_numpy(zero_copy_only=False)
+    same[0] = (anchor[0], fragment[0].as_py()) == last[:2]
+    head = np.maximum.accumulate(np.where(same, 0, np.arange(len(b))))
+    least = ids[head]
+    if same[0]:
+        least[:np.argmin(same) if not same.all() else len(b)] = last[2]
+    return same & (ids > least), (anchor[-1], fragment[len(b) - 1].as_py(), least[-1])
+
+
 def removal_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    block = Block()
+    block, last = Block(), (None, None, None)
     for b in batches:
-        cols = [b.column(c).to_pylist() for c in ("anchor", "fragment", "id", "node", "start")]
+        if len(b) == 0:
+            continue
+        settled, last = settled_rows(b, last)
+        if settled.any():
+            gone = b.filter(pa.array(settled))
+            start = gone.column("start")
+            stop = pc.add(start, pc.binary_length(gone.column("fragment")).cast(pa.int32()))
+            yield pa.RecordBatch.from_arrays([gone.column("node"), start, stop, pa.nulls(len(gone), pa.binary()), pa.nulls(len(gone), pa.int64())],
+                                             names=["node", "start", "stop", "string", "id"])
+        rest = b.filter(pa.array(~settled))
+        cols = [rest.column(c).to_pylist() for c in ("anchor", "fragment", "id", "node", "start")]
         for row in zip(*cols, strict=True):
             block.add(*row)
             if len(block.wide) > 50_000:
