@@ -4,11 +4,11 @@ Base spans are found by fixed patterns. The personal values found are protected
 Corpus co-occurrence then estimates how strongly a word near them reveals them: with document
 counts of the word t, the entity e and both, PMI(t, e) = log2(N n_te / (n_t n_e)) is compared with
 the information of the entity, IC(e) = log2(N / n_e). A word with PMI >= alpha * IC, seen beside
-the entity in at least ``MIN_SUPPORT`` different texts, discloses it: its mentions beside the
+the entity in at least ``MIN_SUPPORT`` different texts (copies count once), discloses it: its mentions beside the
 entity become spans of kind 'term'. In the sanitised text base spans become their kind, terms are
 generalised to their shape, and those that give the entity away entirely are removed.
 
-Counts are over all distinct texts (copies count once). Defined cases: a null text counts as
+Counts are over all documents. Defined cases: a null text counts as
 empty; a text without personal data is left as it is; rows without an id are treated like any
 other; repeated rows are treated alike; an empty table gives an empty result; a column named
 like an added one is replaced.
@@ -139,21 +139,22 @@ def with_base_spans(docs: DataFrame, carry: list[str], text: str) -> DataFrame:
 
 
 def disclosing_terms(found: DataFrame, docs: DataFrame, text: str, alpha: float, min_support: int) -> DataFrame:
-    """(entity, term, share of the entity's information). Document counts are over distinct texts."""
-    beside = found.select(F.col("_row._node").alias("node"), F.explode("sides").alias("x")).select("node", "x.entity", "x.term").distinct()
-    joint = beside.where("term <> ''").groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_te")).where(F.col("n_te") >= min_support)
-    mentioned = beside.select("entity", "node").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
-    joint = landed(joint.join(mentioned, "entity"), "pii-joint")
-    wanted = joint.select("term").distinct()
-    body = F.col(f"`{text}`")
-    # word counts of all texts, by task first; an exact copy counts once, as its words meet on the text's hash
-    words = F.array_distinct(F.transform(split_words(F.lower(body)), lambda w: F.btrim(w, F.lit(EDGES))))
-    total = found.select("_row._node").distinct().count()
-    every = docs.select(F.md5(F.coalesce(body, F.lit(""))).alias("node"), F.explode(words).alias("term"))
-    every = every.join(wanted, "term", "left_semi")
-    counts = every.distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    share = F.log2(F.lit(float(max(total, 1))) * F.col("n_te") / (F.col("n_t") * F.col("n_e"))) / F.log2(F.lit(float(max(total, 1))) / F.col("n_e"))
-    return joint.join(counts, "term").select("entity", "term", share.alias("share")).where(F.col("share") >= alpha)
+    """(entity, term, share of the entity's information). The support of a pair is its number of
+    distinct texts, so copies alone prove nothing; PMI is over documents. The words of all
+    documents are counted by task first, whatever the entities are."""
+    rows = found.select(F.col("_row._node").alias("node"), F.array_distinct(F.transform("sides", lambda x: F.struct(
+        x.getField("entity").alias("entity"), x.getField("term").alias("term")))).alias("pairs"), F.array_distinct(
+        F.transform("sides", lambda x: x.getField("entity"))).alias("entities")).where(F.size("entities") > 0)
+    by_text = rows.groupBy("node").agg(F.count(F.lit(1)).alias("copies"), F.first("pairs").alias("pairs"))
+    joint = by_text.select("copies", F.inline("pairs")).where("term <> ''").groupBy("entity", "term").agg(
+        F.count(F.lit(1)).alias("support"), F.sum("copies").alias("n_te")).where(F.col("support") >= min_support)
+    mentioned = rows.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
+    words = F.array_distinct(F.transform(split_words(F.lower(F.col(f"`{text}`"))), lambda w: F.btrim(w, F.lit(EDGES))))
+    counts = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    total = F.lit(float(max(found.count(), 1)))
+    share = F.log2(total * F.col("n_te") / (F.col("n_t") * F.col("n_e"))) / F.log2(total / F.col("n_e"))
+    return joint.join(mentioned, "entity").where(total > F.col("n_e")).join(counts, "term") \
+        .select("entity", "term", share.alias("share")).where(F.col("share") >= alpha)
 
 
 def find_personal_data(docs: DataFrame, carry: list[str] | None = None, text: str = "text", alpha: float = ALPHA,
