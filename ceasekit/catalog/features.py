@@ -174,7 +174,7 @@ def f8(spark, d):
 @query("f9_one_hot", f"SELECT {ID}, datevalue, {_sel(one_hot_sql('technology'))} FROM customer_info")
 def f9(spark, d):
     s = study(spark, d)
-    vals = FE.distinct_values(s.info, F.col("technology"), s.cfg.max_categories)
+    vals = FE.distinct_values(s.info, F.col("technology"))
     return s.info.select(ID, "datevalue", *FE.one_hot_group("technology", vals))
 
 

@@ -50,7 +50,6 @@ class ChurnConfig:
     buffer_months: int = 3
     excluded_reasons: tuple = DEFAULT_EXCLUDED_REASONS
     attributes: tuple = ATTRIBUTE_COLUMNS
-    max_categories: int = 200                 # cap of distinct values read for one-hot columns
 
     @property
     def silver_columns(self) -> list:

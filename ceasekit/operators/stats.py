@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+import math
+import operator
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -47,7 +50,7 @@ def sorted_string_agg(c, sep: str = ", ") -> Column:
 
 def pairwise_pearson(df: DataFrame, columns: Sequence[str], first_only: bool = False) -> DataFrame:
     """Pearson r of every column pair (i < j in ``columns`` order), with nulls
-    skipped pairwise, in one scan. ``first_only`` keeps the pairs of the first
+    and NaN skipped pairwise, in one scan. ``first_only`` keeps the pairs of the first
     column with each other column (a target correlation: k - 1 rows per task).
 
     Each task folds its Arrow batches into k x k co-moments with numpy. Values are
@@ -64,8 +67,9 @@ def pairwise_pearson(df: DataFrame, columns: Sequence[str], first_only: bool = F
 
     k = len(columns)
     vals = [F.col(f"`{c}`").cast("double") for c in columns]
-    x = df.select(*[F.coalesce(v, F.lit(0.0)).alias(f"x{i}") for i, v in enumerate(vals)],
-                  *[v.isNotNull().cast("double").alias(f"m{i}") for i, v in enumerate(vals)])
+    present = [v.isNotNull() & ~F.isnan(v) for v in vals]
+    x = df.select(*[F.when(ok, v).otherwise(F.lit(0.0)).alias(f"x{i}") for i, (v, ok) in enumerate(zip(vals, present, strict=True))],
+                  *[F.coalesce(ok, F.lit(False)).cast("double").alias(f"m{i}") for i, ok in enumerate(present)])
     if first_only:
         ii, jj = np.zeros(k - 1, dtype=int), np.arange(1, k)
     else:
@@ -132,69 +136,47 @@ def pairwise_pearson(df: DataFrame, columns: Sequence[str], first_only: bool = F
                     r.alias("r"))
 
 
-SMALL_QUANTILE_INPUT = 200_000    # up to this many values one ``percentile`` task is bounded
+def exact_quantiles(df: DataFrame, c: str, probs: Sequence[float], accuracy: int = 100000) -> list | None:
+    """Exact quantiles (linear interpolation at rank p*(n-1)) with bounded memory; runs its jobs at
+    once and returns the ``len(probs)`` numbers (like ``approxQuantile``), or None when the column
+    has no values. One path at every size; nulls and NaN are skipped.
 
-
-def exact_quantiles(df: DataFrame, c: str, probs: Sequence[float], accuracy: int = 100000,
-                    small: int = SMALL_QUANTILE_INPUT) -> list | None:
-    """Exact quantiles (linear interpolation at rank p*(n-1), as ``percentile``)
-    with bounded memory; returns the ``len(probs)`` numbers (like ``approxQuantile``),
-    or None when the column has no values.
-
-    1. Two small jobs: the row count and ``percentile_approx`` brackets around every
-       target rank (rank error <= n/accuracy, widened by two positions); the
-       2 x len(probs) bracket values return as literals, like ``approxQuantile``.
-    2. Rows become (value, count) pairs (a value repeated a billion times is one
-       row); only the pairs inside a bracket are kept, about 10*n/accuracy per
-       target whatever n is, plus one count of the values below each bracket.
-    3. A running count over each small bracket finds the two order statistics.
-    ``percentile`` keeps every distinct value in one task, so it is used only
-    when the count shows at most ``small`` values.
-    Nulls and NaN are skipped.
+    1. The row count, and ``percentile_approx`` brackets around every target rank (rank error
+       <= n/accuracy, widened by two positions).
+    2. One aggregate counts the values below and inside each bracket. A bracket that misses its
+       target rank is widened and counted again.
+    3. Rows inside a bracket, about 10*n/accuracy per target, are reduced to (value, count) pairs
+       (a value repeated a billion times is one row); a running count finds the two order statistics.
     """
-    from pyspark import StorageLevel
-
     x = F.col(c).cast("double")
-    # one column, read three times below: kept (memory, spilling to disk) meanwhile
-    data = df.select(x.alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x")) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return _exact_quantiles(data, probs, accuracy, small)
-    finally:
-        data.unpersist()
-
-
-def _exact_quantiles(data: DataFrame, probs, accuracy: int, small: int):
-    import math
-
-    from pyspark.sql import Window
-
+    data = df.select(x.alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
     n = data.count()
     if n == 0:
         return None
-    if n <= small:
-        return list(data.select(F.percentile("_x", F.array(*[F.lit(float(p)) for p in probs]))).first()[0])
-    d = 5.0 / accuracy + 2.0 / n
-    k = len(probs)
-    lo_p = [max(0.0, p - d) for p in probs]
-    hi_p = [min(1.0, p + d) for p in probs]
-    b = data.select(F.percentile_approx("_x", F.array(*[F.lit(float(p)) for p in lo_p + hi_p]), accuracy)
-                    .cast("array<double>").alias("b")).first().b
-    lo, hi = b[:k], b[k:]
-    counts = data.groupBy("_x").agg(F.count(F.lit(1)).alias("_c"))
-    below = counts.select(F.inline(F.array(*[
-        F.struct(F.lit(j).alias("j"), F.when(F.col("_x") < F.lit(lo[j]), F.col("_c")).otherwise(0).alias("_b"))
-        for j in range(k)]))).groupBy("j").agg(F.sum("_b").alias("_below"))
-    tags = F.array(*[F.when(F.col("_x").between(F.lit(lo[j]), F.lit(hi[j])), F.lit(j)) for j in range(k)])
-    cand = counts.select(F.explode(tags).alias("j"), "_x", "_c").where(F.col("j").isNotNull())
-    run = Window.partitionBy("j").orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cand = cand.join(below, "j").withColumn("_cum", F.col("_below") + F.sum("_c").over(run))
     ranks = [p * (n - 1) for p in probs]
-    i0 = F.element_at(F.array(*[F.lit(int(math.floor(r))) for r in ranks]), F.col("j") + 1)
-    i1 = F.element_at(F.array(*[F.lit(int(math.ceil(r))) for r in ranks]), F.col("j") + 1)
-    fr = F.element_at(F.array(*[F.lit(float(r - math.floor(r))) for r in ranks]), F.col("j") + 1)
-    per = cand.groupBy("j").agg(F.min(F.when(F.col("_cum") > i0, F.col("_x"))).alias("v0"),
-                                F.min(F.when(F.col("_cum") > i1, F.col("_x"))).alias("v1"), F.first(fr).alias("fr"))
-    per = per.withColumn("q", F.col("v0") + F.col("fr") * (F.col("v1") - F.col("v0")))
-    got = {r.j: r.q for r in per.select("j", "q").collect()}
-    return [got.get(j) for j in range(k)]
+    lower, upper = [math.floor(r) for r in ranks], [math.ceil(r) for r in ranks]
+    width, k = 5.0 / accuracy + 2.0 / n, len(probs)
+    while True:
+        at = [max(0.0, p - width) for p in probs] + [min(1.0, p + width) for p in probs]
+        b = data.select(F.percentile_approx("_x", F.array(*[F.lit(float(p)) for p in at]), accuracy).cast("array<double>").alias("b")).first().b
+        lo = [-math.inf if p == 0 else v for p, v in zip(at[:k], b[:k], strict=True)]
+        hi = [math.inf if p == 1 else v for p, v in zip(at[k:], b[k:], strict=True)]
+        inside = [F.col("_x").between(F.lit(lo[j]), F.lit(hi[j])) for j in range(k)]
+        counts = data.agg(*[F.count_if(F.col("_x") < F.lit(lo[j])).alias(f"b{j}") for j in range(k)],
+                          *[F.count_if(inside[j]).alias(f"i{j}") for j in range(k)]).first()
+        if all(counts[f"b{j}"] <= lower[j] and upper[j] < counts[f"b{j}"] + counts[f"i{j}"] for j in range(k)):
+            break
+        width *= 4
+
+    def of(values, kind):
+        return F.element_at(F.array(*[F.lit(v).cast(kind) for v in values]), F.col("j") + 1)
+
+    near = data.where(functools.reduce(operator.or_, inside))
+    tags = F.filter(F.array(*[F.when(inside[j], F.lit(j)) for j in range(k)]), lambda v: v.isNotNull())
+    pairs = near.groupBy("_x").agg(F.count(F.lit(1)).alias("_c")).select(F.explode(tags).alias("j"), "_x", "_c")
+    run = Window.partitionBy("j").orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cum = pairs.withColumn("_cum", of([counts[f"b{j}"] for j in range(k)], "bigint") + F.sum("_c").over(run))
+    per = cum.groupBy("j").agg(F.min(F.when(F.col("_cum") > of(lower, "bigint"), F.col("_x"))).alias("v0"),
+                               F.min(F.when(F.col("_cum") > of(upper, "bigint"), F.col("_x"))).alias("v1"))
+    got = {r.j: (r.v0, r.v1) for r in per.collect()}
+    return [got[j][0] + (ranks[j] - lower[j]) * (got[j][1] - got[j][0]) for j in range(k)]

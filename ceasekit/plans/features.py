@@ -31,13 +31,9 @@ ONE_HOT_SPECS = {
 }
 
 
-def distinct_values(df: DataFrame, expr: Column, cap: int) -> list:
-    """Distinct non-null values of ``expr``, at most ``cap`` (else an error: the
-    column is not a category). Only the capped distinct list reaches the driver."""
-    rows = df.select(expr.alias("v")).where(F.col("v").isNotNull()).distinct().limit(cap + 1).collect()
-    if len(rows) > cap:
-        raise ValueError(f"more than {cap} distinct values; not a one-hot category")
-    return sorted(r.v for r in rows)
+def distinct_values(df: DataFrame, expr: Column) -> list:
+    """Distinct non-null values of ``expr``. They reach the driver because each becomes a column."""
+    return sorted(r.v for r in df.select(expr.alias("v")).where(F.col("v").isNotNull()).distinct().collect())
 
 
 def _source(group: str) -> Column:
@@ -47,25 +43,22 @@ def _source(group: str) -> Column:
 
 def categories(raw_info: DataFrame, cfg: ChurnConfig = DEFAULT, groups=None) -> dict[str, list]:
     """Distinct values of every one-hot group in one job: each row becomes one
-    (group, value) row per group, each value in a column of its own type; a
-    partial-aggregate distinct keeps at most ``max_categories`` rows per group."""
+    (group, value) row per group, each value in a column of its own type, and a
+    partial-aggregate distinct keeps one row per value. Pass explicit lists to
+    :func:`one_hot` to skip the job."""
     groups = list(groups or ONE_HOT_SPECS)
     if len(groups) == 1:
-        return {groups[0]: distinct_values(raw_info, _source(groups[0]), cfg.max_categories)}
-    cap = cfg.max_categories
+        return {groups[0]: distinct_values(raw_info, _source(groups[0]))}
     types = [raw_info.select(_source(g).alias("v")).schema[0].dataType for g in groups]
     tagged = [F.struct(F.lit(i).alias("g"), *[(_source(g) if j == i else F.lit(None).cast(t)).alias(f"v{j}")
                                               for j, t in enumerate(types)])
               for i, g in enumerate(groups)]
     pairs = raw_info.select(F.inline(F.array(*tagged)))
     present = F.coalesce(*[F.when(F.col("g") == i, F.col(f"v{i}").isNotNull()) for i in range(len(groups))])
-    rows = pairs.where(present).distinct().limit(len(groups) * cap + 1).collect()
+    rows = pairs.where(present).distinct().collect()
     out = {}
     for i, g in enumerate(groups):
-        vals = [r[f"v{i}"] for r in rows if r.g == i]
-        if len(vals) > cap or len(rows) > len(groups) * cap:
-            raise ValueError(f"more than {cap} distinct values in a one-hot group; not a category")
-        out[g] = sorted(vals)
+        out[g] = sorted(r[f"v{i}"] for r in rows if r.g == i)
     return out
 
 

@@ -61,11 +61,17 @@ def r_squared(pred: DataFrame, y: str, p: str = "prediction", weight: str | None
 
 
 def fit_summary(points: DataFrame, x: str, y: str, degree: int, weight: str | None = None) -> DataFrame:
-    """One row: degree, points, R^2, intercept and coefficients (x scaled to [-1, 1])."""
+    """One row: degree, points, R^2, intercept and coefficients (x scaled to [-1, 1]). With no more
+    points than the degree nothing is determined: R^2 and the coefficients are null."""
+    n = points.where(F.col(x).isNotNull() & F.col(y).isNotNull()).count()
+    if n <= degree:
+        return points.sparkSession.createDataFrame(
+            [(degree, n, None, None, None, None, None)],
+            "degree int, n_points long, r2 double, intercept double, coefficients array<double>, x_min double, x_max double")
     f = poly_fit(points, x, y, degree, weight)
     r2 = r_squared(f.predict(points), y, weight=weight)
     coef = [float(c) for c in f.model.coefficients]
-    return r2.select(F.lit(degree).alias("degree"), F.lit(points.count()).alias("n_points"), "r2",
+    return r2.select(F.lit(degree).alias("degree"), F.lit(n).cast("long").alias("n_points"), "r2",
                      F.lit(float(f.model.intercept)).alias("intercept"),
                      F.array(*[F.lit(c) for c in coef]).alias("coefficients"),
                      F.lit(f.lo).alias("x_min"), F.lit(f.hi).alias("x_max"))

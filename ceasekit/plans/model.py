@@ -90,7 +90,7 @@ def select_features(columns, reduced: bool = False) -> list[str]:
 
 
 def assemble(df: DataFrame, features) -> DataFrame:
-    cols = [F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(MISSING)).alias(c) for c in features]
+    cols = [F.coalesce(F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double")), F.lit(MISSING)).alias(c) for c in features]
     base = df.select(*[c for c in df.columns if c not in features], *cols)
     return VectorAssembler(inputCols=list(features), outputCol="features").transform(base)
 

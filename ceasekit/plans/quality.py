@@ -109,9 +109,10 @@ def usage_rows_after(usage: DataFrame, cease: DataFrame, key: str, usage_date: s
     Work is linear in the distinct days, with no (usage day x event) pairs; a
     customer's stream holds its distinct days, bounded by the calendar.
     """
+    usage = usage.where(F.col(key).isNotNull())         # a null id matches no event
     u = usage.groupBy(key, F.col(usage_date).alias("_d")).agg(F.count(F.lit(1)).alias("_nu")) \
         .withColumn("_nc", F.lit(0).cast("bigint"))
-    c = cease.where(F.col(event_date).isNotNull()).groupBy(key, F.col(event_date).alias("_d")) \
+    c = cease.where(F.col(key).isNotNull() & F.col(event_date).isNotNull()).groupBy(key, F.col(event_date).alias("_d")) \
         .agg(F.count(F.lit(1)).alias("_nc")).withColumn("_nu", F.lit(0).cast("bigint"))
     # after = all usage of the customer - usage up to and including the day (two linear frames;
     # a frame running to the partition end would be re-summed for every row)

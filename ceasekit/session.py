@@ -34,7 +34,7 @@ def get_spark(master: str | None = None, app: str = "ceasekit",
         # AQE broadcasts a side up to 32 MB measured on its materialised shuffle output
         "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
-        "spark.driver.memory": os.environ.get("CEASEKIT_DRIVER_MEMORY", "16g"),
+        "spark.driver.memory": os.environ.get("CEASEKIT_DRIVER_MEMORY", "8g"),
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -48,10 +48,13 @@ def get_spark(master: str | None = None, app: str = "ceasekit",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; set a scratch one only when unset (tests)."""
+    """Use the cluster's ``spark.checkpoint.dir``. A scratch folder stands in for it in local mode only:
+    on a cluster each executor would write to its own disk."""
     sc = spark.sparkContext
     cur = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not cur:
+        if not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         cur = tempfile.mkdtemp(prefix="ceasekit-ckpt-")
         spark.conf.set("spark.checkpoint.dir", cur)
     if sc.getCheckpointDir() is None:

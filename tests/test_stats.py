@@ -31,7 +31,7 @@ def test_exact_quantiles_bracket_path(spark):
     vals = np.concatenate([rng.normal(size=3000), np.full(2000, 0.25)])
     df = spark.createDataFrame(pd.DataFrame({"x": vals}))
     probs = [0.0, 0.05, 0.3, 0.5, 0.77, 1.0]
-    got = exact_quantiles(df, "x", probs, accuracy=1000, small=0)    # force the bracket method
+    got = exact_quantiles(df, "x", probs, accuracy=1000)
     assert np.allclose(got, np.percentile(vals, [p * 100 for p in probs]))
 
 
@@ -90,3 +90,43 @@ def test_poly_fit_matches_numpy(spark):
     pred = f.predict(pts).toPandas().sort_values("x")["prediction"].to_numpy()
     coef = np.polyfit(x, y, 3, w=np.sqrt(w))
     assert np.allclose(pred, np.polyval(coef, x), atol=1e-8)
+
+
+def test_quantiles_one_path_at_every_size(spark):
+    from ceasekit.operators.stats import exact_quantiles
+    rng = np.random.default_rng(11)
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
+    for n in (1, 2, 7, 4000):
+        v = np.round(rng.exponential(10, n), 2)
+        got = exact_quantiles(spark.createDataFrame(pd.DataFrame({"x": v})), "x", probs, accuracy=200)
+        assert np.allclose(got, np.quantile(v, probs), rtol=0, atol=1e-12)
+    assert exact_quantiles(spark.createDataFrame([(None,), (float("nan"),)], "x double"), "x", probs) is None
+
+
+def test_pearson_skips_nan_at_any_partitioning(spark):
+    from ceasekit.operators.stats import pairwise_pearson
+    rng = np.random.default_rng(12)
+    pdf = pd.DataFrame({"a": rng.normal(size=2000)})
+    pdf["b"] = pdf["a"] + rng.normal(size=2000)
+    pdf.loc[1234, "a"] = np.nan
+    rows = [(None if i == 77 else float(a), float(b)) for i, (a, b) in enumerate(pdf.itertuples(index=False))]
+    want = pdf.drop(index=77)["a"].corr(pdf.drop(index=77)["b"])
+    for parts in (1, 2, 8):
+        got = pairwise_pearson(spark.createDataFrame(rows, "a double, b double").repartition(parts), ["a", "b"]).first().r
+        assert abs(got - want) < 1e-9
+
+
+def test_usage_after_ignores_null_ids(spark):
+    import datetime as dt
+    from ceasekit.plans.quality import usage_after
+    d = dt.date
+    usage = spark.createDataFrame([(None, d(2024, 2, 1)), ("c1", d(2024, 2, 1))], "id string, day date")
+    cease = spark.createDataFrame([(None, d(2024, 1, 1)), ("c1", d(2024, 1, 1))], "id string, placed date")
+    r = usage_after(usage, cease, "id", "day", "placed").first()
+    assert (r.customers, r.records) == (1, 1)
+
+
+def test_poly_summary_needs_more_points_than_the_degree(spark):
+    from ceasekit.plans.fits import fit_summary
+    r = fit_summary(spark.createDataFrame([(1.0, 2.0), (2.0, 3.0)], "x double, y double"), "x", "y", 6).first()
+    assert r.n_points == 2 and r.r2 is None
