@@ -10,6 +10,7 @@ from ceasekit.functions.keys import uniform
 from ceasekit.oracle_sql import register
 from ceasekit.operators.ranking import auc
 from ceasekit.plans import model as M
+from ceasekit.sources.io import scratch_path
 
 ID = "unique_customer_identifier"
 
@@ -155,10 +156,17 @@ def m7(spark, d):
     return M.learning_curve(trained(spark, d))
 
 
+def cross_validated(spark, d):
+    s = study(spark, d)
+    if not hasattr(s, "_cv"):
+        tm = trained(spark, d)
+        s._cv = M.cross_validate(tm, tm.best)
+    return s._cv
+
+
 @query("m8_cross_validate")
 def m8(spark, d):
-    tm = trained(spark, d)
-    return M.cross_validate(tm, M.best_trees(tm))
+    return cross_validated(spark, d)
 
 
 @query("m9_model_auc")
@@ -183,13 +191,36 @@ def m12(spark, d):
     a = {r["part"]: r["auc"] for r in auc(sc, "score", "churned", ["part"]).collect()}
     sizes = {r["part"]: r["rows"] for r in M.split_report(tm.data).collect()}
     p = tm.params
-    return M.run_summary(spark, {
+    cv = cross_validated(spark, d).first()
+    summary = M.run_summary(spark, {
         "rows": sum(sizes.values()), "features": len(tm.features), "fit_rows": sizes.get("fit", 0),
         "monitor_rows": sizes.get("monitor", 0), "val_rows": sizes.get("val", 0), "test_rows": sizes.get("test", 0),
-        "trees": tm.model.getNumTrees, "best_trees": M.best_trees(tm), "val_auc": a.get("val"), "test_auc": a.get("test"),
+        "trees_tried": len(tm.curve), "best_trees": tm.best, "cv_auc_mean": cv.cv_auc_mean, "cv_auc_std": cv.cv_auc_std, "val_auc": a.get("val"), "test_auc": a.get("test"),
         "learning_rate": p.learning_rate, "max_depth": p.max_depth, "row_sample": p.row_sample,
         "column_sample": p.column_sample, "min_rows_per_leaf": p.min_rows_per_leaf,
-        "scale_pos_weight": round(tm.scale_pos_weight, 6)})
+        "patience": p.patience, "l1_on_leaf_weights": "not in MLlib", "scale_pos_weight": round(tm.scale_pos_weight, 6)})
+    path = scratch_path(spark, "run-summary")
+    summary.coalesce(1).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+_FEATURE_COUNT = "(SELECT count(*) FROM (DESCRIBE SELECT * FROM gold) WHERE column_name NOT IN ({}))".format(
+    ", ".join(f"'{c}'" for c in M.NON_FEATURES))
+
+
+@query("m11_importance_check", f"SELECT CAST({_FEATURE_COUNT} AS BIGINT) AS features, true AS none_negative, true AS sums_to_one")
+def m11c(spark, d):
+    """Importance of every feature of the full model: one row each, none negative, 1 in total."""
+    imp = M.feature_importance(trained(spark, d), top=None)
+    return imp.agg(F.count(F.lit(1)).alias("features"), (F.min("importance") >= 0).alias("none_negative"),
+                   (F.abs(F.sum("importance") - 1) < 1e-9).alias("sums_to_one"))
+
+
+@query("m13_score_check", "SELECT part, count(*) AS customers, count(*) AS scored FROM gold_parts GROUP BY part")
+def m13c(spark, d):
+    """Every gold customer has one score in [0, 1] and keeps its part."""
+    return M.score(trained(spark, d)).groupBy("part").agg(
+        F.count_distinct(ID).alias("customers"), F.count_if(F.col("score").between(0, 1)).alias("scored"))
 
 
 @query("m13_score_customers")

@@ -1,0 +1,82 @@
+"""Area under the ROC curve of every tree prefix of a boosted model, and the choice of a prefix.
+
+One pass over the rows: MLlib gives the leaf a row falls into for each tree, the running sum of
+the leaf values is the raw score of every prefix, and each task counts positives and negatives
+per (part, prefix, score bin). Only these counts are shuffled, trees x bins per task whatever
+the number of rows. A prefix score is resolved to 1/1024 of the probability for the curve;
+rows in one bin count as ties.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+import numpy as np
+import pandas as pd
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from ceasekit.sources.io import scratch_path
+
+BINS = 1024
+ROWS_AT_ONCE = 1_000       # rows x trees held by a task
+
+
+def leaf_values(model, spark) -> np.ndarray:
+    """trees x leaves: the weighted prediction of each leaf in leaf order. Read from the saved model;
+    bounded by the trees and their depth."""
+    path = scratch_path(spark, "boosted-trees")
+    model.save(path)
+    nodes = spark.read.parquet(f"{path}/data").where("nodeData.leftChild < 0")
+    leaves = nodes.groupBy("treeID").agg(F.array_sort(F.collect_list(F.struct("nodeData.id", "nodeData.prediction"))).alias("leaves"))
+    found = {r.treeID: [x.prediction for x in r.leaves] for r in leaves.collect()}
+    out = np.zeros((len(found), max(map(len, found.values()))))
+    for tree, weight in enumerate(model.treeWeights):
+        out[tree, :len(found[tree])] = np.array(found[tree]) * weight
+    return out
+
+
+def prefix_auc(model, data: DataFrame, label: str, part: str = "part") -> DataFrame:
+    """(part, trees, auc) for every prefix of ``model`` on every part of ``data``."""
+    values = leaf_values(model, data.sparkSession)
+    trees = len(values)
+    rows = model.copy().setLeafCol("_leaf").transform(data).select(
+        F.col(part).alias("part"), F.col(label).cast("int").alias("y"), vector_to_array("_leaf").cast("array<int>").alias("leaf"))
+
+    def count(batches):
+        counts: dict = {}
+        at = np.arange(trees)
+        for pdf in batches:
+            for start in range(0, len(pdf), ROWS_AT_ONCE):
+                piece = pdf.iloc[start:start + ROWS_AT_ONCE]
+                raw = np.cumsum(values[at, np.stack(piece["leaf"].to_numpy())], axis=1)
+                bins = np.minimum((BINS / (1.0 + np.exp(-2.0 * raw))).astype(np.int64), BINS - 1)
+                cells = (at * 2 + piece["y"].to_numpy()[:, None]) * BINS + bins
+                for name, index in piece.groupby("part").indices.items():
+                    total = counts.setdefault(name, np.zeros(trees * 2 * BINS, dtype=np.int64))
+                    cell, n = np.unique(cells[index], return_counts=True)
+                    total[cell] += n
+        for name, total in counts.items():
+            cell = np.flatnonzero(total)
+            yield pd.DataFrame({"part": name, "trees": cell // (2 * BINS) + 1, "y": cell // BINS % 2, "bin": cell % BINS, "n": total[cell]})
+
+    cells = rows.where("part IS NOT NULL AND y IS NOT NULL").mapInPandas(count, "part string, trees int, y int, bin int, n long")
+    bins = cells.groupBy("part", "trees", "bin").agg(F.sum(F.col("n") * F.col("y")).alias("pos"), F.sum(F.col("n") * (1 - F.col("y"))).alias("neg"))
+    w = Window.partitionBy("part", "trees").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = bins.withColumn("below", F.coalesce(F.sum("neg").over(w), F.lit(0)))
+    wins = F.sum(F.col("pos") * (F.col("below") + 0.5 * F.col("neg")))
+    return ranked.groupBy("part", "trees").agg(F.try_divide(wins, F.sum("pos").cast("double") * F.sum("neg")).alias("auc"))
+
+
+def best_prefix(curve: Sequence[float | None], patience: int) -> tuple[int, bool]:
+    """(prefix with the first best AUC, whether ``patience`` rounds without a better one followed it).
+    Rounds after that point are not looked at. A part with one class only has no AUC and counts as 0.5."""
+    best, best_auc = 0, -1.0
+    for trees, auc in enumerate(curve, 1):
+        value = 0.5 if auc is None else auc
+        if value > best_auc:
+            best, best_auc = trees, value
+        elif trees - best >= patience:
+            return best, True
+    return best, False

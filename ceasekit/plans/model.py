@@ -3,10 +3,10 @@
 Splits are hash thresholds on a seeded md5 of the customer id (no shuffle, the
 same on every run and partition count). Training uses MLlib gradient-boosted
 trees. Known differences to the studied single-machine booster: no L1 term on
-leaf weights, feature subsampling per node instead of per tree, minimum rows
-(not hessian weight) per leaf, and early stopping on validation loss
-(``validationTol``) instead of AUC patience; the learning curve reports the
-loss of every tree prefix so the best prefix can still be chosen.
+leaf weights, feature subsampling per node instead of per tree, and minimum rows
+(not hessian weight) per leaf. Early stopping is the study's: the AUC of every
+tree prefix on the monitor part, stopped after ``patience`` rounds without a
+better one, and the best prefix is kept.
 """
 
 from __future__ import annotations
@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ceasekit.functions.keys import uniform
-from ceasekit.operators.ranking import auc
+from ceasekit.operators.boosting import best_prefix, prefix_auc
+from ceasekit.sources.io import scratch_path
 
 ID = "unique_customer_identifier"
 LABEL = "churned"
@@ -38,7 +39,7 @@ class BoostParams:
     row_sample: float = 0.8
     column_sample: float = 0.8
     min_rows_per_leaf: int = 5
-    validation_tol: float = 0.0
+    patience: int = 50
     seed: int = 42
     split_seed: int = 42
     carve_seed: int = 42
@@ -102,17 +103,15 @@ class TrainedModel:
     params: BoostParams
     scale_pos_weight: float
     data: DataFrame = field(repr=False)
+    curve: list = field(repr=False)          # (trees, AUC on fit, AUC on monitor) of every prefix trained
+    best: int = 0
 
 
-def _gbt(p: BoostParams, trees: int, validation: bool) -> GBTClassifier:
-    g = GBTClassifier(featuresCol="features", labelCol=LABEL, weightCol="w", maxIter=trees, stepSize=p.learning_rate,
+def _gbt(p: BoostParams, trees: int) -> GBTClassifier:
+    return GBTClassifier(featuresCol="features", labelCol=LABEL, weightCol="w", maxIter=trees, stepSize=p.learning_rate,
                       maxDepth=p.max_depth, subsamplingRate=p.row_sample,
                       featureSubsetStrategy=str(p.column_sample), minInstancesPerNode=p.min_rows_per_leaf,
                       seed=p.seed, lossType="logistic")
-    if validation:
-        g = g.setValidationIndicatorCol("is_monitor")
-        g._set(validationTol=p.validation_tol)
-    return g
 
 
 def prepare(gold: DataFrame, p: BoostParams, reduced: bool = False) -> tuple[DataFrame, list, float]:
@@ -120,16 +119,41 @@ def prepare(gold: DataFrame, p: BoostParams, reduced: bool = False) -> tuple[Dat
     features = select_features(gold.columns, reduced)
     spw = class_weight(parts).first()[0] or 1.0
     w = F.when(F.col(LABEL) == 1, F.lit(float(spw))).otherwise(F.lit(1.0))
-    data = assemble(parts.withColumn("w", w).withColumn("is_monitor", F.col("part") == "monitor"), features)
+    data = assemble(parts.withColumn("w", w), features)
     return data, features, float(spw)
 
 
 def train_boosted_trees(gold: DataFrame, p: BoostParams = MODEL_1, reduced: bool = False) -> TrainedModel:
-    """M6: boosted trees on the fit part with the monitor part for early stopping."""
-    data, features, spw = prepare(gold, p, reduced)
-    train = data.where(F.col("part").isin("fit", "monitor"))
-    model = _gbt(p, p.max_trees, True).fit(train)
-    return TrainedModel(model, features, p, spw, data)
+    """M6: boosted trees on the fit part, stopped by the AUC on the monitor part.
+
+    MLlib cannot go on with a trained model, so the number of trees is doubled until the best
+    prefix is followed by ``patience`` flat rounds or ``max_trees`` is reached. Training is
+    seeded and reads a written table, so a longer run starts with the same trees; the best
+    prefix is trained once more by itself."""
+    planned, features, spw = prepare(gold, p, reduced)
+    spark = planned.sparkSession
+    path = scratch_path(spark, "training-rows")
+    planned.write.parquet(path)
+    data = spark.read.parquet(path)
+    fit = data.where(F.col("part") == "fit")
+    trees = min(p.patience + p.patience // 4 + 1, p.max_trees)
+    while True:
+        model = _gbt(p, trees).fit(fit)
+        curve = prefix_curve(model, data)
+        best, stopped = best_prefix([monitor for _, _, monitor in curve], p.patience)
+        if stopped or trees == p.max_trees:
+            break
+        trees = min(2 * trees, p.max_trees)
+    if best < trees:
+        model = _gbt(p, best).fit(fit)
+    return TrainedModel(model, features, p, spw, data, curve, best)
+
+
+def prefix_curve(model, data: DataFrame) -> list[tuple[int, float | None, float | None]]:
+    """(trees, AUC on fit, AUC on monitor) of every prefix; one small row per prefix."""
+    rows = prefix_auc(model, data.where(F.col("part").isin("fit", "monitor")), LABEL).collect()
+    found = {(r.part, r.trees): r.auc for r in rows}
+    return [(t, found.get(("fit", t)), found.get(("monitor", t))) for t in range(1, model.getNumTrees + 1)]
 
 
 def score(tm: TrainedModel, df: DataFrame | None = None) -> DataFrame:
@@ -141,21 +165,9 @@ def score(tm: TrainedModel, df: DataFrame | None = None) -> DataFrame:
 
 
 def learning_curve(tm: TrainedModel) -> DataFrame:
-    """M7: log loss of every tree prefix on the fit and monitor parts; best prefix."""
-    spark = tm.data.sparkSession
-    fit = tm.data.where(F.col("part") == "fit")
-    mon = tm.data.where(F.col("part") == "monitor")
-    lf = tm.model.evaluateEachIteration(fit)
-    lm = tm.model.evaluateEachIteration(mon)
-    rows = [(i + 1, float(a), float(b)) for i, (a, b) in enumerate(zip(lf, lm))]
-    best = min(range(len(lm)), key=lambda i: lm[i]) + 1 if lm else 0
-    return spark.createDataFrame(rows, "trees int, fit_loss double, monitor_loss double") \
-        .withColumn("is_best", (F.col("trees") == best).cast("int"))
-
-
-def best_trees(tm: TrainedModel) -> int:
-    lm = tm.model.evaluateEachIteration(tm.data.where(F.col("part") == "monitor"))
-    return (min(range(len(lm)), key=lambda i: lm[i]) + 1) if lm else tm.model.getNumTrees
+    """M7: AUC of every trained tree prefix on the fit and monitor parts; the best prefix marked."""
+    rows = [(trees, fit, monitor, int(trees == tm.best)) for trees, fit, monitor in tm.curve]
+    return tm.data.sparkSession.createDataFrame(rows, "trees int, fit_auc double, monitor_auc double, is_best int")
 
 
 def cross_validate(tm: TrainedModel, trees: int, folds: int = 5) -> DataFrame:
@@ -164,7 +176,7 @@ def cross_validate(tm: TrainedModel, trees: int, folds: int = 5) -> DataFrame:
     train = tm.data.where(F.col("part").isin("fit", "monitor")) \
         .withColumn("fold", (uniform(ID, F.lit("fold"), seed=tm.params.seed) * folds).cast("int"))
     ev = BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol="rawPrediction", metricName="areaUnderROC")
-    gbt = _gbt(tm.params, max(trees, 1), False)
+    gbt = _gbt(tm.params, max(trees, 1))
     cv = CrossValidator(estimator=gbt, estimatorParamMaps=ParamGridBuilder().build(), evaluator=ev,
                         foldCol="fold", numFolds=folds, seed=tm.params.seed)
     m = cv.fit(train)
@@ -204,8 +216,8 @@ def classification_report(scored: DataFrame, by=("part",), label: str = LABEL, p
     return cm.select(*by, F.inline(F.array(*structs)))
 
 
-def feature_importance(tm: TrainedModel, top: int = 20) -> DataFrame:
-    """Normalised importance per feature, the ``top`` largest (a top-k report)."""
+def feature_importance(tm: TrainedModel, top: int | None = 20) -> DataFrame:
+    """Normalised importance per feature, the ``top`` largest (a top-k report; None: all)."""
     imp = tm.model.featureImportances.toArray()
     rows = sorted(((f, float(v)) for f, v in zip(tm.features, imp)), key=lambda r: -r[1])[:top]
     return tm.data.sparkSession.createDataFrame(rows, "feature string, importance double")
