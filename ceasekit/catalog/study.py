@@ -85,7 +85,7 @@ class Study:
 
     @cached_property
     def usage_behav_month(self) -> DataFrame:
-        return OB.usage_in_obs_month(self.usage, self.raw_info, self.cfg)
+        return self._landed("silver-usage-month", OB.usage_in_obs_month(self.usage, self.raw_info, self.cfg))
 
     @cached_property
     def gold(self) -> DataFrame:

@@ -28,7 +28,7 @@ SELECT CAST(o_custkey AS VARCHAR) AS unique_customer_identifier,
        CAST(o_orderdate AS DATE) AS cease_placed_date,
        CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) + 30 END AS cease_completed_date,
        CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderpriority END AS reason_description_insight
-FROM orders WHERE o_orderstatus = 'F' AND o_orderkey % 8 = 0""",
+FROM orders WHERE o_orderstatus = 'F' AND o_totalprice >= 435000""",
         "ci_base": """
 SELECT c.c_custkey, c.c_nationkey, c.c_acctbal, c.c_mktsegment, f.first_ts,
        CAST(date_trunc('month', f.first_ts) AS DATE) AS m0,
@@ -71,7 +71,7 @@ SELECT CAST(user_id AS VARCHAR) AS unique_customer_identifier,
        CAST(ts AS DATE) + CASE WHEN user_id % 2 = 1 THEN 31 ELSE 0 END AS calendar_date,
        value AS usage_download_mbs,
        CAST(json_extract_string(props, '$.k') AS DOUBLE) AS usage_upload_mbs
-FROM events WHERE NOT (user_id % 3 = 0 AND event_type <> 'view')""",
+FROM events""",
         # ---- silver: observation set (fixture config: excluded reasons, seed 42, buffer 3)
         "info_scalars": """
 SELECT max(datevalue) AS max_month, min(datevalue) AS min_month,

@@ -27,6 +27,7 @@ SALES_CHANNELS = ("Other", "Online - Search", "Online - Ambient", "Field", "Onli
 CRM_NAMES = (*CRM_KEEP, *CRM_ULTRA, "Broadband Basic", None)
 SPEEDS = (18, 35, 40, 65, 150, 1000)
 FIXTURE_EXCLUDED_REASONS = ("1-URGENT", "2-HIGH")
+CEASE_PRICE = 435_000          # a finished order from this price on counts as a cease request
 FIXTURE_CONFIG = CFG.with_(excluded_reasons=FIXTURE_EXCLUDED_REASONS)
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -50,7 +51,7 @@ def cease(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
     placed = F.to_date("o_orderdate")
-    return o.where((F.col("o_orderstatus") == "F") & (k % 8 == 0)).select(
+    return o.where((F.col("o_orderstatus") == "F") & (F.col("o_totalprice") >= CEASE_PRICE)).select(
         F.col("o_custkey").cast("string").alias(ID),
         placed.alias("cease_placed_date"),
         F.when(k % 3 == 0, F.lit(None).cast("date")).otherwise(F.date_add(placed, 30)).alias("cease_completed_date"),
@@ -124,11 +125,10 @@ def observation_b(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def usage_b(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cohort B usage from events: odd users shifted by 31 days; users with key
-    divisible by 3 keep only their views (sparser months)."""
+    """Cohort B usage from all events; odd users shifted by 31 days."""
     e = table(spark, sf_dir, "events")
     u = F.col("user_id")
-    return e.where(~((u % 3 == 0) & (F.col("event_type") != "view"))).select(
+    return e.select(
         u.cast("string").alias(ID),
         F.date_add(F.to_date("ts"), F.when(u % 2 == 1, 31).otherwise(0)).alias("calendar_date"),
         F.col("value").alias("usage_download_mbs"),
