@@ -41,6 +41,21 @@ def s3(spark, d):
     return IO.read_table(spark, name)
 
 
+@query("s5_s6_namespace_drop", """
+SELECT 'created' AS step, 1 AS tables, count(*) AS n_rows FROM region UNION ALL SELECT 'dropped', 0, 0""")
+def s5(spark, d):
+    """The namespace lists the table after the write, and no longer after the drop."""
+    IO.create_namespace(spark, "ceasekit_drop")
+    name = "ceasekit_drop.region_copy"
+    IO.drop_table(spark, name)
+    listed = lambda: sum(t.name == "region_copy" for t in spark.catalog.listTables("ceasekit_drop"))
+    n = IO.write_table(IO.read_parquet(spark, f"{d}/region.parquet"), name, IO.scratch_path(spark, "region")).count()
+    rows = [("created", listed(), n)]
+    IO.drop_table(spark, name)
+    rows.append(("dropped", listed(), 0))
+    return spark.createDataFrame(rows, "step string, tables int, n_rows long")
+
+
 @query("s7_csv_export", f"""
 SELECT u.{ID}, min(u.calendar_date) AS first_usage_date, max(u.calendar_date) AS last_usage_date, c.cease_placed_date,
        CAST(date_diff('day', max(u.calendar_date), c.cease_placed_date) AS INTEGER) AS days_diff_usage_to_cease

@@ -21,25 +21,23 @@ def rate_by_category(df: DataFrame, by, cfg: ChurnConfig = DEFAULT, with_overall
     """Customers, churn rate and share of all customers per value of ``by``
     (plus any ``extra`` key columns, e.g. a bucket ordinal).
 
-    The share is computed after the aggregate (a window over the few result rows),
-    not by a separate ``count()`` job. ``with_overall`` adds the overall rate instead.
+    The totals are a one-row scalar subquery, so no task sees all groups. ``with_overall`` adds
+    the overall rate instead of the share. Largest groups come first.
     """
     col = F.col(by) if isinstance(by, str) else by
     name = name or (by if isinstance(by, str) else "category")
     g = df.groupBy(col.alias(name), *extra).agg(
         F.count(F.lit(1)).alias("total_customers"),
         F.sum(cfg.label_col).alias("_churned"))
-    everyone = Window.partitionBy()
+    customers = df.select(F.count(F.lit(1))).scalar()
     g = g.withColumn("churn_rate", F.try_divide(F.col("_churned").cast("double"), F.col("total_customers")))
     if with_overall:
         g = g.withColumn("overall_churn_rate",
-                         F.try_divide(F.sum("_churned").over(everyone).cast("double"),
-                                      F.sum("total_customers").over(everyone)))
+                         F.try_divide(df.select(F.sum(cfg.label_col)).scalar().cast("double"), customers))
     else:
         g = g.withColumn("pct_of_total",
-                         F.try_divide(F.col("total_customers") * F.lit(100.0),
-                                      F.sum("total_customers").over(everyone)))
-    return g.drop("_churned")
+                         F.try_divide(F.col("total_customers") * F.lit(100.0), customers))
+    return g.drop("_churned").orderBy(F.desc("total_customers"), F.col(f"`{name}`"))
 
 
 def rate_by_value_in_range(raw_info: DataFrame, c: str, lo: float, hi: float,
@@ -122,7 +120,7 @@ def rate_by_quantile_bucket(raw_info: DataFrame, c: str, digits: int, exact: boo
     edges = [F.element_at(e, i + 1) for i in range(len(DECILES))]
     label, order = quantile_bucket(c, edges, digits)
     b = raw_info.select(label.alias(f"{c}_bucket"), order.alias("bucket_order"), cfg.label_col)
-    return rate_by_category(b, f"{c}_bucket", cfg, extra=("bucket_order",))
+    return rate_by_category(b, f"{c}_bucket", cfg, extra=("bucket_order",)).orderBy("bucket_order")
 
 
 def rate_by_fixed_bucket(raw_info: DataFrame, c: str = "line_speed", compat: bool = False,
@@ -130,7 +128,7 @@ def rate_by_fixed_bucket(raw_info: DataFrame, c: str = "line_speed", compat: boo
     """Line-speed buckets by tens (see ``line_speed_bucket``)."""
     from ceasekit.functions.buckets import line_speed_bucket, line_speed_bucket_order
     g = rate_by_category(raw_info, line_speed_bucket(c, compat), cfg, name=f"{c}_bucket")
-    return g.withColumn("bucket_order", line_speed_bucket_order(f"{c}_bucket"))
+    return g.withColumn("bucket_order", line_speed_bucket_order(f"{c}_bucket")).orderBy("bucket_order")
 
 
 def with_flag(raw_info: DataFrame, facts: DataFrame, name: str, cfg: ChurnConfig = DEFAULT) -> DataFrame:

@@ -76,7 +76,7 @@ def weekly_counts(df: DataFrame, date_col: str) -> DataFrame:
     daily = df.groupBy(iso_year_week(date_col).alias("year_week"), F.col(date_col)).agg(
         F.count(F.lit(1)).alias("churns"))
     return daily.groupBy("year_week").agg(F.count(F.lit(1)).alias("days_in_week"),
-                                          F.sum("churns").cast("bigint").alias("weekly_churns"))
+                                          F.sum("churns").cast("bigint").alias("weekly_churns")).orderBy("year_week")
 
 
 def active_balance(cease: DataFrame, info: DataFrame, date_col: str, month_col: str) -> DataFrame:
