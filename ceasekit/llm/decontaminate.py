@@ -7,6 +7,10 @@ partition: with a containment of t or more at least one of them is in the docume
 search loses nothing. A document is only searched for the partitions whose items can be
 contained in it at all. Candidates are verified by their exact shingles (as text).
 
+A benchmark of at most ``PLAN_BYTES`` of text, measured first, travels to the documents as
+constants and nothing is shuffled. A larger one is joined on the sketch hashes instead, by the
+same rules; neither the driver nor a task then holds it whole.
+
 Words are lower-cased runs of non-space. Defined cases: null and empty texts, and texts or
 items of fewer than five words, have no shingles and match nothing; repeated rows and items
 are judged alike; an empty benchmark leaves every document; extra columns are carried.
@@ -19,12 +23,14 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ceasekit.llm.common import let, split_words, table
+from ceasekit.llm.common import landed, let, packed, split_words, table, unpacked
 
 SHINGLE = 5
 THRESHOLD = 0.8
 #: Items are held in the plan in blocks of this many; each block is searched in the same scan.
 BLOCK_ITEMS = 2_000
+#: Items with at most this much text in all (their shingles have about five times as much) go into the plan.
+PLAN_BYTES = 4 << 20
 
 
 def shingles(words: Column, join) -> Column:
@@ -66,13 +72,16 @@ def least_common(size: int, threshold: float) -> int:
     return math.ceil(threshold * size - 1e-9)
 
 
-def sketched_items(items: DataFrame, threshold: float = THRESHOLD, item_id: str = "item_id", text: str = "text") -> list[list[dict]]:
-    """Blocks of items with size, sketch and shingles. A benchmark is small by nature; it passes
-    through the driver in blocks, one at a time, and is never joined to itself."""
+def paired_items(items: DataFrame, item_id: str, text: str) -> DataFrame:
+    """(id, pairs: the item's distinct shingles as (hash, text), by hash) of the items that have any."""
     pairs = F.array_distinct(F.arrays_zip(hashed_shingles().alias("h"), shingles(F.col("_c_words"), joined).alias("s")))
-    rows = with_words(items, text).select(F.col(f"`{item_id}`").alias("id"), F.sort_array(pairs).alias("pairs")).where(F.size("pairs") > 0)
+    return with_words(items, text).select(F.col(f"`{item_id}`").alias("id"), F.sort_array(pairs).alias("pairs")).where(F.size("pairs") > 0)
+
+
+def sketched_items(items: DataFrame, threshold: float = THRESHOLD, item_id: str = "item_id", text: str = "text") -> list[list[dict]]:
+    """Blocks of items with size, sketch and shingles, for a benchmark within ``PLAN_BYTES``."""
     blocks: list[list[dict]] = [[]]
-    for r in rows.toLocalIterator():
+    for r in paired_items(items, item_id, text).toLocalIterator():
         upper = (1 << len(r.pairs).bit_length()) - 1          # sizes from 2^k to 2^(k + 1) - 1 make a partition
         sketch = r.pairs[:math.floor((1 - threshold) * upper + 1e-9) + 1]
         if len(blocks[-1]) == BLOCK_ITEMS:
@@ -114,12 +123,51 @@ def matches(block: list[dict], id_type: str) -> tuple[Column, Column]:
     return F.coalesce(F.arrays_overlap("_c_shingles", sketches), F.lit(False)), F.get(bound, F.lit(0))
 
 
+def fits_plan(items: DataFrame, text: str) -> bool:
+    return (items.agg(F.sum(F.octet_length(F.col(f"`{text}`")).cast("long")).alias("b")).first().b or 0) <= PLAN_BYTES
+
+
+def found_type(items: DataFrame, item_id: str) -> str:
+    return f"array<struct<item_id:{items.schema[item_id].dataType.simpleString()},n_shingles:int,need:int,n_common:int>>"
+
+
+def joined_items(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, text: str = "text",
+                 item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """:func:`contained_items` for a benchmark of any size: equal texts are one node, whose distinct
+    shingle hashes meet the sketches; candidates are verified by joins on the item and the node."""
+    body = F.col(f"`{text}`")
+    node = F.md5(F.coalesce(body, F.lit("")))
+    n = F.size("pairs")
+    upper = F.pow(F.lit(2.0), F.length(F.bin(n.cast("long")))) - 1          # the largest size of the item's partition
+    listed = landed(paired_items(items, item_id, item_text).select(
+        F.expr("uuid()").alias("item"), "id", n.alias("n"), F.ceil(n * threshold - 1e-9).cast("int").alias("need"),
+        F.floor(upper * (1 - threshold) + 1e-9).cast("int").alias("k"), "pairs"), "decontaminate-items")
+    sketches = listed.select("item", F.explode(F.slice(F.transform("pairs", lambda x: x.getField("h")), F.lit(1), F.col("k") + 1)).alias("h"))
+    hashes = with_words(docs.select(body.alias("text")), "text").select(
+        F.md5(F.coalesce("text", F.lit(""))).alias("node"), F.explode(F.array_distinct(hashed_shingles())).alias("h"))
+    candidates = landed(hashes.join(sketches, "h").select("node", "item").distinct(), "decontaminate-candidates")
+    nodes = docs.select(node.alias("node"), body.alias("text")).join(candidates.select("node").distinct(), "node", "left_semi") \
+        .groupBy("node").agg(F.first("text").alias("text"))
+    shingled = with_words(nodes, "text").select("node", shingle_texts(F.col("_c_words")).alias("texts"))
+    items_of = listed.select("item", "id", "n", "need", F.transform("pairs", lambda x: x.getField("s")).alias("shingles"))
+    counted = candidates.join(items_of, "item").join(shingled, "node").select(
+        "node", "id", "n", "need", F.size(F.array_intersect("shingles", "texts")).alias("common")).where("common >= need")
+    found = counted.groupBy("node").agg(F.collect_list(F.struct(
+        F.col("id").alias("item_id"), F.col("n").alias("n_shingles"), "need", F.col("common").alias("n_common"))).alias("found"))
+    found = landed(found, "decontaminate-found")
+    rows = docs.select(packed(docs), node.alias("node")).join(found, "node", "left")
+    empty = F.array().cast(found_type(items, item_id))
+    return unpacked(rows.withColumn("_c_found", F.coalesce("found", empty)), docs.columns, ["_c_found"])
+
+
 def contained_items(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, text: str = "text",
                     item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """``docs`` plus working column ``_c_found``: the items contained in the row's text. Nothing is
-    shuffled: the sketches travel to the documents."""
+    shuffled when the items fit the plan: the sketches travel to the documents."""
+    if not fits_plan(items, item_text):
+        return joined_items(docs, items, threshold, text, item_id, item_text)
     id_type = items.schema[item_id].dataType.simpleString()
-    empty = F.array().cast(f"array<struct<item_id:{id_type},n_shingles:int,need:int,n_common:int>>")
+    empty = F.array().cast(found_type(items, item_id))
     blocks = sketched_items(items, threshold, item_id, item_text)
     # a text with a sketched shingle has its longest word: most texts have none and are not shingled at all
     probes = constant(sorted({w for b in blocks for x in b for w in x["probes"]}), "string") if blocks else F.array().cast("array<string>")

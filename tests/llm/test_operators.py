@@ -100,7 +100,9 @@ def test_quality_distance_and_edges(spark, odd, empty):
     assert len(out) == 9 and not out[out.text.isna()].kept.any() and quality.quality_rules(empty).count() == 0
 
 
-def test_decontaminate(spark, make, odd, empty):
+@pytest.mark.parametrize("plan_bytes", [decontaminate.PLAN_BYTES, 0])
+def test_decontaminate(spark, make, odd, empty, monkeypatch, plan_bytes):
+    monkeypatch.setattr(decontaminate, "PLAN_BYTES", plan_bytes)
     items = spark.createDataFrame([(1, " ".join(f"q{i}" for i in range(20))), (2, "too short"), (3, None)], "item_id long, text string")
     part = " ".join(f"q{i}" for i in range(17))
     docs = make([(1, "x " * 5000 + " ".join(f"Q{i}" for i in range(20)) + " y" * 5000, "en", "s"), (2, part, "en", "s"),
@@ -112,6 +114,12 @@ def test_decontaminate(spark, make, odd, empty):
     assert decontaminate.decontaminated(odd, items.limit(0)).count() == 9
 
 
+def test_decontaminate_joined_agrees(spark, monkeypatch):
+    want = {tuple(r) for r in decontaminate.op4_decontaminate(spark, SF).collect()}
+    monkeypatch.setattr(decontaminate, "PLAN_BYTES", 0)
+    assert {tuple(r) for r in decontaminate.op4_decontaminate(spark, SF).collect()} == want and want
+
+
 def test_url_filter_against_brute_force(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     captures, entries = url_filter.dated_captures(pages), url_filter.dated_entries(pages)
