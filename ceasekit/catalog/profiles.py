@@ -123,21 +123,72 @@ def p7(spark, d):
     return FT.fit_summary(pts, "ooc_days", "churn_rate", 7)
 
 
+@query("p7_fit_check", """
+SELECT CAST(k AS INTEGER) AS power, (SELECT count(DISTINCT ooc_days) FROM raw_info WHERE ooc_days BETWEEN -150 AND 170) AS n_points,
+       true AS orthogonal FROM range(8) t(k)""")
+def p7c(spark, d):
+    """The residuals of P7's fit are orthogonal to every power of x up to its degree."""
+    s = study(spark, d)
+    pts = PR.rate_by_value_in_range(s.raw_info, "ooc_days", -150, 170, s.cfg)
+    return FT.normal_equations(pts, "ooc_days", "churn_rate", 7).select(
+        "power", "n_points", (F.col("residual") < 1e-6).alias("orthogonal"))
+
+
+def _seasonal_returns(s):
+    """Return flags of all line items by the day of the year of their shipment, counted from its
+    middle: enough rows for buckets of the study's size of 1000."""
+    days = (F.dayofyear("l_shipdate") - 183).cast("double").alias("ooc_days")
+    return s.table("lineitem").select(days, (F.col("l_returnflag") == "R").cast("int").alias(s.cfg.label_col))
+
+
+def _seasonal_buckets(s):
+    return PR.min_size_buckets(_seasonal_returns(s), "ooc_days", -170, 170, 1000, s.cfg)
+
+
 @query("p8_weighted_poly_fit")
 def p8(spark, d):
-    s = study(spark, d)
-    b = PR.min_size_buckets(s.raw_info, "ooc_days", -170, -80, 40, s.cfg)
-    return FT.fit_summary(b, "ooc_mid", "churn_rate", 6, weight="n")
+    return FT.fit_summary(_seasonal_buckets(study(spark, d)), "ooc_mid", "churn_rate", 6, weight="n")
+
+
+@query("p8_fit_check", """
+SELECT CAST(k AS INTEGER) AS power, true AS orthogonal,
+       (SELECT count(*) FROM lineitem WHERE dayofyear(l_shipdate) - 183 BETWEEN -170 AND 170) AS customers FROM range(7) t(k)""")
+def p8c(spark, d):
+    """The weighted residuals of P8's fit are orthogonal to every power of x; the buckets hold all rows in the range."""
+    return FT.normal_equations(_seasonal_buckets(study(spark, d)), "ooc_mid", "churn_rate", 6, weight="n").select(
+        "power", (F.col("residual") < 1e-6).alias("orthogonal"), F.col("weight").cast("long").alias("customers"))
 
 
 @query("p11_poly_curve")
 def p11(spark, d):
-    s = study(spark, d)
-    b = PR.min_size_buckets(s.raw_info, "ooc_days", -170, -80, 40, s.cfg)
-    f = FT.poly_fit(b, "ooc_mid", "churn_rate", 6, weight="n")
+    f = FT.poly_fit(_seasonal_buckets(study(spark, d)), "ooc_mid", "churn_rate", 6, weight="n")
     return FT.poly_curve(spark, f)
 
 
+_PROBS = [0.1, 0.25, 0.5, 0.75, 0.9, 0.99]
+
+
+@query("a9_exact_quantiles", f"""
+SELECT unnest({_PROBS}) AS p, unnest(quantile_cont(CAST(l_extendedprice AS DOUBLE), {_PROBS})) AS q FROM lineitem""")
+def a9_exact(spark, d):
+    from ceasekit.operators.stats import exact_quantiles
+    q = exact_quantiles(study(spark, d).table("lineitem"), "l_extendedprice", _PROBS)
+    return spark.createDataFrame([(p, float(v)) for p, v in zip(_PROBS, q, strict=True)], "p double, q double")
+
+
+@query("a9_rank_check", f"SELECT unnest({_PROBS}) AS p, count(*) AS n_rows, true AS within FROM lineitem")
+def a9_rank(spark, d):
+    """Whether the rank of each approximate quantile is within 0.01 n of the one asked for."""
+    rows = study(spark, d).table("lineitem").select(F.col("l_extendedprice").cast("double").alias("x"))
+    edges = PR.quantile_edges(rows, "x", _PROBS, exact=False, rel_error=0.01)
+    at = [F.element_at(edges, i + 1) for i in range(len(_PROBS))]
+    n = F.count(F.lit(1))
+    one = rows.agg(n.alias("n_rows"), F.array(*[F.struct(
+        F.lit(p).alias("p"), ((F.count_if(F.col("x") < e) <= (p + 0.01) * n) & (F.count_if(F.col("x") <= e) >= (p - 0.01) * n)).alias("within"))
+        for p, e in zip(_PROBS, at, strict=True)]).alias("c"))
+    return one.select("n_rows", F.inline("c"))
+
+
 _ANY_CALL = f"SELECT DISTINCT {ID} FROM calls"
 _HAS_USAGE = f"SELECT DISTINCT {ID} FROM usage_behav_month"
 

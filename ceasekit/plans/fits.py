@@ -77,6 +77,20 @@ def fit_summary(points: DataFrame, x: str, y: str, degree: int, weight: str | No
                      F.lit(f.lo).alias("x_min"), F.lit(f.hi).alias("x_max"))
 
 
+def normal_equations(points: DataFrame, x: str, y: str, degree: int, weight: str | None = None) -> DataFrame:
+    """One row per power k of x from 0 to ``degree``: |sum w r x^k| over sum w |y x^k|, r being the
+    residual of the fit. A least-squares solution has 0 in each. One aggregate."""
+    f = poly_fit(points, x, y, degree, weight)
+    w = F.col(weight).cast("double") if weight else F.lit(1.0)
+    mid, half = (f.hi + f.lo) / 2.0, (f.hi - f.lo) / 2.0 or 1.0
+    used = f.predict(points.where(F.col(x).isNotNull() & F.col(y).isNotNull()))
+    power = lambda k: F.pow((F.col(x).cast("double") - F.lit(mid)) / F.lit(half), F.lit(k))
+    sums = used.agg(F.count(F.lit(1)).alias("n_points"), F.sum(w).alias("weight"), *[
+        F.try_divide(F.abs(F.sum(w * (F.col(y) - F.col("prediction")) * power(k))), F.sum(w * F.abs(F.col(y) * power(k)))).alias(f"k{k}")
+        for k in range(degree + 1)])
+    return sums.select("n_points", "weight", F.posexplode(F.array(*[f"k{k}" for k in range(degree + 1)])).alias("power", "residual"))
+
+
 def poly_curve(spark: SparkSession, fit: PolyFit, n: int = 500, points=(-117.0, -110.0),
                segment=(-123.0, -110.0)) -> DataFrame:
     """Predictions on ``n`` evenly spaced x over the fitted range, the marked
@@ -89,4 +103,4 @@ def poly_curve(spark: SparkSession, fit: PolyFit, n: int = 500, points=(-117.0,
     return fit.predict(grid.unionByName(marks), "x").withColumn("segment", seg)
 
 
-__all__ = ["PolyFit", "poly_fit", "r_squared", "fit_summary", "poly_curve", "vector_to_array"]
+__all__ = ["PolyFit", "poly_fit", "r_squared", "fit_summary", "normal_equations", "poly_curve", "vector_to_array"]

@@ -35,6 +35,14 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str, header: b
         .option("mode", "PERMISSIVE").csv(path)
 
 
+def read_csv_checked(spark: SparkSession, path: str, schema: StructType, header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """S1 with a report: the typed rows, and per column how many values were present but did not
+    convert. Fields are read as text: with declared types Spark nulls them without a count, and
+    a pruned scan does not even parse the other columns."""
+    text = ", ".join(f"`{f.name}` string" for f in schema.fields)
+    return typed_cleanse(read_csv(spark, path, text, header), schema)
+
+
 def read_parquet(spark: SparkSession, path: str, expect: StructType | None = None) -> DataFrame:
     """Parquet; with ``expect`` the embedded schema is checked (names and types)."""
     df = spark.read.parquet(path)
@@ -85,15 +93,37 @@ def export_csv(df: DataFrame, path: str) -> str:
 
 
 def rewrite_deduplicated(spark: SparkSession, name: str, key, order, root: str) -> DataFrame:
-    """Keep the first row per key of table ``name``; the result goes to a new
-    version directory and the table is then pointed at it (no read-while-overwrite)."""
+    """Keep the first row per key of table ``name``, with its partitioning.
+
+    The result is written first (a new version under ``root``; nothing is overwritten while it is
+    read) and then taken over by one catalog change. A Delta table commits the rewrite itself. A
+    partitioned table, whose partitions the catalog may list by path, is exchanged by name and
+    put back if that fails. Old versions stay for readers that still hold them."""
     from ceasekit.operators.relational import keep_first
     cur = spark.table(name)
-    new_path = f"{root.rstrip('/')}/v-{uuid.uuid4().hex[:8]}"
+    parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
     fmt = table_format(spark)
-    keep_first(cur, key, order).write.mode("overwrite").format(fmt).save(new_path)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.catalog.createTable(name, path=new_path, source=fmt)
+    rows = keep_first(cur, key, order)
+    if fmt == "delta":
+        w = rows.write.mode("overwrite").format(fmt)
+        (w.partitionBy(*parts) if parts else w).saveAsTable(name)
+        return spark.table(name)
+    version = uuid.uuid4().hex[:8]
+    new_path = f"{root.rstrip('/')}/v-{version}"
+    if not parts:
+        rows.write.format(fmt).save(new_path)
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{new_path}'")
+    else:
+        new, old = f"{name}_new_{version}", f"{name}_old_{version}"
+        write_table(rows, new, new_path, fmt, partition_by=parts)
+        spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
+        try:
+            spark.sql(f"ALTER TABLE {new} RENAME TO {name}")
+        except Exception:
+            spark.sql(f"ALTER TABLE {old} RENAME TO {name}")
+            raise
+        drop_table(spark, old)
+    spark.catalog.refreshTable(name)
     return spark.table(name)
 
 

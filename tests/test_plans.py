@@ -14,6 +14,9 @@ import pytest
 import __spark_entry__ as E
 from ceasekit.operators.ranking import auc
 from ceasekit.operators.relational import keep_first, same_month_join
+from ceasekit.plans import features as FE
+from ceasekit.plans import observation as OB
+from ceasekit.plans import profiles as PR
 from ceasekit.sources import fixtures as FX
 
 SF = "/root/testdata/sf0.001"
@@ -66,7 +69,7 @@ PLAN_ONLY_SKIP = ("m6_", "m7_", "m8_", "m9_model", "m10_model", "m11_", "m12_",
                   "s3_", "s7_", "s8_")
 
 
-@pytest.mark.parametrize("prefix", ["d", "f", "p", "q", "j", "a", "w", "o", "u", "e"])
+@pytest.mark.parametrize("prefix", ["d", "f", "p", "q", "j", "a", "w", "o", "u", "e", "m", "s"])
 def test_no_cross_product_or_row_udf(spark, prefix):
     # the driver-style registry over the smallest data; model fits and writers are skipped (they execute)
     bad = {}
@@ -78,3 +81,16 @@ def test_no_cross_product_or_row_udf(spark, prefix):
         if hits:
             bad[name] = hits
     assert not bad, bad
+
+
+def test_builders_on_unlanded_inputs(spark):
+    # the registry reads landed layers; here the whole plan from the raw tables is seen
+    cfg = FX.FIXTURE_CONFIG
+    info, cease, usage, calls = (f(spark, SF) for f in (FX.customer_info, FX.cease, FX.usage, FX.calls))
+    raw = OB.observation_set(info, cease, cfg)
+    month = OB.usage_in_obs_month(usage, raw, cfg)
+    built = {"observation_set": raw, "usage_month": month, "gold": FE.gold_dataset(raw, month, calls, cfg),
+             "rates": PR.rate_by_category(raw, "contract_status", cfg), "usage_rates": PR.rate_by_usage_bucket(raw, month, cfg)}
+    for name, df in built.items():
+        txt = _plan(df)
+        assert "FileScan parquet" in txt and not [b for b in BAD if b in txt], (name, txt)
