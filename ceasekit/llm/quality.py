@@ -4,7 +4,9 @@ Base counts (words, symbols, repeated lines, repeated 3-word windows) reject a t
 rules. The rest is judged by its histograms of character classes and of common words, each
 compared with the reference of its language by the Jensen-Shannon distance. References are
 averages over all documents of the language that are long enough; a text too short for a
-stable histogram is not judged by it.
+stable histogram is not judged by it. A reference holds few common words, so even a text without
+any is not far from it: the limit by words is a share of that text's distance (and never above
+``MAX_WORD_DISTANCE``). A reference without a common word sets no such limit.
 
 Defined cases: a null text counts as empty and fails the base rules; a language without a
 common-word list (or null) is compared with the average over all languages, by character
@@ -14,6 +16,8 @@ and an empty result; a column named like an added one is replaced.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +40,7 @@ MAX_REPEAT_PERCENT = 50
 MIN_CHARS = 200        # guard of the character histogram
 MAX_CLASS_DISTANCE = 0.32
 MAX_WORD_DISTANCE = 0.30
+MAX_WORD_SHARE = 0.8   # of the distance that a text without any common word has
 
 
 POSITION_BITS = 24     # of a packed (hash, position); longer texts are far beyond any record size
@@ -154,8 +159,25 @@ def reference_column(references, kind: str, lang: Column) -> Column:
     return out
 
 
+def bare_distance(reference: list[float]) -> float:
+    """Jensen-Shannon distance between a word histogram and that of a text without any common word."""
+    *listed, rest = reference
+    terms = [*listed, rest * math.log2(rest * 2 / (1 + rest)) if rest else 0.0, math.log2(2 / (1 + rest))]
+    return math.sqrt(max(sum(terms) / 2, 0.0))
+
+
+def word_limit(references, lang: Column, most: float, share: float) -> Column:
+    """The largest word distance of a kept text of a language; null if its reference has no common word."""
+    out = F.lit(None).cast("double")
+    for code, what, sums in sorted(references):
+        if what == "word" and sum(sums[:-1]):
+            out = F.when(lang == code, F.lit(min(most, share * bare_distance([x / sum(sums) for x in sums])))).otherwise(out)
+    return out
+
+
 def quality_rules(docs: DataFrame, references=None, carry: list[str] | None = None, text: str = "text", lang: str = "lang",
-                  max_class_distance: float = MAX_CLASS_DISTANCE, max_word_distance: float = MAX_WORD_DISTANCE) -> DataFrame:
+                  max_class_distance: float = MAX_CLASS_DISTANCE, max_word_distance: float = MAX_WORD_DISTANCE,
+                  max_word_share: float = MAX_WORD_SHARE) -> DataFrame:
     """The ``carry`` columns of ``docs`` (all by default) plus the base counts, base_failed,
     class_distance, word_distance and kept."""
     df = features(docs, carry, text, lang)
@@ -169,7 +191,8 @@ def quality_rules(docs: DataFrame, references=None, carry: list[str] | None = No
             fraction("_q_word"), reference_column(references, "word", known))))
     failed = (F.col("_q_n") < MIN_WORDS) | (F.col("_q_repeat") * 100 > F.col("_q_n") * MAX_REPEAT_PERCENT)
     near = (F.coalesce("_q_class_distance", F.lit(0.0)) <= max_class_distance) \
-        & (F.coalesce("_q_word_distance", F.lit(0.0)) <= max_word_distance)
+        & (F.coalesce("_q_word_distance", F.lit(0.0)) <= F.coalesce(
+            word_limit(references, known, max_word_distance, max_word_share), F.lit(max_word_distance)))
     long = lambda c: F.col(c).cast("long")
     out = with_columns(df, {
         "n_words": long("_q_n"), "word_chars": long("_q_word_chars"), "n_symbols": long(f"_q_class{SYMBOLS}"),

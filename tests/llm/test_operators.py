@@ -100,6 +100,26 @@ def test_quality_distance_and_edges(spark, odd, empty):
     assert len(out) == 9 and not out[out.text.isna()].kept.any() and quality.quality_rules(empty).count() == 0
 
 
+def test_quality_rejects_texts_without_common_words(spark, make):
+    rng = np.random.default_rng(8)
+    rows, bare = [], set()
+    for lang, listed in quality.COMMON_WORDS.items():
+        for k in range(20):
+            words = ["".join(rng.choice(list("bcfghjklmnprstuvw"), 6)) for _ in range(400)]
+            if k < 15:
+                words = [str(rng.choice(listed)) if rng.random() < 0.18 else w for w in words]
+            else:
+                bare.add(len(rows))
+            rows.append((len(rows), " ".join(words), lang, "s"))
+    got = quality.quality_rules(make(rows)).toPandas()
+    assert set(got[~got.kept].doc_id) == bare and not got.base_failed.any()
+    p = [0.1, 0.05, 0.85]
+    bare_text = spark.range(1).select(quality.js_distance(F.array(*map(F.lit, p)), F.array(*map(F.lit, [0.0, 0.0, 1.0])))).first()[0]
+    assert abs(quality.bare_distance(p) - bare_text) < 1e-12 and abs(quality.bare_distance([1.0, 0.0]) - 1) < 1e-12
+    only_bare = make([r for r in rows if r[0] in bare])
+    assert quality.quality_rules(only_bare).where("kept").count() == len(bare)
+
+
 @pytest.mark.parametrize("plan_bytes", [decontaminate.PLAN_BYTES, 0])
 def test_decontaminate(spark, make, odd, empty, monkeypatch, plan_bytes):
     monkeypatch.setattr(decontaminate, "PLAN_BYTES", plan_bytes)
