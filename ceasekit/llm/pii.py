@@ -1,23 +1,26 @@
 """Operator 10: personal data and information-theoretic sanitisation.
 
-Base spans are found by fixed patterns. The personal values found are protected entities.
-Corpus co-occurrence then estimates how strongly a word near them reveals them: with document
-counts of the word t, the entity e and both, PMI(t, e) = log2(N n_te / (n_t n_e)) is compared with
-the information of the entity, IC(e) = log2(N / n_e). A word with PMI >= alpha * IC, seen beside
-the entity in at least ``MIN_SUPPORT`` different texts (copies count once), discloses it: its mentions beside the
-entity become spans of kind 'term'. In the sanitised text base spans become their kind, terms are
-generalised to their shape, and those that give the entity away entirely are removed.
-
-Counts are over all documents. Defined cases: a null text counts as
-empty; a text without personal data is left as it is; rows without an id are treated like any
-other; repeated rows are treated alike; an empty table gives an empty result; a column named
+Base spans are found by fixed patterns. The personal values found are protected entities, and so
+is what several values share: the mail domain, the block of an IP address, the prefix of a phone
+number. Corpus co-occurrence then estimates how strongly a word reveals them: with the numbers of
+texts of the word t, the entity e and both, PMI(t, e) = log2(N n_te / (n_t n_e)) is compared with
+the information of the entity, IC(e) = log2(N / n_e). The share of e in the texts of t is smoothed
+by ``SMOOTHING`` texts of the corpus average, so that one text proves little about an entity of many
+texts, while a value of a single text is protected as well. A word of a text with PMI >= alpha * IC
+for an entity of that text discloses it: all its mentions in the text become spans of kind 'term'.
+In the sanitised text base spans become their kind, terms are generalised to their shape, and those
+that give the entity away entirely are removed.
+
+Counts are over all documents; copies of a text with personal data count once. Defined cases: a null
+text counts as empty; a text without personal data is left as it is; rows without an id are treated
+like any other; repeated rows are treated alike; an empty table gives an empty result; a column named
 like an added one is replaced.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_left, bisect_right
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -38,10 +41,9 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOCAL_CHARS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 EDGES = ".,;:!?'\"()[]<>|#*$%&"
-WINDOW = 5            # words on either side of a mention
 ALPHA = 0.8           # share of the entity's information that a word may not give away
 REMOVE = 0.98         # from this share on the word is removed, below it is generalised
-MIN_SUPPORT = 3
+SMOOTHING = 1.0       # texts of the corpus average added to those of a word
 
 
 def luhn(digits: str) -> bool:
@@ -88,10 +90,16 @@ def term_of(word: str) -> str:
     return word.strip(EDGES).lower()
 
 
-def context(text: str, spans: list[tuple[int, int, str]]) -> list[tuple[str, list[tuple[int, int, str]]]]:
-    """(entity, (start, end, term) of the words within WINDOW words of it that are no part of a span)."""
-    words = [(m.start(), m.end()) for m in WORD.finditer(text)]
-    starts = [w[0] for w in words]
+def entities(value: str, kind: str) -> list[str]:
+    """The value, spelled in one way, and what it shares with others."""
+    digits = "".join(c for c in value if c.isdigit())
+    own = {"email": value.lower(), "ip": value}.get(kind, digits)
+    wide = {"email": own.rpartition("@")[2], "ip": value.rpartition(".")[0], "phone": digits[:-4]}.get(kind)
+    return [f"{kind}:{own}"] + ([f"{kind} of:{wide}"] if wide else [])
+
+
+def mentions(text: str, spans: list[tuple[int, int, str]]) -> list[tuple[str, int, int]]:
+    """(term, start, end) of all words that are no part of a span."""
     taken = sorted((s, e) for s, e, _ in spans)
     reach = []                    # of the spans so far, for overlap tests
     most = 0
@@ -99,80 +107,87 @@ def context(text: str, spans: list[tuple[int, int, str]]) -> list[tuple[str, lis
         most = max(most, e)
         reach.append(most)
     begins = [s for s, _ in taken]
-
-    def free(s: int, e: int) -> bool:
-        k = bisect_left(begins, e)
-        return k == 0 or reach[k - 1] <= s
     out = []
-    for s, e, kind in spans:
-        first, last = max(bisect_right(starts, s) - 1, 0), bisect_left(starts, e)
-        near = words[max(first - WINDOW, 0):last + WINDOW]
-        terms = [(a, b, t) for a, b in near if free(a, b) and len(t := term_of(text[a:b])) >= 3]
-        out.append((f"{kind}:{text[s:e]}", terms))
+    for m in WORD.finditer(text):
+        k = bisect_left(begins, m.end())
+        if (k == 0 or reach[k - 1] <= m.start()) and len(t := term_of(m[0])) >= 3:
+            out.append((t, m.start(), m.end()))
     return out
 
 
 def find_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     span = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("kind", pa.string())]))
-    side = pa.list_(pa.struct([("entity", pa.string()), ("start", pa.int32()), ("stop", pa.int32()), ("term", pa.string())]))
+    word = pa.list_(pa.struct([("term", pa.string()), ("start", pa.int32()), ("stop", pa.int32())]))
     for b in batches:
-        spans, sides = [], []
+        spans, keys, words = [], [], []
         for t in b.column("_text"):
             text = t.as_py() or ""
             found = base_spans(text)
             spans.append([{"start": s, "stop": e, "kind": k} for s, e, k in found])
-            sides.append([{"entity": x, "start": s, "stop": e, "term": w} for x, terms in (context(text, found) if found else [])
-                          for s, e, w in terms or [(0, 0, "")]])
-        yield pa.RecordBatch.from_arrays([b.column("_row"), pa.array(spans, span), pa.array(sides, side)], names=["_row", "base", "sides"])
+            keys.append(sorted({x for s, e, k in found for x in entities(text[s:e], k)}))
+            words.append([{"term": w, "start": s, "stop": e} for w, s, e in (mentions(text, found) if found else [])])
+        yield pa.RecordBatch.from_arrays([b.column("_row"), pa.array(spans, span), pa.array(keys, pa.list_(pa.string())), pa.array(words, word)],
+                                         names=["_row", "base", "keys", "words"])
 
 
 def with_base_spans(docs: DataFrame, carry: list[str], text: str) -> DataFrame:
-    """(_row: the carried columns, node, base spans, sides: terms beside each entity)."""
+    """(_row: the carried columns, node, base spans, keys: its entities, words: the
+    other words of a text with personal data)."""
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry], F.md5(body).alias("_node")).alias("_row"), body.alias("_text"))
     schema = T.StructType([rows.schema["_row"], T.StructField("base", T.ArrayType(T.StructType([
         T.StructField("start", T.IntegerType()), T.StructField("stop", T.IntegerType()), T.StructField("kind", T.StringType())]))),
-        T.StructField("sides", T.ArrayType(T.StructType([
-            T.StructField("entity", T.StringType()), T.StructField("start", T.IntegerType()),
-            T.StructField("stop", T.IntegerType()), T.StructField("term", T.StringType())])))])
+        T.StructField("keys", T.ArrayType(T.StringType())), T.StructField("words", T.ArrayType(T.StructType([
+            T.StructField("term", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("stop", T.IntegerType())])))])
     return landed(rows.mapInArrow(find_batches, schema), "pii-spans")
 
 
-def disclosing_terms(found: DataFrame, docs: DataFrame, text: str, alpha: float, min_support: int) -> DataFrame:
-    """(entity, term, share of the entity's information). The support of a pair is its number of
-    distinct texts, so copies alone prove nothing; PMI is over documents. The words of all
-    documents are counted by task first, whatever the entities are."""
-    rows = found.select(F.col("_row._node").alias("node"), F.array_distinct(F.transform("sides", lambda x: F.struct(
-        x.getField("entity").alias("entity"), x.getField("term").alias("term")))).alias("pairs"), F.array_distinct(
-        F.transform("sides", lambda x: x.getField("entity"))).alias("entities")).where(F.size("entities") > 0)
-    by_text = rows.groupBy("node").agg(F.count(F.lit(1)).alias("copies"), F.first("pairs").alias("pairs"))
-    joint = by_text.select("copies", F.inline("pairs")).where("term <> ''").groupBy("entity", "term").agg(
-        F.count(F.lit(1)).alias("support"), F.sum("copies").alias("n_te")).where(F.col("support") >= min_support)
-    mentioned = rows.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
+def text_set(node) -> list:
+    """Aggregates that are equal for entities of the same texts."""
+    return [F.count(F.lit(1)).alias("n_e"), F.bit_xor(F.xxhash64(node)).alias("x"), F.bit_xor(F.xxhash64(node, F.lit(1))).alias("y")]
+
+
+def disclosing_terms(private: DataFrame, docs: DataFrame, text: str, alpha: float, smoothing: float) -> DataFrame:
+    """(node, term, share of the entity's information) for the ``private`` texts: node, copies, keys, words.
+
+    Entities of the same texts have the same shares, so one of them stands for all: a text full of
+    values of its own costs one entity. The words of all documents are counted by task first,
+    whatever the entities are; a word too frequent for any share of ``alpha`` meets no entity."""
+    keys = private.select("node", F.explode("keys").alias("entity"))
+    sets = keys.groupBy("entity").agg(*text_set(F.col("node"))).groupBy("n_e", "x", "y").agg(F.min("entity").alias("entity"))
     words = F.array_distinct(F.transform(split_words(F.lower(F.col(f"`{text}`"))), lambda w: F.btrim(w, F.lit(EDGES))))
-    counts = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    total = F.lit(float(max(found.count(), 1)))
-    share = F.log2(total * F.col("n_te") / (F.col("n_t") * F.col("n_e"))) / F.log2(total / F.col("n_e"))
-    return joint.join(mentioned, "entity").where(total > F.col("n_e")).join(counts, "term") \
-        .select("entity", "term", share.alias("share")).where(F.col("share") >= alpha)
+    counts = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    held = private.select("node", "copies", F.explode(F.array_distinct(F.transform("words", lambda x: x.getField("term")))).alias("term"))
+    by_term = held.groupBy("term").agg(F.count(F.lit(1)).alias("n_held"), F.sum(F.col("copies") - 1).alias("again"))
+    n_t = by_term.join(counts, "term", "left").select(
+        "term", F.greatest(F.coalesce("n", F.lit(0)) - F.col("again"), "n_held").alias("n_t"))
+    total = docs.count() - (private.agg(F.sum(F.col("copies") - 1)).first()[0] or 0)
+    p = F.col("n_e") / F.lit(float(max(total, 1)))
+    likely = lambda both: (both + smoothing * p) / (F.col("n_t") + smoothing)
+    share = lambda both: F.log2(likely(both) / p) / -F.log2(p)
+    of_text = keys.join(sets.where(p < 1), "entity").select("node", "entity", "n_e")
+    pairs = landed(held.join(n_t, "term").select("node", "term", "n_t").join(of_text, "node").where(
+        share(F.least("n_e", "n_t")) >= alpha), "pii-pairs")
+    strong = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_te"), F.first("n_t").alias("n_t"), F.first("n_e").alias("n_e")) \
+        .select("entity", "term", share(F.col("n_te")).alias("share")).where(F.col("share") >= alpha)
+    return pairs.join(strong, ["entity", "term"]).groupBy("node", "term").agg(F.max("share").alias("share"))
 
 
 def find_personal_data(docs: DataFrame, carry: list[str] | None = None, text: str = "text", alpha: float = ALPHA,
-                       min_support: int = MIN_SUPPORT) -> DataFrame:
+                       smoothing: float = SMOOTHING) -> DataFrame:
     """The ``carry`` columns of ``docs`` (all by default) plus ``base`` and ``terms`` (arrays of start, stop,
     kind; terms with their share instead), in code points."""
     carry = docs.columns if carry is None else carry
     found = with_base_spans(docs, carry, text)
-    strong = landed(disclosing_terms(found, docs, text, alpha, min_support), "pii-terms")
-    plain = found.where(F.size("sides") == 0).select("_row", "base", F.array().cast("array<struct<start:int,stop:int,share:double>>").alias("terms"))
-    # only rows with personal data are joined; a value in many rows brings its few terms to each
-    sided = found.where(F.size("sides") > 0).withColumn("_key", F.expr("uuid()"))
-    sided = landed(sided, "pii-sided")
-    hits = sided.select("_key", F.explode(F.array_distinct("sides")).alias("x")).select("_key", "x.*") \
-        .join(strong, ["entity", "term"]).groupBy("_key", "start", "stop").agg(F.max("share").alias("share")) \
-        .groupBy("_key").agg(F.sort_array(F.collect_list(F.struct("start", "stop", "share"))).alias("terms"))
-    joined = sided.join(hits, "_key", "left").select("_row", "base", F.coalesce("terms", F.array().cast(
-        "array<struct<start:int,stop:int,share:double>>")).alias("terms"))
+    none = F.array().cast("array<struct<start:int,stop:int,share:double>>")
+    plain = found.where(F.size("keys") == 0).select("_row", "base", none.alias("terms"))
+    sided = found.where(F.size("keys") > 0).withColumn("node", F.col("_row._node"))
+    private = landed(sided.groupBy("node").agg(F.count(F.lit(1)).alias("copies"), F.first("keys").alias("keys"), F.first("words").alias("words")), "pii-texts")
+    strong = disclosing_terms(private, docs, text, alpha, smoothing)
+    # only texts with personal data are joined; mentions are looked up once for all copies of a text
+    hits = landed(private.select("node", F.inline("words")).join(strong, ["node", "term"]).groupBy("node").agg(
+        F.sort_array(F.collect_list(F.struct("start", "stop", "share"))).alias("terms")), "pii-terms")
+    joined = sided.select("node", "_row", "base").join(hits, "node", "left").select("_row", "base", F.coalesce("terms", none).alias("terms"))
     return unpacked(plain.unionByName(joined), carry, ["base", "terms"])
 
 

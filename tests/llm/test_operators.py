@@ -278,6 +278,59 @@ def test_pii_terms_and_edges(spark, make, odd, empty):
     assert pii.find_personal_data(odd).count() == 9 and pii.find_personal_data(empty).count() == 0
 
 
+def test_pii_terms_of_rare_values(spark, make):
+    common = [f"usual{i}" for i in range(30)]
+    rng = np.random.default_rng(4)
+    prose = [" ".join(rng.choice(common, 40)) for _ in range(200)]
+    rows = [(i, t, "en", "s") for i, t in enumerate(prose)]
+    far = f"{prose[0]} zed@one.example.com {prose[1]} Zorblat, {prose[2]} (zorblat) {prose[3]}"      # a value in one text
+    rows += [(300, far, "en", "s"), (301, far, "en", "s")]
+    rows += [(310 + i, f"{prose[i]} user{i}@acme.example.org {prose[i + 9]} Acmeco {prose[i + 20]}", "en", "s") for i in range(8)]
+    rows += [(320 + i, f"{prose[i]} Elsewhere {prose[i + 5]} +1 609 555 010{i} {prose[i + 7]}", "en", "s") for i in range(2)]
+    rows += [(330 + i, f"{prose[i]} Elsewhere {prose[i + 3]}", "en", "s") for i in range(9)]
+    got = pii.find_personal_data(make(rows)).toPandas().set_index("doc_id")
+    marked = {i: [t[s["start"]:s["stop"]] for s in got.loc[i].terms] for i, t, _, _ in rows}
+    assert marked[300] == marked[301] == ["Zorblat,", "(zorblat)"]
+    assert all(marked[310 + i] == ["Acmeco"] for i in range(8))       # only the domain has them in common
+    assert not any(marked[i] for i in range(200)) and not any(marked[320 + i] for i in range(2))
+
+
+def brute_terms(texts):
+    """text -> (start, end) of the words that disclose an entity, all pairs counted."""
+    private = {t: (pii.base_spans(t), set()) for t in texts if pii.base_spans(t)}
+    rows = [t for t in texts if t not in private] + list(private)
+    terms = lambda t: {pii.term_of(w) for w in SPACE.findall(t)}
+    n_t = {}
+    for t in rows:
+        for w in terms(t):
+            n_t[w] = n_t.get(w, 0) + 1
+    holds, out = {}, {}
+    for t, (spans, _) in private.items():
+        for s, e, k in spans:
+            for x in pii.entities(t[s:e], k):
+                holds.setdefault(x, set()).add(t)
+    for t, (spans, _) in private.items():
+        free = [m for m in SPACE.finditer(t) if len(pii.term_of(m[0])) >= 3 and not any(s < m.end() and m.start() < e for s, e, _ in spans)]
+        hit = set()
+        for x in {x for s, e, k in spans for x in pii.entities(t[s:e], k)}:
+            p = len(holds[x]) / len(rows)
+            for w in {pii.term_of(m[0]) for m in free}:
+                both = sum(w in terms(u) for u in holds[x])
+                if np.log2((both + p) / (n_t[w] + 1) / p) / -np.log2(p) >= pii.ALPHA:
+                    hit.add(w)
+        out[t] = sorted((m.start(), m.end()) for m in free if pii.term_of(m[0]) in hit)
+    return out
+
+
+def test_pii_terms_against_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    want = brute_terms([r.text or "" for r in docs.collect()])
+    got = pii.find_personal_data(docs).collect()
+    assert want and any(want.values())
+    for r in got:
+        assert [(x.start, x.stop) for x in r.terms] == want.get(r.text or "", []), r.doc_id
+
+
 def test_pipeline_stages(spark, texts):
     import corpus_pipeline as P
     docs = spark.read.parquet(f"{SF}/documents.parquet")
