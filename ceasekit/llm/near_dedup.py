@@ -8,9 +8,12 @@ banded alignment: an edit distance over words, within a band of ``1 - threshold`
 text. Verified links are closed into classes.
 
 Exact copies are one node each (a hash of the text), so that a group of copies of any size
-costs one row per task. In a bucket every text is linked to the least one. A text whose link
-fails is linked again among those that failed too, there to the least one and to its neighbour
-in the order of the next sketch. No bucket is cut off or expanded into pairs.
+costs one row per task. In a bucket every text is first linked to the least one. Buckets that then
+still hold several classes are searched for every further pair: their texts are compared in cells of
+at most two times ``CELL`` by length and word counts, which bound the edit distance from below, and
+what may be near is aligned, the likeliest pairs of each text first. This is repeated, with more
+pairs of each text, until none is left out: texts near to each other that share a bucket are of one
+class. No bucket is cut off.
 
 Defined cases: a null text counts as empty, and equal texts are of one class; a text of fewer
 than five words is near only to its copies; a class is named by its least id (null if it has
@@ -23,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ceasekit.llm.common import landed, packed, split_words, table, unpacked
@@ -32,6 +35,10 @@ K = 5
 SKETCHES = 16
 THRESHOLD = 0.8
 SEED = 7
+BAG = 512              # counters of the words of a text
+CELL = 2000            # texts of a bucket that are compared in one step
+WIDTH = 1              # pairs of a text in the first search; each search takes WIDER times as many
+WIDER = 8
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -85,8 +92,12 @@ def least(x: np.ndarray, first: np.ndarray, text: np.ndarray) -> tuple[np.ndarra
     return value, hit[at]
 
 
+def word_points(values: np.ndarray) -> np.ndarray:
+    return (values % np.uint64(0x10F7FF - 0x100)).astype(np.uint32)
+
+
 def sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, id, n, words) -> (node, id, n, sketches); null sketches for short texts."""
+    """(node, id, n, words) -> (node, id, n, sketches, bag); no sketches for short texts."""
     with np.errstate(over="ignore"):
         for b in batches:
             words = b.column("words")
@@ -100,8 +111,11 @@ def sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             if able.any():
                 flat = order_sketches(values, offsets[:-1][able].astype(np.int64), lengths[able].astype(np.int64)).view(np.int64).ravel()
             sketches = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(ends))), pa.int32()), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([b.column("node"), b.column("id"), b.column("n"), sketches],
-                                             names=["node", "id", "n", "sketches"])
+            at = np.repeat(np.arange(len(b)), lengths) * BAG + word_points(values[offsets[0]:offsets[-1]]) % BAG
+            bags = np.minimum(np.bincount(at, minlength=len(b) * BAG), 255).astype(np.uint8).reshape(len(b), BAG)
+            yield pa.RecordBatch.from_arrays([b.column("node"), b.column("id"), b.column("n"), sketches,
+                                              pa.array([x.tobytes() for x in bags], pa.binary())],
+                                             names=["node", "id", "n", "sketches", "bag"])
 
 
 def letter_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,7 +124,7 @@ def letter_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     for b in batches:
         words = b.column("words")
         values = words.values.to_numpy(zero_copy_only=False).view(np.uint64)
-        points = (values % np.uint64(0x10F7FF - 0x100)).astype(np.uint32) + np.uint32(0x100)
+        points = word_points(values) + np.uint32(0x100)
         points = np.where(points >= 0xD800, points + np.uint32(0x800), points)
         offsets = words.offsets.to_numpy()
         letters = [points[s:e].astype("<u4").tobytes().decode("utf-32-le") for s, e in zip(offsets[:-1], offsets[1:], strict=True)]
@@ -126,24 +140,90 @@ def word_hashes(text: Column) -> Column:
 
 
 def sketched(docs: DataFrame, id_col: str, text: str) -> DataFrame:
-    """One row per distinct text: node, id (its least id), n (words), sketches."""
+    """One row per distinct text: node, id (its least id), n (words), sketches, bag (word counts)."""
     body = F.col(f"`{text}`")
     words = docs.select(node_of(body).alias("node"), F.col(f"`{id_col}`").cast("long").alias("id"), word_hashes(F.coalesce(body, F.lit(""))).alias("words"))
     words = words.withColumn("n", F.size("words")).select("node", "id", "n", "words")
-    rows = words.mapInArrow(sketch_batches, "node string, id bigint, n int, sketches array<bigint>")
-    return rows.groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketches").alias("sketches"))
+    rows = words.mapInArrow(sketch_batches, "node string, id bigint, n int, sketches array<bigint>, bag binary")
+    return rows.groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketches").alias("sketches"),
+                                    F.first("bag").alias("bag"))
 
 
 def star_links(members: DataFrame) -> DataFrame:
-    """(bucket, node, after) -> (a, b, bucket): every member with the least of its bucket."""
+    """(bucket, node) -> (a, b): every member with the least of its bucket."""
     heads = members.groupBy("bucket").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    return members.join(heads, "bucket").where("node > head").select(F.col("head").alias("a"), F.col("node").alias("b"), "bucket", "after")
-
-
-def chain_links(members: DataFrame) -> DataFrame:
-    order = Window.partitionBy("bucket").orderBy("after", "node")
-    linked = members.withColumn("before", F.lag("node").over(order)).where("before IS NOT NULL")
-    return linked.select(F.least("before", "node").alias("a"), F.greatest("before", "node").alias("b"))
+    return members.join(heads, "bucket").where("node > head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
+
+
+def celled(members: DataFrame, nodes: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
+    """(cell, side, node, n, bag, class) of the buckets that hold several classes. A large bucket is
+    split by length into bands, of which only neighbours can have near texts, and by hash into
+    chunks; a cell is a pair of chunks, so that any two texts that may be near meet in one."""
+    classed = members.join(labels, "node", "left").select("bucket", "node", F.xxhash64(F.coalesce("head", "node")).alias("class"))
+    mixed_up = classed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("class").alias("low"), F.max("class").alias("high")) \
+        .where("low <> high").select("bucket", "size")
+    rows = classed.join(mixed_up, "bucket").join(nodes.select("node", "n", "bag"), "node")
+    ratio = 1.01 / max(threshold, 0.01)
+    rows = rows.withColumn("k", F.ceil(F.col("size") / CELL).cast("int")) \
+        .withColumn("band", F.floor(F.log(F.col("n")) / F.log(F.lit(ratio))).cast("int")) \
+        .withColumn("i", F.pmod(F.xxhash64("node"), F.col("k")).cast("int"))
+    one, i = F.lit(1), F.col("i")
+    key = lambda lo, a, hi, b: F.xxhash64("bucket", lo, a, hi, b).alias("cell")
+    side = lambda x: x.cast("int").alias("side")
+    chunks, band = F.sequence(F.lit(0), F.col("k") - 1), F.col("band")
+    same = F.transform(chunks, lambda j: F.struct(key(band, F.least(i, j), band, F.greatest(i, j)), side(
+        F.when(i == j, 2).when(i < j, 0).otherwise(1))))
+    above = F.transform(chunks, lambda j: F.struct(key(band, i, band + one, j), side(F.lit(0))))
+    below = F.transform(chunks, lambda j: F.struct(key(band - one, j, band, i), side(F.lit(1))))
+    whole = F.array(F.struct(F.col("bucket").alias("cell"), side(F.lit(2))))
+    return rows.select(F.explode(F.when(F.col("k") == 1, whole).otherwise(F.concat(same, above, below))).alias("at"), "node", "n", "bag", "class") \
+        .select("at.cell", "at.side", "node", "n", "bag", "class")
+
+
+def cell_pairs(side: np.ndarray, n: np.ndarray, bag: np.ndarray, label: np.ndarray, threshold: float, width: int) -> Iterator[tuple[int, int, bool]]:
+    """Pairs of a cell of different classes that length and word counts let be near: of each text
+    the ``width`` likeliest, and whether it has more."""
+    for i in range(len(n) - 1):
+        most = np.floor((1 - float(f"{threshold:.6f}")) * np.maximum(n[i + 1:], n[i]) + 1e-6)
+        gap = np.abs(n[i + 1:] - n[i])
+        found = np.flatnonzero((label[i + 1:] != label[i]) & ((side[i] == 2) | (side[i + 1:] != side[i])) & (gap <= most))
+        if len(found):
+            least_edits = (gap[found] + np.abs(bag[i + 1:][found] - bag[i]).sum(axis=1)) / 2
+            likely = least_edits <= most[found]
+            found, least_edits = found[likely], least_edits[likely]
+            for j in found[np.argsort(least_edits, kind="stable")[:width]]:
+                yield i, i + 1 + int(j), len(found) > width
+
+
+def candidates(cells: DataFrame, threshold: float, width: int) -> DataFrame:
+    """(a, b, more): see :func:`cell_pairs`; rows of a cell are read one after the other."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def pairs(held):
+            nodes = [x for part in held for x in part[1]]
+            side, n, bag, label = (np.concatenate([part[k] for part in held]) for k in (2, 3, 4, 5))
+            got = [(*sorted((nodes[i], nodes[j])), more) for i, j, more in cell_pairs(side, n, bag, label, threshold, width)]
+            return pa.RecordBatch.from_pylist([{"a": a, "b": b, "more": m} for a, b, m in got], pa.schema(
+                [("a", pa.string()), ("b", pa.string()), ("more", pa.bool_())]))
+
+        held = []
+        for b in batches:
+            if not len(b):
+                continue
+            cell = b.column("cell").to_numpy()
+            nodes, side, n = b.column("node").to_pylist(), b.column("side").to_numpy(), b.column("n").to_numpy().astype(np.int64)
+            bag = np.frombuffer(b"".join(b.column("bag").to_pylist()), np.uint8).reshape(len(b), BAG).astype(np.int16)
+            label = b.column("class").to_numpy()
+            cuts = [0, *(np.flatnonzero(cell[1:] != cell[:-1]) + 1).tolist(), len(b)]
+            for s, e in zip(cuts[:-1], cuts[1:], strict=True):
+                if held and held[-1][0] != cell[s]:
+                    if (out := pairs(held)).num_rows:
+                        yield out
+                    held = []
+                held.append((cell[s], nodes[s:e], side[s:e], n[s:e], bag[s:e], label[s:e]))
+        if held and (out := pairs(held)).num_rows:
+            yield out
+    return cells.repartition("cell").sortWithinPartitions("cell", "node").mapInArrow(run, "a string, b string, more boolean") \
+        .groupBy("a", "b").agg(F.max("more").alias("more"))
 
 
 def lettered(docs: DataFrame, nodes: DataFrame, id_col: str, text: str) -> DataFrame:
@@ -185,19 +265,29 @@ def classes(links: DataFrame) -> DataFrame:
 def near_classes(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(node, id, class_id) for every distinct text: its least id and the least id of its class."""
     nodes = landed(sketched(docs, id_col, text), "dedup-sketches")
-    members = nodes.select("node", F.posexplode("sketches").alias("j", "sketch"), "sketches").select(
-        "node", F.xxhash64("j", "sketch").alias("bucket"),
-        F.get("sketches", F.pmod(F.col("j") + 1, F.lit(SKETCHES))).alias("after"))
+    members = nodes.select("node", F.posexplode("sketches").alias("j", "sketch")).select("node", F.xxhash64("j", "sketch").alias("bucket"))
     star = landed(star_links(members), "dedup-star")
     # texts to align: those with any company in a bucket, which holds for every later link as well
     company = star.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     letters = lettered(docs, nodes.join(company, "node", "left_semi"), id_col, text)
-    first = landed(verified(star.select("a", "b").distinct(), letters, threshold), "dedup-verified")
-    failed = star.join(first.where("NOT near"), ["a", "b"], "left_semi").select("bucket", F.col("b").alias("node"), "after")
-    again = star_links(failed).select("a", "b").union(chain_links(failed)).distinct()
-    second = verified(again.join(first.select("a", "b"), ["a", "b"], "left_anti"), letters, threshold)
-    links = landed(first.where("near").union(second.where("near")), "dedup-near")
-    heads = classes(links)
+    tried = landed(verified(star, letters, threshold), "dedup-verified")
+    # a bucket of two texts is settled by their link
+    large = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 2").select("bucket")
+    members = landed(members.join(large, "bucket", "left_semi"), "dedup-members")
+    width = WIDTH
+    while True:
+        heads = classes(landed(tried.where("near"), "dedup-near"))
+        found = landed(candidates(celled(members, nodes, heads, threshold), threshold, width), "dedup-candidates")
+        fresh = found.select("a", "b").join(tried.select("a", "b"), ["a", "b"], "left_anti")
+        checked = landed(verified(fresh, letters, threshold), "dedup-verified")
+        tried = tried.unionByName(checked)
+        last = found.where("more").limit(1).count() == 0
+        if checked.where("near").limit(1).count():
+            heads = None
+        if last:
+            break
+        width *= WIDER
+    heads = heads or classes(landed(tried.where("near"), "dedup-near"))
     named = nodes.join(heads, "node", "left").withColumn("head", F.coalesce("head", "node"))
     ids = named.groupBy("head").agg(F.min("id").alias("class_id"))
     return landed(named.select("node", "id", "head").join(ids, "head").select("node", "id", "class_id", "head"), "dedup-classes")

@@ -199,6 +199,28 @@ def test_near_dedup(spark, make, odd, empty):
     assert sorted(out["doc_id"].fillna(-1)) == [-1, 1, 2, 4, 6] and near_dedup.one_per_class(empty).count() == 0
 
 
+@pytest.mark.parametrize("cell", [near_dedup.CELL, 150])
+def test_near_dedup_shared_passage(spark, make, monkeypatch, cell):
+    """Clusters a ~ b ~ c with a and c apart, all texts sharing a passage of 0.7 of their words."""
+    monkeypatch.setattr(near_dedup, "CELL", cell)
+    rng = np.random.default_rng(6)
+    word = iter(rng.permutation(1_000_000))
+    fresh = lambda n: [f"v{next(word)}" for _ in range(n)]
+    passage, rows = fresh(140), []
+    for _ in range(400):
+        one, two = fresh(30), fresh(30)
+        rows += [passage + one + two, passage + one + fresh(30), passage + fresh(30) + two]
+    got = near_dedup.with_classes(make([(i, " ".join(x), "en", "s") for i, x in enumerate(rows)])).toPandas()
+    want = got.doc_id // 3
+    h = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(rows)], "doc_id long, text string")
+    sketches = {r.id: set(enumerate(r.sketches)) for r in near_dedup.sketched(h, "doc_id", "text").collect()}
+    label = got.set_index("doc_id").class_id
+    for k in range(400):
+        for other in (1, 2):
+            assert not sketches[3 * k] & sketches[3 * k + other] or label[3 * k] == label[3 * k + other]
+    assert (got.class_id // 3 == want).all()
+
+
 def test_order_sketches_against_plain():
     with np.errstate(over="ignore"):
         rng = np.random.default_rng(1)
