@@ -46,7 +46,7 @@ STAGES = [
     ("shard", shard_stage),
 ]
 
-#: Order MinHash and the Fisher-Yates shuffle have no SQL form; tests hold the stages against brute force.
+#: Order MinHash and the Fisher-Yates shuffle have no SQL form; tests hold the stages against their operators.
 ORACLE_SQL = None
 
 
