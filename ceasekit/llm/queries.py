@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from ceasekit.llm import classifier, decontaminate, fixity, mixing, near_dedup, pii, quality, sharding, suffix_dedup, url_filter
+from ceasekit.llm import (
+    classifier,
+    decontaminate,
+    fill_in_middle,
+    fixity,
+    mixing,
+    near_dedup,
+    pii,
+    quality,
+    sharding,
+    suffix_dedup,
+    url_filter,
+)
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -15,10 +27,12 @@ QUERIES = {
     "op8_fixity_audit": fixity.op8_fixity_audit,
     "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
     "op10_personal_data": pii.op10_personal_data,
+    "op11_fill_in_middle": fill_in_middle.op11_fill_in_middle,
 }
 
 SQL = {
     "op1_mix_sources": mixing.OP1_SQL,
     "op4_decontaminate": decontaminate.OP4_SQL,
     "op8_fixity_audit": fixity.OP8_SQL,
+    "op11_fill_in_middle": fill_in_middle.OP11_SQL,
 }
