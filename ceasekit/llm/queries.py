@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ceasekit.llm import (
+    block_search,
     classifier,
     decontaminate,
     fill_in_middle,
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
     "op10_personal_data": pii.op10_personal_data,
     "op11_fill_in_middle": fill_in_middle.op11_fill_in_middle,
+    "op12_nearest_neighbours": block_search.op12_nearest_neighbours,
 }
 
 SQL = {
@@ -35,4 +37,5 @@ SQL = {
     "op4_decontaminate": decontaminate.OP4_SQL,
     "op8_fixity_audit": fixity.OP8_SQL,
     "op11_fill_in_middle": fill_in_middle.OP11_SQL,
+    "op12_nearest_neighbours": block_search.OP12_SQL,
 }
