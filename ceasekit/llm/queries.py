@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from ceasekit.llm import (
     block_search,
+    centroids,
     classifier,
     decontaminate,
     fill_in_middle,
@@ -30,6 +31,7 @@ QUERIES = {
     "op10_personal_data": pii.op10_personal_data,
     "op11_fill_in_middle": fill_in_middle.op11_fill_in_middle,
     "op12_nearest_neighbours": block_search.op12_nearest_neighbours,
+    "op13_centroids": centroids.op13_centroids,
 }
 
 SQL = {
@@ -38,4 +40,5 @@ SQL = {
     "op8_fixity_audit": fixity.OP8_SQL,
     "op11_fill_in_middle": fill_in_middle.OP11_SQL,
     "op12_nearest_neighbours": block_search.OP12_SQL,
+    "op13_centroids": centroids.OP13_SQL,
 }
