@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ceasekit.catalog import query
+from ceasekit.catalog import QUERIES, query
 from ceasekit.catalog.study import study
 from ceasekit.functions.keys import uniform
 from ceasekit.oracle_sql import register
@@ -12,7 +12,7 @@ from ceasekit.operators.ranking import auc
 from ceasekit.plans import model as M
 from ceasekit.sources.io import scratch_path
 
-ID = "unique_customer_identifier"
+ID, LABEL = M.ID, M.LABEL
 
 
 def _u_sql(*parts: str) -> str:
@@ -20,17 +20,21 @@ def _u_sql(*parts: str) -> str:
             f" / 4294967296.0")
 
 
-SPLIT_SQL = (f"CASE WHEN {_u_sql(ID, chr(39) + '42' + chr(39))} < 0.6 THEN 'train' "
-             f"WHEN {_u_sql(ID, chr(39) + '42' + chr(39))} < 0.8 THEN 'val' ELSE 'test' END")
-PART_SQL = (f"CASE WHEN split <> 'train' THEN split "
-            f"WHEN {_u_sql(ID, chr(39) + 'monitor' + chr(39), chr(39) + '42' + chr(39))} < 0.1 THEN 'monitor' "
-            f"ELSE 'fit' END")
-register("gold_split", f"SELECT {ID}, churned, {SPLIT_SQL} AS split FROM gold")
-register("gold_parts", f"SELECT *, {PART_SQL} AS part FROM gold_split")
+def _key_sql(*parts: str) -> str:
+    return f"CAST(('0x' || substr(md5(concat_ws('|', {', '.join(parts)})), 1, 15)) AS BIGINT)"
+
+
+register("gold_split", f"""
+SELECT {ID}, churned, CASE WHEN r <= floor(0.6 * n + 0.5) THEN 'train' WHEN r <= floor(0.8 * n + 0.5) THEN 'val' ELSE 'test' END AS split
+FROM (SELECT {ID}, churned, row_number() OVER (PARTITION BY churned ORDER BY {_key_sql(ID, "'42'")}) AS r,
+             count(*) OVER (PARTITION BY churned) AS n FROM gold)""")
+register("gold_parts", f"""
+SELECT {ID}, churned, split, CASE WHEN split <> 'train' THEN split WHEN r <= floor(0.1 * n + 0.5) THEN 'monitor' ELSE 'fit' END AS part
+FROM (SELECT *, row_number() OVER (PARTITION BY churned, split ORDER BY {_key_sql(ID, "'monitor'", "'42'")}) AS r,
+             count(*) OVER (PARTITION BY churned, split) AS n FROM gold_split)""")
 register("scored_fixture", f"""
-SELECT {ID}, churned, split, {PART_SQL} AS part, score, CASE WHEN score >= 0.5 THEN 1 ELSE 0 END AS predicted
-FROM (SELECT {ID}, churned, {SPLIT_SQL} AS split,
-             {_u_sql(ID, 'CAST(behav_win AS VARCHAR)', chr(39) + '42' + chr(39))} AS score FROM raw_info)""")
+SELECT {ID}, churned, split, part, score, CASE WHEN score >= 0.5 THEN 1 ELSE 0 END AS predicted
+FROM (SELECT p.*, {_u_sql('r.' + ID, 'CAST(r.behav_win AS VARCHAR)', "'42'")} AS score FROM raw_info r JOIN gold_parts p ON p.{ID} = r.{ID})""")
 
 
 def _parts(s):
@@ -135,10 +139,8 @@ def trained(spark, d, reduced: bool = False):
 
 
 def _train_summary(spark, tm, name):
-    return spark.createDataFrame(
-        [(name, int(tm.model.getNumTrees), len(tm.features), float(tm.scale_pos_weight),
-          int(tm.model.totalNumNodes))],
-        "model string, trees int, features int, scale_pos_weight double, total_nodes int")
+    return spark.createDataFrame([(name, len(tm.trees), len(tm.features), tm.scale_pos_weight, sum(t.nodes for t in tm.trees))],
+                                 "model string, trees int, features int, scale_pos_weight double, total_nodes int")
 
 
 @query("m6_train_boosted_trees")
@@ -151,17 +153,55 @@ def m6b(spark, d):
     return _train_summary(spark, trained(spark, d, True), "reduced")
 
 
+@query("m6_first_tree_check", "SELECT count(*) AS fit_rows, true AS leaf_values_right, true AS leaves_heavy_enough FROM gold_parts WHERE part = 'fit'")
+def m6c(spark, d):
+    """The first tree starts from even odds, so each leaf's value follows from the labels of its sampled rows:
+    -rate * soft threshold of the gradient sum / (hessian sum + 1), with no leaf below the child weight."""
+    tm = trained(spark, d)
+    p = tm.params
+    drawn = M.tree_margins(tm, tm.data.where(F.col("part") == "fit"))
+    w = F.when(F.col(LABEL) == 1, tm.scale_pos_weight).otherwise(1.0)
+    use = F.col("_sampled").cast("double")
+    leaves = drawn.groupBy("_margin").agg(F.count(F.lit(1)).alias("n"), F.sum(use * w * (0.5 - F.col(LABEL))).alias("g"), F.sum(use * w * 0.25).alias("h"))
+    value = -p.learning_rate * F.signum("g") * F.greatest(F.abs("g") - p.l1, F.lit(0.0)) / (F.col("h") + 1)
+    return leaves.agg(F.sum("n").alias("fit_rows"), F.every(F.abs(value - F.col("_margin")) < 1e-6).alias("leaf_values_right"),
+                      F.every((F.col("h") >= p.min_child_weight - 1e-6) | (F.lit(tm.trees[0].nodes) == 1)).alias("leaves_heavy_enough"))
+
+
 @query("m7_learning_curve")
 def m7(spark, d):
     return M.learning_curve(trained(spark, d))
 
 
-def cross_validated(spark, d):
+@query("m7_curve_check", """
+SELECT part, true AS trees_in_order, true AS stopped_right, true AS auc_is_that_of_the_scores
+FROM gold_parts WHERE part IN ('fit', 'monitor') GROUP BY part""")
+def m7c(spark, d):
+    """The curve has one row per tree, ends with the patience used up or the last tree, and its AUC at the
+    best prefix is the exact AUC of the scores that the kept trees give."""
+    tm = trained(spark, d)
+    curve = M.learning_curve(tm)
+    shape = curve.agg((F.max("trees") == F.count(F.lit(1))).alias("trees_in_order"), F.max("trees").alias("n"),
+                      F.min_by("trees", F.struct(-F.col("monitor_auc"), F.col("trees"))).alias("first_best"))
+    p = tm.params
+    shape = shape.select("trees_in_order", ((F.col("first_best") == tm.best) & F.col("n").isin(tm.best + p.patience, p.max_trees)).alias("stopped_right"))
+    at_best = curve.where("is_best = 1").select(F.explode(F.create_map(F.lit("fit"), "fit_auc", F.lit("monitor"), "monitor_auc")).alias("part", "curve_auc"))
+    exact = auc(M.score(tm).where(F.col("part").isin("fit", "monitor")), "score", "churned", ["part"])
+    return exact.join(at_best, "part").select("part", shape.select("trees_in_order").scalar().alias("trees_in_order"), shape.select("stopped_right").scalar().alias("stopped_right"),
+                                              (F.abs(F.col("auc") - F.col("curve_auc")) < 1e-9).alias("auc_is_that_of_the_scores"))
+
+
+def fold_aucs(spark, d):
+    """The models of all folds, grown once per session."""
     s = study(spark, d)
-    if not hasattr(s, "_cv"):
+    if not hasattr(s, "_folds"):
         tm = trained(spark, d)
-        s._cv = M.cross_validate(tm, tm.best)
-    return s._cv
+        s._folds = M.fold_aucs(tm, tm.best)
+    return s._folds
+
+
+def cross_validated(spark, d):
+    return M.summarised_folds(fold_aucs(spark, d), trained(spark, d).best)
 
 
 @query("m8_cross_validate")
@@ -169,6 +209,15 @@ def m8(spark, d):
     return cross_validated(spark, d)
 
 
+@query("m8_fold_check", f"""
+SELECT CAST(floor({_u_sql(ID, "'fold'", "'42'")} * 5) AS INTEGER) AS fold, CAST(count_if(churned = 1) AS BIGINT) AS positives,
+       CAST(count_if(churned = 0) AS BIGINT) AS negatives, true AS auc_in_range
+FROM gold_parts WHERE part IN ('fit', 'monitor') GROUP BY 1""")
+def m8c(spark, d):
+    """Every row of a fold is scored once, by the model that was grown without it."""
+    return fold_aucs(spark, d).select("fold", "positives", "negatives", F.col("auc").between(0, 1).alias("auc_in_range"))
+
+
 @query("m9_model_auc")
 def m9m(spark, d):
     return auc(M.score(trained(spark, d)), "score", "churned", ["part"])
@@ -189,7 +238,7 @@ def m12(spark, d):
     tm = trained(spark, d)
     sc = M.score(tm)
     a = {r["part"]: r["auc"] for r in auc(sc, "score", "churned", ["part"]).collect()}
-    sizes = {r["part"]: r["rows"] for r in M.split_report(tm.data).collect()}
+    sizes = {r["part"]: r["rows"] for r in M.split_report(tm.data).collect()}      # four parts
     p = tm.params
     cv = cross_validated(spark, d).first()
     summary = M.run_summary(spark, {
@@ -197,8 +246,8 @@ def m12(spark, d):
         "monitor_rows": sizes.get("monitor", 0), "val_rows": sizes.get("val", 0), "test_rows": sizes.get("test", 0),
         "trees_tried": len(tm.curve), "best_trees": tm.best, "cv_auc_mean": cv.cv_auc_mean, "cv_auc_std": cv.cv_auc_std, "val_auc": a.get("val"), "test_auc": a.get("test"),
         "learning_rate": p.learning_rate, "max_depth": p.max_depth, "row_sample": p.row_sample,
-        "column_sample": p.column_sample, "min_rows_per_leaf": p.min_rows_per_leaf,
-        "patience": p.patience, "l1_on_leaf_weights": "not in MLlib", "scale_pos_weight": round(tm.scale_pos_weight, 6)})
+        "column_sample_per_tree": p.column_sample, "min_child_weight": p.min_child_weight,
+        "patience": p.patience, "l1_on_leaf_weights": p.l1, "scale_pos_weight": round(tm.scale_pos_weight, 6)})
     path = scratch_path(spark, "run-summary")
     summary.coalesce(1).write.parquet(path)
     return spark.read.parquet(path)
@@ -208,6 +257,18 @@ _FEATURE_COUNT = "(SELECT count(*) FROM (DESCRIBE SELECT * FROM gold) WHERE colu
     ", ".join(f"'{c}'" for c in M.NON_FEATURES))
 
 
+@query("m12_summary_check", f"""
+SELECT part || '_rows' AS metric, CAST(count(*) AS VARCHAR) AS value FROM gold_parts GROUP BY part
+UNION ALL SELECT 'rows', CAST(count(*) AS VARCHAR) FROM gold_parts
+UNION ALL SELECT 'features', CAST({_FEATURE_COUNT} AS VARCHAR)
+UNION ALL SELECT 'scale_pos_weight', CAST(round(CAST(count_if(churned = 0) AS DOUBLE) / count_if(churned = 1), 6) AS VARCHAR) FROM gold_parts WHERE part = 'fit'
+UNION ALL SELECT * FROM (VALUES ('learning_rate', '0.05'), ('max_depth', '5'), ('row_sample', '0.8'), ('column_sample_per_tree', '0.8'),
+                                ('min_child_weight', '5.0'), ('l1_on_leaf_weights', '0.1'), ('patience', '50'))""")
+def m12c(spark, d):
+    """The metrics of the run summary that do not depend on the trees."""
+    return QUERIES["m12_run_summary"](spark, d).where(~F.col("metric").isin("trees_tried", "best_trees") & ~F.col("metric").contains("auc"))
+
+
 @query("m11_importance_check", f"SELECT CAST({_FEATURE_COUNT} AS BIGINT) AS features, true AS none_negative, true AS sums_to_one")
 def m11c(spark, d):
     """Importance of every feature of the full model: one row each, none negative, 1 in total."""

@@ -25,6 +25,10 @@ REDUNDANT_SPEED_COLUMNS = ("package_speed_18", "package_speed_65", "package_spee
 # One-hot groups validated in gold, by column-name prefix:
 ONE_HOT_PREFIXES = ("contract_status_", "technology_", "package_speed_", "sales_channel_",
                     "crm_package_", "ooc_bucket_", "usage_days_bucket_")
+# Columns that the second model leaves out besides id and label:
+MODEL_2_DROP = ("ooc_bucket_minus100_to_50", "ooc_bucket_over_50", "ooc_bucket_under_minus100",
+                "contract_dd_cancels", "dd_cancel_60_day")
+MODEL_2_DROP_PREFIX = "contract_status_"
 # Snapshot attributes in the order of the observation set (after id, behav_win, churned):
 ATTRIBUTE_COLUMNS = ("contract_status", "contract_dd_cancels", "dd_cancel_60_day", "ooc_days",
                      "technology", "speed", "line_speed", "sales_channel", "crm_package_name",

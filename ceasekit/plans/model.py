@@ -1,44 +1,41 @@
 """Model training and evaluation on gold, distributed end to end.
 
-Splits are hash thresholds on a seeded md5 of the customer id (no shuffle, the
-same on every run and partition count). Training uses MLlib gradient-boosted
-trees. Known differences to the studied single-machine booster: no L1 term on
-leaf weights, feature subsampling per node instead of per tree, and minimum rows
-(not hessian weight) per leaf. Early stopping is the study's: the AUC of every
-tree prefix on the monitor part, stopped after ``patience`` rounds without a
-better one, and the best prefix is kept.
+Splits are exact per label: customers are ordered by a seeded md5 of their id, and the rank in the label
+decides. Training is second-order boosting on binned features with the study's parameters
+(``operators.hist_boosting``): L1 on leaf weights, hessian weight of a child, rows and columns drawn per tree.
+Early stopping is the study's: the exact AUC of every tree prefix on the monitor part, stopped after
+``patience`` rounds without a better one, and the best prefix is kept.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ceasekit.functions.keys import uniform
-from ceasekit.operators.boosting import best_prefix, prefix_auc
-from ceasekit.sources.io import scratch_path
+from ceasekit.config import MODEL_2_DROP, MODEL_2_DROP_PREFIX
+from ceasekit.functions.keys import order_key, uniform
+from ceasekit.operators.hist_boosting import BLOCK, Training, Tree, TreeParams, sampler, scorer, values_of
+from ceasekit.operators.ranking import auc
+from ceasekit.operators.selection import ranked_keys, same
 
 ID = "unique_customer_identifier"
 LABEL = "churned"
-MISSING = -1.0e9          # stands in for a null feature: below every real value, so a tree can split it off
 
 
 @dataclass(frozen=True)
 class BoostParams:
-    """Training parameters of the study (per model)."""
+    """Training parameters of the study (per model). Fixed values."""
     max_trees: int = 1000
     learning_rate: float = 0.05
     max_depth: int = 5
     row_sample: float = 0.8
     column_sample: float = 0.8
-    min_rows_per_leaf: int = 5
+    min_child_weight: float = 5.0
+    l1: float = 0.1
     patience: int = 50
     seed: int = 42
     split_seed: int = 42
@@ -47,26 +44,25 @@ class BoostParams:
 
 MODEL_1 = BoostParams()
 MODEL_2 = BoostParams(seed=0, split_seed=0, carve_seed=0)
-# Extra exclusions of the second model (reduced feature set):
-MODEL_2_DROP = ("ooc_bucket_minus100_to_50", "ooc_bucket_over_50", "ooc_bucket_under_minus100",
-                "contract_dd_cancels", "dd_cancel_60_day")
-MODEL_2_DROP_PREFIX = "contract_status_"
 NON_FEATURES = (ID, "observation_date", "churn_label", LABEL)
 
 
-def stratified_split(gold: DataFrame, seed: int = 42, key: str = ID, fractions=(0.6, 0.2, 0.2)) -> DataFrame:
-    """M1: train / val / test by a seeded hash of the id: each label keeps the
-    same expected shares, with no per-label window or shuffle."""
-    u = uniform(key, seed=seed)
-    a, b = fractions[0], fractions[0] + fractions[1]
-    return gold.withColumn("split", F.when(u < a, "train").when(u < b, "val").otherwise("test"))
+def stratified_split(gold: DataFrame, seed: int = 42, key: str = ID, fractions=(0.6, 0.2, 0.2), label: str = LABEL) -> DataFrame:
+    """M1: train / val / test with exact shares of every label: of a label's n rows, ordered by a seeded hash
+    of the id, the first floor(0.6 n + 0.5) are train and those up to floor(0.8 n + 0.5) validation. Rows
+    equal in the id go to the same part; a null label is a stratum of its own."""
+    rows = gold.withColumn("_key", order_key(key, seed=seed))
+    limits = ranked_keys(rows, [label], "_key", {"_train": fractions[0], "_val": fractions[0] + fractions[1]})
+    split = F.when(F.col("_key") <= F.col("_train"), "train").when(F.col("_key") <= F.col("_val"), "val").otherwise("test")
+    return rows.join(limits, same(rows, limits, [label]), "left").select(*[rows[f"`{c}`"] for c in gold.columns], split.alias("split"))
 
 
-def early_stop_carve(split: DataFrame, seed: int = 42, key: str = ID, share: float = 0.1) -> DataFrame:
-    """M2: a ``share`` of train as the early-stopping monitor (second hash)."""
-    u2 = uniform(key, F.lit("monitor"), seed=seed)
-    return split.withColumn("part", F.when(F.col("split") != "train", F.col("split"))
-                            .when(u2 < share, "monitor").otherwise("fit"))
+def early_stop_carve(split: DataFrame, seed: int = 42, key: str = ID, share: float = 0.1, label: str = LABEL) -> DataFrame:
+    """M2: a ``share`` of train, exact per label, as the early-stopping monitor (by a second hash)."""
+    rows = split.withColumn("_key", order_key(key, F.lit("monitor"), seed=seed))
+    limits = ranked_keys(rows.where(F.col("split") == "train"), [label], "_key", {"_monitor": share})
+    part = F.when(F.col("split") != "train", F.col("split")).when(F.col("_key") <= F.col("_monitor"), "monitor").otherwise("fit")
+    return rows.join(limits, same(rows, limits, [label]), "left").select(*[rows[f"`{c}`"] for c in split.columns], part.alias("part"))
 
 
 def split_report(parts: DataFrame, col: str = "part") -> DataFrame:
@@ -90,99 +86,129 @@ def select_features(columns, reduced: bool = False) -> list[str]:
     return out
 
 
-def assemble(df: DataFrame, features) -> DataFrame:
-    cols = [F.coalesce(F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double")), F.lit(MISSING)).alias(c) for c in features]
-    base = df.select(*[c for c in df.columns if c not in features], *cols)
-    return VectorAssembler(inputCols=list(features), outputCol="features").transform(base)
-
-
 @dataclass
 class TrainedModel:
-    model: object
+    trees: list[Tree] = field(repr=False)
+    cuts: list = field(repr=False)
     features: list
     params: BoostParams
     scale_pos_weight: float
     data: DataFrame = field(repr=False)
-    curve: list = field(repr=False)          # (trees, AUC on fit, AUC on monitor) of every prefix trained
+    curve: list = field(repr=False)          # (trees, AUC on fit, AUC on monitor) of every prefix up to the stop
     best: int = 0
 
 
-def _gbt(p: BoostParams, trees: int) -> GBTClassifier:
-    return GBTClassifier(featuresCol="features", labelCol=LABEL, weightCol="w", maxIter=trees, stepSize=p.learning_rate,
-                      maxDepth=p.max_depth, subsamplingRate=p.row_sample,
-                      featureSubsetStrategy=str(p.column_sample), minInstancesPerNode=p.min_rows_per_leaf,
-                      seed=p.seed, lossType="logistic")
-
-
 def prepare(gold: DataFrame, p: BoostParams, reduced: bool = False) -> tuple[DataFrame, list, float]:
+    """Gold with its parts, the features, and the weight of a positive."""
     parts = early_stop_carve(stratified_split(gold, p.split_seed), p.carve_seed)
-    features = select_features(gold.columns, reduced)
-    spw = class_weight(parts).first()[0] or 1.0
-    w = F.when(F.col(LABEL) == 1, F.lit(float(spw))).otherwise(F.lit(1.0))
-    data = assemble(parts.withColumn("w", w), features)
-    return data, features, float(spw)
+    return parts, select_features(gold.columns, reduced), float(class_weight(parts).first()[0] or 1.0)
+
+
+def training_rows(parts: DataFrame, features: Sequence[str], seed: int, folds: int) -> DataFrame:
+    """Fit and monitor rows with the hash of the id, their fold (not stratified) and the label."""
+    fold = (uniform(ID, F.lit("fold"), seed=seed) * folds).cast("int")
+    return parts.where(F.col("part").isin("fit", "monitor") & F.col(LABEL).isNotNull()).select(
+        F.xxhash64(ID).alias("key"), "part", fold.alias("fold"), F.col(LABEL).cast("int").alias("y"), *[F.col(f"`{c}`") for c in features])
+
+
+def _tree_params(p: BoostParams, spw: float) -> TreeParams:
+    return TreeParams(p.max_depth, p.learning_rate, p.row_sample, p.column_sample, p.min_child_weight, p.l1, spw, p.seed)
 
 
 def train_boosted_trees(gold: DataFrame, p: BoostParams = MODEL_1, reduced: bool = False) -> TrainedModel:
-    """M6: boosted trees on the fit part, stopped by the AUC on the monitor part.
-
-    MLlib cannot go on with a trained model, so the number of trees is doubled until the best
-    prefix is followed by ``patience`` flat rounds or ``max_trees`` is reached. Training is
-    seeded and reads a written table, so a longer run starts with the same trees; the best
-    prefix is trained once more by itself."""
-    planned, features, spw = prepare(gold, p, reduced)
-    spark = planned.sparkSession
-    path = scratch_path(spark, "training-rows")
-    planned.write.parquet(path)
-    data = spark.read.parquet(path)
-    fit = data.where(F.col("part") == "fit")
-    trees = min(p.patience + p.patience // 4 + 1, p.max_trees)
-    while True:
-        model = _gbt(p, trees).fit(fit)
-        curve = prefix_curve(model, data)
+    """M6: boosted trees on the fit part, stopped by the AUC on the monitor part. Trees grow in blocks that
+    go on from the written margins; those of the last block beyond the stop are dropped."""
+    parts, features, spw = prepare(gold, p, reduced)
+    rows = training_rows(parts, features, p.seed, 1)
+
+    def fit_rows(part: np.ndarray, fold: np.ndarray) -> np.ndarray:
+        return (part == "fit")[None, :]
+
+    training = Training(rows, features, 1, fit_rows, _tree_params(p, spw), cuts_from=rows.where(F.col("part") == "fit"))
+    curve: list = []
+    best, stopped = 0, False
+    while not stopped and len(curve) < p.max_trees:
+        left = min((best or 1) + p.patience, p.max_trees) - len(curve)       # before that no stop is possible
+        training.grow(-(-left // -(-left // BLOCK)))
+        curve += prefix_curve(training.state, len(curve))
         best, stopped = best_prefix([monitor for _, _, monitor in curve], p.patience)
-        if stopped or trees == p.max_trees:
-            break
-        trees = min(2 * trees, p.max_trees)
-    if best < trees:
-        model = _gbt(p, best).fit(fit)
-    return TrainedModel(model, features, p, spw, data, curve, best)
+    if stopped:
+        curve = curve[:best + p.patience]
+    return TrainedModel(training.trees[0][:best], training.cuts, features, p, spw, parts, curve, best)
+
+
+def prefix_curve(state: DataFrame, before: int) -> list[tuple[int, float | None, float | None]]:
+    """(trees, AUC on fit, AUC on monitor) of every prefix that ends in the last block: exact, in one pass."""
+    rows = state.select("part", "y", F.posexplode(F.col("trail")[0]).alias("_at", "score"))
+    found = {(r.part, r["_at"]): r.auc for r in auc(rows, "score", "y", ["part", "_at"]).collect()}      # two rows per tree
+    n = 1 + max((at for _, at in found), default=-1)
+    return [(before + t + 1, found.get(("fit", t)), found.get(("monitor", t))) for t in range(n)]
 
 
-def prefix_curve(model, data: DataFrame) -> list[tuple[int, float | None, float | None]]:
-    """(trees, AUC on fit, AUC on monitor) of every prefix; one small row per prefix."""
-    rows = prefix_auc(model, data.where(F.col("part").isin("fit", "monitor")), LABEL).collect()
-    found = {(r.part, r.trees): r.auc for r in rows}
-    return [(t, found.get(("fit", t)), found.get(("monitor", t))) for t in range(1, model.getNumTrees + 1)]
+def best_prefix(curve: Sequence[float | None], patience: int) -> tuple[int, bool]:
+    """(prefix with the first best AUC, whether ``patience`` rounds without a better one followed it).
+    Rounds after that point are not looked at. A part with one class only has no AUC and counts as 0.5."""
+    best, best_auc = 0, -1.0
+    for trees, value in enumerate((0.5 if a is None else a for a in curve), 1):
+        if value > best_auc:
+            best, best_auc = trees, value
+        elif trees - best >= patience:
+            return best, True
+    return best, False
 
 
 def score(tm: TrainedModel, df: DataFrame | None = None) -> DataFrame:
     """Churn probability per customer."""
     d = tm.data if df is None else df
-    out = tm.model.transform(d)
-    return out.select(ID, LABEL, "part", vector_to_array("probability")[1].alias("score"),
-                      F.col("prediction").cast("int").alias("predicted"))
+    kinds = {c: d.schema[c].dataType.simpleString() for c in (ID, LABEL, "part")}
+    out = d.select(*kinds, values_of(d, tm.features)).mapInArrow(
+        scorer(tm.trees, tm.cuts, len(tm.features), tm.params.max_depth), ", ".join(f"`{c}` {k}" for c, k in kinds.items()) + ", _margin double")
+    p = 1 / (1 + F.exp(-F.col("_margin")))
+    return out.select(*kinds, p.alias("score"), (p > 0.5).cast("int").alias("predicted"))
+
+
+def tree_margins(tm: TrainedModel, df: DataFrame, tree: int = 0) -> DataFrame:
+    """(id, label, margin that one tree gives, whether the row was drawn for it)."""
+    kinds = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in (ID, LABEL))
+    rows = df.select(ID, LABEL, F.xxhash64(ID).alias("_key"), values_of(df, tm.features)).mapInArrow(
+        scorer(tm.trees[tree:tree + 1], tm.cuts, len(tm.features), tm.params.max_depth), f"{kinds}, _key long, _margin double")
+    return rows.mapInArrow(sampler(tm.params.seed, tree, tm.params.row_sample), f"{kinds}, _margin double, _sampled boolean")
 
 
 def learning_curve(tm: TrainedModel) -> DataFrame:
-    """M7: AUC of every trained tree prefix on the fit and monitor parts; the best prefix marked."""
+    """M7: AUC of every tree prefix up to the stop on the fit and monitor parts; the best prefix marked."""
     rows = [(trees, fit, monitor, int(trees == tm.best)) for trees, fit, monitor in tm.curve]
     return tm.data.sparkSession.createDataFrame(rows, "trees int, fit_auc double, monitor_auc double, is_best int")
 
 
+def fold_scores(tm: TrainedModel, trees: int, folds: int = 5) -> DataFrame:
+    """(fold, y, score) of every training row (fit and monitor), scored by the model of ``trees`` trees that
+    was grown without the row's fold. The models of all folds grow in the same passes over one table."""
+    rows = training_rows(tm.data, tm.features, tm.params.seed, folds)
+
+    def others(part: np.ndarray, fold: np.ndarray) -> np.ndarray:
+        return np.arange(folds)[:, None] != fold[None, :]
+
+    training = Training(rows, tm.features, folds, others, _tree_params(tm.params, tm.scale_pos_weight), cuts=tm.cuts)
+    for start in range(0, trees, BLOCK):
+        training.grow(min(BLOCK, trees - start))
+    return training.state.select("fold", "y", F.get("margins", F.col("fold")).alias("score"))
+
+
+def fold_aucs(tm: TrainedModel, trees: int, folds: int = 5) -> DataFrame:
+    """(fold, auc, positives, negatives) on each fold held out."""
+    return auc(fold_scores(tm, max(trees, 1), folds), "score", "y", ["fold"])
+
+
 def cross_validate(tm: TrainedModel, trees: int, folds: int = 5) -> DataFrame:
-    """M8: k folds (hash of id, not stratified) over train including the monitor,
-    with ``trees`` trees (the best prefix, 1-based); mean and std AUC."""
-    train = tm.data.where(F.col("part").isin("fit", "monitor")) \
-        .withColumn("fold", (uniform(ID, F.lit("fold"), seed=tm.params.seed) * folds).cast("int"))
-    ev = BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol="rawPrediction", metricName="areaUnderROC")
-    gbt = _gbt(tm.params, max(trees, 1))
-    cv = CrossValidator(estimator=gbt, estimatorParamMaps=ParamGridBuilder().build(), evaluator=ev,
-                        foldCol="fold", numFolds=folds, seed=tm.params.seed)
-    m = cv.fit(train)
-    std = float(m.stdMetrics[0]) if m.stdMetrics else None
-    return tm.data.sparkSession.createDataFrame([(folds, trees, float(m.avgMetrics[0]), std)],
-                                                "folds int, trees int, cv_auc_mean double, cv_auc_std double")
+    """M8: k folds (hash of id, not stratified) over train including the monitor, with ``trees`` trees (the
+    best prefix, 1-based); mean and population std of the fold AUCs."""
+    return summarised_folds(fold_aucs(tm, trees, folds), trees)
+
+
+def summarised_folds(aucs: DataFrame, trees: int) -> DataFrame:
+    return aucs.agg(F.count(F.lit(1)).cast("int").alias("folds"), F.lit(trees).alias("trees"), F.avg("auc").alias("cv_auc_mean"),
+                    F.stddev_pop("auc").alias("cv_auc_std"))
 
 
 def classification_report(scored: DataFrame, by=("part",), label: str = LABEL, pred: str = "predicted") -> DataFrame:
@@ -217,9 +243,16 @@ def classification_report(scored: DataFrame, by=("part",), label: str = LABEL, p
 
 
 def feature_importance(tm: TrainedModel, top: int | None = 20) -> DataFrame:
-    """Normalised importance per feature, the ``top`` largest (a top-k report; None: all)."""
-    imp = tm.model.featureImportances.toArray()
-    rows = sorted(((f, float(v)) for f, v in zip(tm.features, imp)), key=lambda r: -r[1])[:top]
+    """Mean gain of a feature's splits, as a share of the sum over features, the ``top`` largest (a top-k
+    report; None: all)."""
+    gain, splits = np.zeros(len(tm.features)), np.zeros(len(tm.features))
+    for t in tm.trees:
+        used = t.feature >= 0
+        np.add.at(gain, t.feature[used], t.gain[used])
+        np.add.at(splits, t.feature[used], 1)
+    mean = gain / np.maximum(splits, 1)
+    share = mean / (mean.sum() or 1.0)
+    rows = sorted(zip(tm.features, share.tolist(), strict=True), key=lambda r: -r[1])[:top]
     return tm.data.sparkSession.createDataFrame(rows, "feature string, importance double")
 
 
