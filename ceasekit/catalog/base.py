@@ -13,6 +13,7 @@ from ceasekit.catalog.study import study
 from ceasekit.functions import dates as D
 from ceasekit.functions.categories import clean_name_sql
 from ceasekit.functions.buckets import line_speed_bucket
+from ceasekit.operators.prefix import prefix_scan
 from ceasekit.operators.relational import existence_flag, same_month_join
 from ceasekit.plans import quality as Q
 
@@ -242,6 +243,17 @@ def a14(spark, d):
     return study(spark, d).cease.select(ID, "cease_placed_date", "reason_description_insight").distinct()
 
 
+@query("w4_running_total", """
+SELECT l_orderkey, l_linenumber, l_shipdate, l_partkey, l_suppkey, l_quantity, sum(l_quantity) OVER w AS quantity_so_far, CAST(count(*) OVER w AS BIGINT) AS lines_so_far,
+       max(l_quantity) OVER w AS most_so_far
+FROM lineitem WINDOW w AS (ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+def w4(spark, d):
+    """Running totals over all line items by date and key: a prefix scan, no task with all rows."""
+    lines = study(spark, d).table("lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey", "l_quantity")
+    return prefix_scan(lines, ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], {
+        "quantity_so_far": ("sum", F.col("l_quantity")), "lines_so_far": ("sum", F.lit(1).cast("long")), "most_so_far": ("max", F.col("l_quantity"))})
+
+
 @query("o1_sort", "SELECT contract_status, technology, count(*) AS n FROM customer_info GROUP BY 1, 2")
 def o1(spark, d):
     return study(spark, d).info.groupBy("contract_status", "technology").agg(F.count(F.lit(1)).alias("n")) \
@@ -269,7 +281,6 @@ ALIASES = {
     "w1_row_number_keep_first": "d11_dedup_earliest",
     "w2_seeded_random_pick": "d4_sample_month",
     "w3_lag_difference": "q4_period_change",
-    "w4_running_total": "q9_active_balance",
     "o2_custom_category_order": "p13_rate_by_fixed_bucket",
     "u1_union_aligned": "d12_observation_set",
     "u2_key_set_overlap": "q5_membership_movement",

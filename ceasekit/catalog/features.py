@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ceasekit.catalog import query
 from ceasekit.catalog.study import study
 from ceasekit.config import CRM_KEEP, CRM_OTHER, CRM_ULTRA, GOLD_BASE, REDUNDANT_SPEED_COLUMNS, SALES_CHANNEL_MAP
-from ceasekit.functions.categories import clean_name
+from ceasekit.functions.categories import NAME_STYLES, clean_name
 from ceasekit.oracle_sql import register
 from ceasekit.plans import features as FE
 from ceasekit.plans import observation as OB
@@ -77,6 +77,15 @@ def usage_sql(u="usage_days", bw="behav_win"):
             ("usage_days_bucket_missed_15_plus", f"CASE WHEN {m} > 14 AND {u} > 0 THEN 1 ELSE 0 END")]
 
 
+def clean_name_sql_text(group: str) -> str:
+    """The column name of a row's category in SQL."""
+    prefix, _, style, _ = FE.ONE_HOT_SPECS[group]
+    text = f"CAST({SQL_SRC[group]} AS VARCHAR)"
+    for old, new in NAME_STYLES[style]:
+        text = f"replace({text}, '{old}', '{new}')"
+    return f"'{prefix}' || lower({text})"
+
+
 GOLD_FEATURES = ([n for n, _ in one_hot_sql("contract_status")] + [n for n, _ in OOC_SQL]
                  + [n for g in ("technology", "speed", "sales_channel", "crm_package") for n, _ in one_hot_sql(g)]
                  + [n for n, _ in usage_sql()] + ["has_calls"])
@@ -178,6 +187,27 @@ def f9(spark, d):
     return s.info.select(ID, "datevalue", *FE.one_hot_group("technology", vals))
 
 
+register("category_codes", " UNION ALL ".join(
+    f"SELECT '{g}' AS category_group, c AS value, CAST(row_number() OVER (ORDER BY c) - 1 AS BIGINT) AS code "
+    f"FROM (SELECT DISTINCT {clean_name_sql_text(g)} AS c FROM raw_info) WHERE c IS NOT NULL" for g in FE.ONE_HOT_SPECS))
+
+
+@query("f9_category_codes", "SELECT * FROM category_codes")
+def f9_codes(spark, d):
+    """The dictionary of all one-hot groups: dense codes in the order of the column names."""
+    return FE.category_codes(study(spark, d).raw_info, FE.category_names())
+
+
+@query("f9_sparse_one_hot", " UNION ALL ".join(
+    f"SELECT r.{ID}, '{g}' AS category_group, k.code, 1.0 AS value FROM raw_info r JOIN category_codes k "
+    f"ON k.category_group = '{g}' AND k.value = {clean_name_sql_text(g)}" for g in FE.ONE_HOT_SPECS))
+def f9_sparse(spark, d):
+    """The entries of every customer's sparse one-hot vectors, by their codes (no vector is made dense)."""
+    rows, _ = FE.sparse_features(study(spark, d).raw_info)
+    entries = F.array(*[F.struct(F.lit(g).alias("category_group"), F.col(f"{g}_code").alias("code"), F.lit(1.0).alias("value")) for g in FE.ONE_HOT_SPECS])
+    return rows.select(ID, F.inline(F.filter(entries, lambda e: e["code"].isNotNull())))
+
+
 @query("f10_collapse_categories", f"""
 SELECT sales_channel, {_sales_sql()} AS sales_channel_clean, {_crm_sql('crm_package_name')} AS crm_package_clean,
        crm_package_name, count(*) AS n

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import functools
 import math
-import operator
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ceasekit.operators.prefix import landed
+
 
 def summary_stats(df: DataFrame, c: str, exact: bool = True, accuracy: int = 10000) -> DataFrame:
     """Count, mean, sample stddev, min, quartiles, max of one column in one pass.
@@ -136,47 +136,116 @@ def pairwise_pearson(df: DataFrame, columns: Sequence[str], first_only: bool = F
                     r.alias("r"))
 
 
-def exact_quantiles(df: DataFrame, c: str, probs: Sequence[float], accuracy: int = 100000) -> list | None:
+SKETCH_K = 4096                 # of the KLL sketch
+SKETCH_ERROR = 0.003            # rank error that a sketch of this size keeps far below (a miss is found and mended)
+GATHER_ROWS = 1_000_000         # expected rows of one bracket that are gathered; larger ones are narrowed first
+
+
+def exact_quantiles(df: DataFrame, c: str, probs: Sequence[float], k: int = SKETCH_K, gather_rows: int = GATHER_ROWS) -> list | None:
     """Exact quantiles (linear interpolation at rank p*(n-1)) with bounded memory; runs its jobs at
     once and returns the ``len(probs)`` numbers (like ``approxQuantile``), or None when the column
     has no values. One path at every size; nulls and NaN are skipped.
 
-    1. The row count, and ``percentile_approx`` brackets around every target rank (rank error
-       <= n/accuracy, widened by two positions).
-    2. One aggregate counts the values below and inside each bracket. A bracket that misses its
-       target rank is widened and counted again.
-    3. Rows inside a bracket, about 10*n/accuracy per target, are reduced to (value, count) pairs
-       (a value repeated a billion times is one row); a running count finds the two order statistics.
+    1. One read: the row count and a mergeable KLL sketch, whose quantiles at the rank error on either
+       side bracket every target.
+    2. One read: rows outside the brackets are only counted, rows inside are reduced to (value, count)
+       pairs (a value repeated a billion times is one row). The pairs are written, and a running count per
+       bracket finds the order statistics.
+    Brackets of more than ``gather_rows`` expected rows are narrowed first, by one more read each time that
+    sketches every bracket by itself; a bracket that misses its target is taken again from the sketch, wider.
     """
     x = F.col(c).cast("double")
     data = df.select(x.alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
-    n = data.count()
+    error = min(0.5, SKETCH_ERROR * SKETCH_K / k)
+
+    sketched = F.kll_sketch_agg_double("_x", k).alias("_s")
+    spark = df.sparkSession
+    first = data.agg(F.count("_x").alias("n"), sketched).first()
+    n = first.n
     if n == 0:
         return None
     ranks = [p * (n - 1) for p in probs]
     lower, upper = [math.floor(r) for r in ranks], [math.ceil(r) for r in ranks]
-    width, k = 5.0 / accuracy + 2.0 / n, len(probs)
+
+    def bracketed(sketch: bytes, e: float) -> list[tuple[float, float]]:
+        """Per target the values that the sketch holds below and above its two ranks."""
+        q = _sketch_quantiles(spark, [(sketch, [y for a, b in zip(lower, upper, strict=True) for y in (a / n - e, (b + 1) / n + e)])])[0]
+        return [(q[2 * j] if lower[j] > 0 else -math.inf, q[2 * j + 1] if upper[j] < n - 1 else math.inf) for j in range(len(probs))]
+
+    brackets = bracketed(first["_s"], error)
+    expected = 2 * error * n + 2
     while True:
-        at = [max(0.0, p - width) for p in probs] + [min(1.0, p + width) for p in probs]
-        b = data.select(F.percentile_approx("_x", F.array(*[F.lit(float(p)) for p in at]), accuracy).cast("array<double>").alias("b")).first().b
-        lo = [-math.inf if p == 0 else v for p, v in zip(at[:k], b[:k], strict=True)]
-        hi = [math.inf if p == 1 else v for p, v in zip(at[k:], b[k:], strict=True)]
-        inside = [F.col("_x").between(F.lit(lo[j]), F.lit(hi[j])) for j in range(k)]
-        counts = data.agg(*[F.count_if(F.col("_x") < F.lit(lo[j])).alias(f"b{j}") for j in range(k)],
-                          *[F.count_if(inside[j]).alias(f"i{j}") for j in range(k)]).first()
-        if all(counts[f"b{j}"] <= lower[j] and upper[j] < counts[f"b{j}"] + counts[f"i{j}"] for j in range(k)):
-            break
-        width *= 4
-
-    def of(values, kind):
-        return F.element_at(F.array(*[F.lit(v).cast(kind) for v in values]), F.col("j") + 1)
-
-    near = data.where(functools.reduce(operator.or_, inside))
-    tags = F.filter(F.array(*[F.when(inside[j], F.lit(j)) for j in range(k)]), lambda v: v.isNotNull())
-    pairs = near.groupBy("_x").agg(F.count(F.lit(1)).alias("_c")).select(F.explode(tags).alias("j"), "_x", "_c")
-    run = Window.partitionBy("j").orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = pairs.withColumn("_cum", of([counts[f"b{j}"] for j in range(k)], "bigint") + F.sum("_c").over(run))
-    per = cum.groupBy("j").agg(F.min(F.when(F.col("_cum") > of(lower, "bigint"), F.col("_x"))).alias("v0"),
-                               F.min(F.when(F.col("_cum") > of(upper, "bigint"), F.col("_x"))).alias("v1"))
-    got = {r.j: (r.v0, r.v1) for r in per.collect()}
-    return [got[j][0] + (ranks[j] - lower[j]) * (got[j][1] - got[j][0]) for j in range(k)]
+        cells = _merged(brackets)
+        number = sum(((F.col("_x") >= F.lit(lo)).cast("int") + (F.col("_x") > F.lit(hi)).cast("int") for lo, hi in cells), F.lit(0))
+        rows = data.select("_x", number.alias("_cell"))             # odd: inside a bracket
+        inside = F.col("_cell") % 2 == 1
+        if expected > gather_rows:
+            seen = rows.groupBy("_cell").agg(F.count(F.lit(1)).alias("n"), sketched).collect()       # one per bracket and gap
+            counts = {r["_cell"]: r.n for r in seen}
+            narrowed = _narrowed(seen, counts, cells, lower, upper, error, spark)
+            if narrowed is not None:
+                shrunk = max((hi > lo) * 2 * error * counts.get(2 * i + 1, 0) for i, (lo, hi) in enumerate(cells)) + 2
+                brackets, expected = narrowed, 0 if shrunk > expected / 2 else shrunk       # one value fills the bracket: gather
+                continue
+        else:
+            pairs = rows.groupBy("_cell", F.when(inside, F.col("_x")).alias("_x")).agg(F.count(F.lit(1)).alias("_c"))
+            pairs = landed(pairs, "quantile-pairs")
+            counts = {r["_cell"]: r.n for r in pairs.groupBy("_cell").agg(F.sum("_c").alias("n")).collect()}
+            if _hit(counts, cells, brackets, lower, upper):
+                break
+        error = min(0.5, error * 4)                                 # a miss, about once in a hundred sketches
+        brackets = bracketed(first["_s"], error) if error < 0.5 else [(-math.inf, math.inf)] * len(probs)
+        expected = 0
+    below = {cell: sum(v for d, v in counts.items() if d < cell) for cell in counts}
+    run = Window.partitionBy("_cell").orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    starts = F.create_map(*[y for cell, v in below.items() for y in (F.lit(cell), F.lit(v).cast("long"))])
+    cum = pairs.where(inside).withColumn("_cum", starts[F.col("_cell")] + F.sum("_c").over(run))
+    wanted = sorted({*lower, *upper})
+    got = cum.groupBy("_cell").agg(*[F.min(F.when(F.col("_cum") > r, F.col("_x"))).alias(f"r{i}") for i, r in enumerate(wanted)]).collect()
+    value = {}
+    for row in got:
+        lo, hi = below[row["_cell"]], below[row["_cell"]] + counts[row["_cell"]]
+        value |= {r: row[f"r{i}"] for i, r in enumerate(wanted) if lo <= r < hi}
+    return [value[lower[j]] + (ranks[j] - lower[j]) * (value[upper[j]] - value[lower[j]]) for j in range(len(probs))]
+
+
+def _merged(brackets: Sequence[tuple[float, float]]) -> list[tuple[float, float]]:
+    """Overlapping brackets as one, in order."""
+    out: list = []
+    for lo, hi in sorted(brackets):
+        if out and lo <= out[-1][1]:
+            out[-1] = (out[-1][0], max(hi, out[-1][1]))
+        else:
+            out.append((lo, hi))
+    return out
+
+
+def _hit(counts: dict, cells: Sequence[tuple], brackets: Sequence[tuple], lower: Sequence[int], upper: Sequence[int]) -> bool:
+    """Whether every target's two ranks lie in its bracket's cell."""
+    for (lo, _), a, b in zip(brackets, lower, upper, strict=True):
+        cell = 2 * next(i for i, (first, last) in enumerate(cells) if first <= lo <= last) + 1
+        start = sum(v for d, v in counts.items() if d < cell)
+        if not (start <= a and b < start + counts.get(cell, 0)):
+            return False
+    return True
+
+
+def _narrowed(seen: Sequence, counts: dict, cells: Sequence[tuple], lower: Sequence[int], upper: Sequence[int], error: float, spark) -> list | None:
+    """Brackets of the targets by the sketch of the bracket they lie in; None where one missed."""
+    asked = []
+    for j, (a, b) in enumerate(zip(lower, upper, strict=True)):
+        for i, (lo, hi) in enumerate(cells):
+            start, size = sum(v for d, v in counts.items() if d < 2 * i + 1), counts.get(2 * i + 1, 0)
+            if start <= a and b < start + size:
+                asked.append((2 * i + 1, j, (a - start) / size - error, (b - start + 1) / size + error))
+                break
+        else:
+            return None
+    sketch = {r["_cell"]: r["_s"] for r in seen}
+    return [tuple(q) for q in _sketch_quantiles(spark, [(sketch[cell], [low, high]) for cell, _, low, high in asked])]
+
+
+def _sketch_quantiles(spark, asked: Sequence[tuple[bytes, Sequence[float]]]) -> list[list[float]]:
+    """Quantiles of each sketch at its shares."""
+    kept = [(bytearray(s), [min(1.0, max(0.0, a)) for a in shares]) for s, shares in asked]
+    return list(spark.range(1).select(*[F.kll_sketch_get_quantile_double(F.lit(s), F.array(*map(F.lit, shares))) for s, shares in kept]).first())

@@ -2,21 +2,24 @@
 
 The six attribute builders are column expressions over the observation set, so
 gold is one projection plus two joins (usage days and calls), not eight
-self-joins. Category lists for one-hot columns are read with a cap (the same
-idea as ``pivot`` without values), because column names must be known when the
-plan is built.
+self-joins. One-hot columns need their names when the plan is built, so the wide
+form collects at most ``WIDE_VALUES`` category values and refuses more; the sparse
+form (``sparse_features``) codes any number of categories without collecting one.
 """
 
 from __future__ import annotations
 
 from itertools import combinations
 
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ceasekit.config import GOLD_BASE, ONE_HOT_PREFIXES, REDUNDANT_SPEED_COLUMNS, ChurnConfig
 from ceasekit.functions.buckets import ooc_bucket_columns, usage_day_columns
-from ceasekit.functions.categories import crm_package_clean, one_hot, sales_channel_clean
+from ceasekit.functions.categories import clean_name_sql, crm_package_clean, one_hot, sales_channel_clean
+from ceasekit.operators.dictionary import category_codes, one_hot_vectors, with_codes
+from ceasekit.operators.prefix import landed
 from ceasekit.operators.relational import existence_flag, same_month_join
 
 DEFAULT = ChurnConfig()
@@ -31,9 +34,20 @@ ONE_HOT_SPECS = {
 }
 
 
+WIDE_VALUES = 5_000         # category values that may become columns
+
+
+def _bounded(distinct: DataFrame) -> list:
+    """The rows, refused (not cut) when there are more than columns can be made of."""
+    rows = distinct.limit(WIDE_VALUES + 1).collect()
+    if len(rows) > WIDE_VALUES:
+        raise ValueError(f"more than {WIDE_VALUES} category values: use sparse_features, which needs no column per value")
+    return rows
+
+
 def distinct_values(df: DataFrame, expr: Column) -> list:
     """Distinct non-null values of ``expr``. They reach the driver because each becomes a column."""
-    return sorted(r.v for r in df.select(expr.alias("v")).where(F.col("v").isNotNull()).distinct().collect())
+    return sorted(r.v for r in _bounded(df.select(expr.alias("v")).where(F.col("v").isNotNull()).distinct()))
 
 
 def _source(group: str) -> Column:
@@ -55,7 +69,7 @@ def categories(raw_info: DataFrame, cfg: ChurnConfig = DEFAULT, groups=None) ->
               for i, g in enumerate(groups)]
     pairs = raw_info.select(F.inline(F.array(*tagged)))
     present = F.coalesce(*[F.when(F.col("g") == i, F.col(f"v{i}").isNotNull()) for i in range(len(groups))])
-    rows = pairs.where(present).distinct().collect()
+    rows = _bounded(pairs.where(present).distinct())
     out = {}
     for i, g in enumerate(groups):
         out[g] = sorted(r[f"v{i}"] for r in rows if r.g == i)
@@ -143,6 +157,29 @@ def gold_dataset(raw_info: DataFrame, usage_obs_month: DataFrame, calls: DataFra
                     F.coalesce(F.col("_call"), F.lit(0)).cast("int").alias("has_calls"))
 
 
+def category_names(groups=None) -> dict[str, Column]:
+    """Per one-hot group the column name of a row's category, as an expression (null category: null)."""
+    out = {}
+    for g in groups or ONE_HOT_SPECS:
+        prefix, _, style, _ = ONE_HOT_SPECS[g]
+        out[g] = clean_name_sql(prefix, _source(g), style)
+    return out
+
+
+def sparse_features(raw_info: DataFrame, cfg: ChurnConfig = DEFAULT, groups=None) -> tuple[DataFrame, DataFrame]:
+    """F9/F11 for any number of categories: (rows, dictionary). The rows are ``raw_info`` with a code and a sparse
+    vector per group; the dictionary names the place of each code, with the names of the wide columns."""
+    names = category_names(groups)
+    codes = landed(category_codes(raw_info, names), "dictionary")
+    return one_hot_vectors(with_codes(raw_info, names, codes), list(names), codes), codes
+
+
+def assembled(rows: DataFrame, numeric, groups=None, out: str = "features") -> DataFrame:
+    """Numeric columns and the groups' sparse vectors as one sparse vector (for MLlib); rows with a null number get NaN there."""
+    vectors = [f"{g}_vector" for g in groups or ONE_HOT_SPECS]
+    return VectorAssembler(inputCols=[*numeric, *vectors], outputCol=out, handleInvalid="keep").transform(rows)
+
+
 def drop_redundant(gold: DataFrame, columns=REDUNDANT_SPEED_COLUMNS) -> DataFrame:
     """drop the listed columns when present."""
     return gold.drop(*[c for c in columns if c in gold.columns])

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ceasekit.config import ChurnConfig
+from ceasekit.operators.prefix import landed, prefix_scan, reached
 
 DEFAULT = ChurnConfig()
 
@@ -52,42 +53,26 @@ def min_size_buckets(raw_info: DataFrame, c: str = "ooc_days", lo: float = -170,
                      min_size: int = 1000, cfg: ChurnConfig = DEFAULT) -> DataFrame:
     """Walk the values of ``c`` in [lo, hi] in order and close a bucket as soon
     as it holds at least ``min_size`` customers; the last partial bucket is kept.
-
-    Rows are first aggregated per value (partial aggregation on the cluster); the
-    greedy walk is a fold (``aggregate``) over the sorted per-value rows, whose
-    number is bounded by the distinct values in the range, not by the rows.
     Output: bucket, ooc_mid (plain mean of the values), churn_rate (weighted), n.
+
+    Any number of values: rows are aggregated per value, a prefix scan gives running counts, and a second
+    scan links each value to the one after the first running count that completes a bucket starting there.
+    Which values really start a bucket is found by pointer doubling from the first one.
     """
     per = (raw_info.where(F.col(c).isNotNull() & F.col(c).between(lo, hi))
            .groupBy(F.col(c).cast("double").alias("v"))
            .agg(F.count(F.lit(1)).alias("n"), F.sum(cfg.label_col).cast("double").alias("s")))
-    bucket_t = "array<struct<ooc_mid:double,churn_rate:double,n:bigint>>"
-    init = F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0.0).alias("s"), F.lit(0.0).alias("ds"),
-                    F.lit(0).cast("bigint").alias("dc"), F.array().cast(bucket_t).alias("out"))
-
-    def bucket(n, s, ds, dc):
-        return F.struct(F.try_divide(ds, dc.cast("double")).alias("ooc_mid"),
-                        F.try_divide(s, n.cast("double")).alias("churn_rate"), n.alias("n"))
-
-    def step(acc, x):
-        n, s = acc["n"] + x["n"], acc["s"] + x["s"]
-        ds, dc = acc["ds"] + x["v"], acc["dc"] + 1
-        close = n >= min_size
-        return F.struct(F.when(close, F.lit(0).cast("bigint")).otherwise(n).alias("n"),
-                        F.when(close, F.lit(0.0)).otherwise(s).alias("s"),
-                        F.when(close, F.lit(0.0)).otherwise(ds).alias("ds"),
-                        F.when(close, F.lit(0).cast("bigint")).otherwise(dc).alias("dc"),
-                        F.when(close, F.array_append(acc["out"], bucket(n, s, ds, dc))).otherwise(acc["out"])
-                        .alias("out"))
-
-    def finish(acc):
-        return F.when(acc["n"] > 0, F.array_append(acc["out"], bucket(acc["n"], acc["s"], acc["ds"], acc["dc"]))) \
-            .otherwise(acc["out"])
-
-    folded = per.agg(F.aggregate(F.array_sort(F.collect_list(F.struct("v", "n", "s"))), init, step, finish)
-                     .alias("b"))
-    return folded.select(F.posexplode("b").alias("pos", "x")).select(
-        (F.col("pos") + 1).cast("int").alias("bucket"), "x.ooc_mid", "x.churn_rate", "x.n")
+    vals = landed(prefix_scan(per, ["v"], {"upto": ("sum", F.col("n")), "at": ("sum", F.lit(1).cast("long"))}), "values")
+    ends = vals.select(F.col("upto").alias("count"), F.lit(0).alias("kind"), "at")
+    starts = vals.select((F.col("upto") - F.col("n") + min_size).alias("count"), F.lit(1).alias("kind"), "at")
+    closing = F.when(F.col("kind") == 0, F.col("at"))
+    closed = prefix_scan(ends.unionByName(starts), [F.col("count").desc(), F.col("kind"), F.col("at")], {"end": ("min", closing)})
+    links = closed.where("kind = 1 AND end IS NOT NULL").select("at", (F.col("end") + 1).alias("next"))
+    first = reached(links, 1).withColumn("_start", F.lit(1).cast("long"))
+    marked = vals.join(first, "at", "left").select("v", "n", "s", F.coalesce("_start", F.lit(0).cast("long")).alias("_start"))
+    numbered = prefix_scan(marked, ["v"], {"bucket": ("sum", F.col("_start"))})
+    return numbered.groupBy(F.col("bucket").cast("int").alias("bucket")).agg(
+        F.avg("v").alias("ooc_mid"), F.try_divide(F.sum("s"), F.sum("n").cast("double")).alias("churn_rate"), F.sum("n").alias("n"))
 
 
 def quantile_edges(df: DataFrame, c: str, probs, exact: bool = True, rel_error: float = 0.01) -> Column:
@@ -171,8 +156,7 @@ def qcut(df: DataFrame, c: str, q: int = 10, name: str = "bucket") -> DataFrame:
     e = F.array_distinct(quantile_edges(df, c, probs, exact=True))
     inner = F.slice(e, 2, F.greatest(F.size(e) - 2, F.lit(0)))
     x = F.col(c).cast("double")
-    # fixed positions instead of a lambda: the edges are a scalar subquery, which
-    # higher-order functions may not contain
+    # a sum over the fixed number of positions; the edges are literals
     b = sum((F.coalesce((F.try_element_at(inner, F.lit(k)) < x).cast("int"), F.lit(0)) for k in range(2, q)),
             F.coalesce((F.try_element_at(inner, F.lit(1)) < x).cast("int"), F.lit(0)))
     return df.withColumn(name, F.when(x.isNull(), F.lit(None)).otherwise(b).cast("int"))
@@ -183,8 +167,8 @@ def rate_by_usage_decile(obs: DataFrame, usage_obs_month: DataFrame, measure: st
     """Total of ``measure`` per customer in the observation month (0 without
     usage), cut into ``q`` equal-frequency buckets: churn rate, customers, min, max."""
     tot = usage_obs_month.groupBy(cfg.id_col).agg(F.sum(measure).alias("total"))
-    j = obs.select(cfg.id_col, cfg.label_col).join(tot, cfg.id_col, "left") \
-        .withColumn("total", F.coalesce(F.col("total"), F.lit(0.0)))
+    j = landed(obs.select(cfg.id_col, cfg.label_col).join(tot, cfg.id_col, "left")
+               .withColumn("total", F.coalesce(F.col("total"), F.lit(0.0))), "usage-totals")      # read by each step of the quantiles
     b = qcut(j, "total", q, "usage_bucket")
     return b.groupBy("usage_bucket").agg(F.avg(cfg.label_col).cast("double").alias("churn_rate"),
                                          F.count(F.lit(1)).alias("customer_count"),

@@ -2,6 +2,8 @@
 
 import numpy as np
 import pandas as pd
+import pytest
+from pyspark.sql import functions as F
 
 from ceasekit.operators.ranking import auc
 from ceasekit.plans import profiles as PR
@@ -31,7 +33,7 @@ def test_exact_quantiles_bracket_path(spark):
     vals = np.concatenate([rng.normal(size=3000), np.full(2000, 0.25)])
     df = spark.createDataFrame(pd.DataFrame({"x": vals}))
     probs = [0.0, 0.05, 0.3, 0.5, 0.77, 1.0]
-    got = exact_quantiles(df, "x", probs, accuracy=1000)
+    got = exact_quantiles(df, "x", probs, k=64)
     assert np.allclose(got, np.percentile(vals, [p * 100 for p in probs]))
 
 
@@ -98,11 +100,90 @@ def test_quantiles_one_path_at_every_size(spark):
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
     for n in (1, 2, 7, 4000):
         v = np.round(rng.exponential(10, n), 2)
-        got = exact_quantiles(spark.createDataFrame(pd.DataFrame({"x": v})), "x", probs, accuracy=200)
+        got = exact_quantiles(spark.createDataFrame(pd.DataFrame({"x": v})), "x", probs, k=64)
         assert np.allclose(got, np.quantile(v, probs), rtol=0, atol=1e-12)
     assert exact_quantiles(spark.createDataFrame([(None,), (float("nan"),)], "x double"), "x", probs) is None
 
 
+def _counted(spark, df):
+    """``df`` through a task that counts the rows it hands on."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+    return df.mapInArrow(run, df.schema), seen
+
+
+@pytest.mark.parametrize("gather", [10 ** 6, 40])
+def test_quantiles_read_the_input_twice_or_narrow_first(spark, gather):
+    """Two reads while the brackets are small; more, each narrowing every bracket, where they are not."""
+    from ceasekit.operators.stats import exact_quantiles
+    rng = np.random.default_rng(13)
+    probs = [0.01, 0.3, 0.31, 0.5, 0.9]
+    v = np.concatenate([rng.normal(size=20_000), np.full(9_000, 0.5), rng.integers(0, 3, 1_000) * 1.0])
+    df, seen = _counted(spark, spark.createDataFrame(pd.DataFrame({"x": v})).repartition(6))
+    got = exact_quantiles(df, "x", probs, k=256, gather_rows=gather)
+    assert np.allclose(got, np.quantile(v, probs), rtol=0, atol=1e-12)
+    assert seen.value == 2 * len(v) if gather == 10 ** 6 else 2 * len(v) < seen.value <= 5 * len(v)
+
+
+def test_quantiles_mend_a_missed_bracket(spark, monkeypatch):
+    from ceasekit.operators import stats
+    monkeypatch.setattr(stats, "SKETCH_ERROR", 1e-7)
+    v = np.random.default_rng(3).normal(size=20_000)
+    got = stats.exact_quantiles(spark.createDataFrame(pd.DataFrame({"x": v})), "x", [0.2, 0.7], k=16)
+    assert np.allclose(got, np.quantile(v, [0.2, 0.7]), rtol=0, atol=1e-12)
+
+
+def test_prefix_scan(spark):
+    from ceasekit.operators.prefix import prefix_scan
+    rng = np.random.default_rng(2)
+    pdf = pd.DataFrame({"k": rng.permutation(5000), "v": rng.integers(-9, 9, 5000)})
+    df = spark.createDataFrame(pdf).withColumn("v", F.when(F.col("v") != 0, F.col("v")))
+    for order, asc in ((["k"], True), ([F.col("k").desc()], False)):
+        got = prefix_scan(df, order, {"total": ("sum", F.col("v")), "least": ("min", F.col("v")), "most": ("max", F.col("v"))}, partitions=7)
+        got = got.toPandas().sort_values("k", ascending=asc)
+        v = pdf.sort_values("k", ascending=asc).v
+        assert got.total.fillna(0).tolist() == v.cumsum().tolist()
+        known = v.where(v != 0)
+        assert got.least.tolist()[9:] == known.cummin().ffill().tolist()[9:] and got.most.tolist()[9:] == known.cummax().ffill().tolist()[9:]
+    assert prefix_scan(df.where("k < 0"), ["k"], {"total": ("sum", F.col("v"))}).count() == 0
+
+
+def test_reached(spark):
+    from ceasekit.operators.prefix import reached
+    links = spark.range(1, 1000).select(F.col("id").alias("at"), (F.col("id") + F.when(F.col("id") % 5 == 0, 7).otherwise(3)).alias("next"))
+    want, at = set(), 1
+    while at < 1007 and at not in want:
+        want.add(at)
+        if at >= 1000:
+            break
+        at += 7 if at % 5 == 0 else 3
+    assert {r["at"] for r in reached(links, 1).collect()} == want
+    assert [r["at"] for r in reached(links.where("at < 0"), 4).collect()] == [4]
+
+
+def test_min_size_buckets_of_many_values(spark):
+    """A hundred thousand distinct values, buckets of uneven sizes, against the walk in plain Python."""
+    rng = np.random.default_rng(6)
+    n = 100_000
+    v, c = np.arange(n) / 8 - 3000, rng.integers(1, 40, n)
+    c[500] = 5000
+    per = spark.createDataFrame(pd.DataFrame({"ooc_days": v, "c": c}))
+    rows = per.select("ooc_days", F.explode(F.sequence(F.lit(1), F.col("c"))).alias("churned")).withColumn("churned", (F.col("churned") % 3 == 0).cast("int"))
+    got = PR.min_size_buckets(rows, lo=-1e9, hi=1e9, min_size=300).orderBy("bucket").toPandas()
+    want, size, first = [], 0, 0
+    for i in range(n):
+        size += c[i]
+        if size >= 300 or i == n - 1:
+            want.append((size, v[first:i + 1].mean()))
+            size, first = 0, i + 1
+    assert got.bucket.tolist() == list(range(1, len(want) + 1)) and got.n.tolist() == [w[0] for w in want]
+    assert np.allclose(got.ooc_mid, [w[1] for w in want])
+
+
 def test_pearson_skips_nan_at_any_partitioning(spark):
     from ceasekit.operators.stats import pairwise_pearson
     rng = np.random.default_rng(12)
