@@ -10,12 +10,18 @@ text. Verified links are closed into classes.
 Exact copies are one node each (a hash of the text), so that a group of copies of any size
 costs one row per task. In a bucket every text is first linked to the least one. Buckets that then
 still hold several classes are searched for every further pair: their texts are compared in cells of
-at most two times ``CELL`` by length and word counts, which bound the edit distance from below, and
-what may be near is aligned, the likeliest pairs of each text first. This is repeated, with more
-pairs of each text, until none is left out: texts near to each other that share a bucket are of one
-class. No bucket is cut off.
+at most two times ``CELL`` by length and by counts of words and word pairs, which bound the edit distance
+from below (an edit changes two word counts and four pair counts at most), and what may be near is
+aligned, the likeliest pairs of each text first. This is repeated, with more pairs of each text, until none
+is left out: texts near to each other that share a bucket are of one class. No bucket is cut off. New links
+are closed over the heads of the classes found so far, not over all links again.
 
-Defined cases: a null text counts as empty, and equal texts are of one class; a text of fewer
+The search is complete within buckets; that near texts share one is likely, not sure (README has the
+recall by edit similarity).
+
+Tasks work on at most ``SLICE`` words at once; of a longer text only the hashes of its windows are held.
+
+Defined cases: ids may be of any type that can be ordered; a null text counts as empty, and equal texts are of one class; a text of fewer
 than five words is near only to its copies; a class is named by its least id (null if it has
 none); rows without an id keep their class; an empty table gives an empty result.
 """
@@ -35,10 +41,11 @@ K = 5
 SKETCHES = 16
 THRESHOLD = 0.8
 SEED = 7
-BAG = 512              # counters of the words of a text
+SLICE = 250_000        # words that a task works on at once
+WORDS_BAG, PAIRS_BAG = 256, 1024        # counters of the words and of the word pairs of a text
 CELL = 2000            # texts of a bucket that are compared in one step
-WIDTH = 1              # pairs of a text in the first search; each search takes WIDER times as many
-WIDER = 8
+WIDTH = 8              # pairs of a text in the first search; each search takes WIDER times as many
+WIDER = 32
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -63,15 +70,10 @@ def order_sketches(h: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np
     all_windows = window_hashes(h)
     text = np.repeat(np.arange(len(windows)), windows)
     base = all_windows[np.arange(int(windows.sum())) - first[text] + starts[text]]
-    # label repeated k-mers with their occurrence
+    # label k-mers with their occurrence in the text
     order = np.lexsort((base, text))
-    same = (base[order][1:] == base[order][:-1]) & (text[order][1:] == text[order][:-1])
-    if same.any():
-        run = np.concatenate(([False], same))
-        at = np.arange(len(run))
-        occurrence = np.empty(len(run), dtype=np.uint64)
-        occurrence[order] = (at - np.maximum.accumulate(np.where(run, 0, at))).astype(np.uint64)
-        base = mixed(base + occurrence * np.uint64(0xD1B54A32D192ED03))
+    run = np.concatenate(([False], (base[order][1:] == base[order][:-1]) & (text[order][1:] == text[order][:-1])))
+    base[order] = labelled(base[order], run)
     out = np.empty((len(windows), SKETCHES), dtype=np.uint64)
     for j in range(SKETCHES):
         x = mixed(base ^ mixed(np.uint64(SEED + j) * np.uint64(0xA0761D6478BD642F) + np.uint64(1)))
@@ -84,6 +86,13 @@ def order_sketches(h: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np
     return out
 
 
+def labelled(base: np.ndarray, run: np.ndarray) -> np.ndarray:
+    """Hashes in order, mixed with the number of equal ones before them (``run``: equal to the one before)."""
+    at = np.arange(len(run))
+    occurrence = (at - np.maximum.accumulate(np.where(run, 0, at))).astype(np.uint64)
+    return mixed(base + occurrence * np.uint64(0xD1B54A32D192ED03))
+
+
 def least(x: np.ndarray, first: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The least value of each text and its first position."""
     value = np.minimum.reduceat(x, first)
@@ -92,43 +101,95 @@ def least(x: np.ndarray, first: np.ndarray, text: np.ndarray) -> tuple[np.ndarra
     return value, hit[at]
 
 
+def long_sketch(h: np.ndarray) -> np.ndarray:
+    """The row of :func:`order_sketches` for one long text, a slice of it at a time."""
+    n = len(h) - K + 1
+    base = np.empty(n, dtype=np.uint64)
+    for s in range(0, n, SLICE):
+        part = window_hashes(h[s:s + SLICE + K - 1])
+        base[s:s + len(part)] = part
+    parts = np.uint64(-(-n // SLICE))
+    group = ((base >> np.uint64(32)) % parts).astype(np.uint32)          # equal windows are in one group
+    for p in range(int(parts)):
+        at = np.flatnonzero(group == p)
+        at = at[np.argsort(base[at], kind="stable")]
+        if len(at):
+            base[at] = labelled(base[at], np.concatenate(([False], base[at][1:] == base[at][:-1])))
+    out = np.empty(SKETCHES, dtype=np.uint64)
+    for j in range(SKETCHES):
+        best: list = []
+        for s in range(0, n, SLICE):
+            x = mixed(base[s:s + SLICE] ^ mixed(np.uint64(SEED + j) * np.uint64(0xA0761D6478BD642F) + np.uint64(1)))
+            best = sorted(best + [(x[i], s + i) for i in np.argpartition(x, min(1, len(x) - 1))[:2].tolist()])[:2]
+        (one, at_one), (two, at_two) = best
+        first, second = (one, two) if at_one < at_two else (two, one)
+        out[j] = mixed(mixed(np.array([first])) + second + np.uint64(j))[0]
+    return out
+
+
 def word_points(values: np.ndarray) -> np.ndarray:
     return (values % np.uint64(0x10F7FF - 0x100)).astype(np.uint32)
 
 
+def sliced(lengths: np.ndarray) -> list[tuple[int, int]]:
+    """Ranges of texts of at most ``SLICE`` words together; a longer text is a range of its own."""
+    out, start, held = [], 0, 0
+    for i, n in enumerate(lengths.tolist()):
+        if i > start and held + n > SLICE:
+            out.append((start, i))
+            start, held = i, 0
+        held += n
+    return [*out, (start, len(lengths))] if len(lengths) else out
+
+
 def sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, id, n, words) -> (node, id, n, sketches, bag); no sketches for short texts."""
+    """(node, id, n, words) -> (node, id, n, sketches); no sketches for short texts."""
     with np.errstate(over="ignore"):
         for b in batches:
             words = b.column("words")
-            values = words.values.to_numpy(zero_copy_only=False).view(np.uint64)
             offsets = words.offsets.to_numpy()
-            lengths = np.diff(offsets)
-            able = lengths >= K
-            ends = np.zeros(len(b), dtype=np.int32)
-            ends[able] = SKETCHES
-            flat = np.empty(0, dtype=np.int64)
-            if able.any():
-                flat = order_sketches(values, offsets[:-1][able].astype(np.int64), lengths[able].astype(np.int64)).view(np.int64).ravel()
-            sketches = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(ends))), pa.int32()), pa.array(flat))
-            at = np.repeat(np.arange(len(b)), lengths) * BAG + word_points(values[offsets[0]:offsets[-1]]) % BAG
-            bags = np.minimum(np.bincount(at, minlength=len(b) * BAG), 255).astype(np.uint8).reshape(len(b), BAG)
-            yield pa.RecordBatch.from_arrays([b.column("node"), b.column("id"), b.column("n"), sketches,
-                                              pa.array([x.tobytes() for x in bags], pa.binary())],
-                                             names=["node", "id", "n", "sketches", "bag"])
+            for s, e in sliced(np.diff(offsets)):
+                lengths = np.diff(offsets[s:e + 1])
+                values = words.values.slice(offsets[s], offsets[e] - offsets[s]).to_numpy(zero_copy_only=False).view(np.uint64)
+                able = lengths >= K
+                flat = np.empty(0, dtype=np.int64)
+                if e - s == 1 and lengths[0] > SLICE:
+                    flat = long_sketch(values).view(np.int64)
+                elif able.any():
+                    flat = order_sketches(values, (offsets[s:e] - offsets[s])[able].astype(np.int64), lengths[able].astype(np.int64)).view(np.int64).ravel()
+                ends = np.concatenate(([0], np.cumsum(able * SKETCHES)))
+                part = b.slice(s, e - s)
+                yield pa.RecordBatch.from_arrays([part.column("node"), part.column("id"), part.column("n"),
+                                                  pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))], names=["node", "id", "n", "sketches"])
+
+
+def bags(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """texts x (WORDS_BAG + PAIRS_BAG): how many words, and pairs of neighbouring words, fall into each counter."""
+    rows = len(lengths)
+    text = np.repeat(np.arange(rows), lengths)
+    words = np.bincount(text * WORDS_BAG + (values % np.uint64(WORDS_BAG)).astype(np.int64), minlength=rows * WORDS_BAG).reshape(rows, WORDS_BAG)
+    inner = text[1:] == text[:-1]
+    pair = (mixed(mixed(values[:-1][inner]) + values[1:][inner]) % np.uint64(PAIRS_BAG)).astype(np.int64)
+    pairs = np.bincount(text[1:][inner] * PAIRS_BAG + pair, minlength=rows * PAIRS_BAG).reshape(rows, PAIRS_BAG)
+    return np.minimum(np.hstack([words, pairs]), 255).astype(np.uint8)
 
 
 def letter_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, words) -> (node, letters): each word becomes one code point, so that an edit distance of
+    """(node, words) -> (node, n, letters, bag): each word becomes one code point, so that an edit distance of
     strings is an edit distance of words. Words share a code point once in a million."""
-    for b in batches:
-        words = b.column("words")
-        values = words.values.to_numpy(zero_copy_only=False).view(np.uint64)
-        points = word_points(values) + np.uint32(0x100)
-        points = np.where(points >= 0xD800, points + np.uint32(0x800), points)
-        offsets = words.offsets.to_numpy()
-        letters = [points[s:e].astype("<u4").tobytes().decode("utf-32-le") for s, e in zip(offsets[:-1], offsets[1:], strict=True)]
-        yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(letters, pa.string())], names=["node", "letters"])
+    with np.errstate(over="ignore"):
+        for b in batches:
+            words = b.column("words")
+            offsets = words.offsets.to_numpy()
+            for s, e in sliced(np.diff(offsets)):
+                values = words.values.slice(offsets[s], offsets[e] - offsets[s]).to_numpy(zero_copy_only=False).view(np.uint64)
+                at, lengths = offsets[s:e] - offsets[s], np.diff(offsets[s:e + 1])
+                points = word_points(values) + np.uint32(0x100)
+                points = np.where(points >= 0xD800, points + np.uint32(0x800), points)
+                letters = [points[i:i + n].astype("<u4").tobytes().decode("utf-32-le") for i, n in zip(at, lengths, strict=True)]
+                counts = bags(values, at, lengths)
+                yield pa.RecordBatch.from_arrays([b.column("node").slice(s, e - s), pa.array(lengths, pa.int32()), pa.array(letters, pa.string()),
+                                                  pa.array([x.tobytes() for x in counts], pa.binary())], names=["node", "n", "letters", "bag"])
 
 
 def node_of(text: Column) -> Column:
@@ -140,13 +201,13 @@ def word_hashes(text: Column) -> Column:
 
 
 def sketched(docs: DataFrame, id_col: str, text: str) -> DataFrame:
-    """One row per distinct text: node, id (its least id), n (words), sketches, bag (word counts)."""
+    """One row per distinct text: node, id (its least id), n (words), sketches."""
     body = F.col(f"`{text}`")
-    words = docs.select(node_of(body).alias("node"), F.col(f"`{id_col}`").cast("long").alias("id"), word_hashes(F.coalesce(body, F.lit(""))).alias("words"))
+    words = docs.select(node_of(body).alias("node"), F.col(f"`{id_col}`").alias("id"), word_hashes(F.coalesce(body, F.lit(""))).alias("words"))
     words = words.withColumn("n", F.size("words")).select("node", "id", "n", "words")
-    rows = words.mapInArrow(sketch_batches, "node string, id bigint, n int, sketches array<bigint>, bag binary")
-    return rows.groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketches").alias("sketches"),
-                                    F.first("bag").alias("bag"))
+    kind = docs.schema[id_col].dataType.simpleString()
+    rows = words.mapInArrow(sketch_batches, f"node string, id {kind}, n int, sketches array<bigint>")
+    return rows.groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketches").alias("sketches"))
 
 
 def star_links(members: DataFrame) -> DataFrame:
@@ -155,14 +216,14 @@ def star_links(members: DataFrame) -> DataFrame:
     return members.join(heads, "bucket").where("node > head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
 
 
-def celled(members: DataFrame, nodes: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
+def celled(members: DataFrame, texts: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
     """(cell, side, node, n, bag, class) of the buckets that hold several classes. A large bucket is
     split by length into bands, of which only neighbours can have near texts, and by hash into
     chunks; a cell is a pair of chunks, so that any two texts that may be near meet in one."""
     classed = members.join(labels, "node", "left").select("bucket", "node", F.xxhash64(F.coalesce("head", "node")).alias("class"))
     mixed_up = classed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("class").alias("low"), F.max("class").alias("high")) \
         .where("low <> high").select("bucket", "size")
-    rows = classed.join(mixed_up, "bucket").join(nodes.select("node", "n", "bag"), "node")
+    rows = classed.join(mixed_up, "bucket").join(texts.select("node", "n", "bag"), "node")
     ratio = 1.01 / max(threshold, 0.01)
     rows = rows.withColumn("k", F.ceil(F.col("size") / CELL).cast("int")) \
         .withColumn("band", F.floor(F.log(F.col("n")) / F.log(F.lit(ratio))).cast("int")) \
@@ -181,14 +242,17 @@ def celled(members: DataFrame, nodes: DataFrame, labels: DataFrame, threshold: f
 
 
 def cell_pairs(side: np.ndarray, n: np.ndarray, bag: np.ndarray, label: np.ndarray, threshold: float, width: int) -> Iterator[tuple[int, int, bool]]:
-    """Pairs of a cell of different classes that length and word counts let be near: of each text
-    the ``width`` likeliest, and whether it has more."""
+    """Pairs of a cell of different classes that length and counts of words and pairs let be near: of each
+    text the ``width`` likeliest, and whether it has more. An edit changes two counts of words and four of
+    pairs at most."""
     for i in range(len(n) - 1):
         most = np.floor((1 - float(f"{threshold:.6f}")) * np.maximum(n[i + 1:], n[i]) + 1e-6)
         gap = np.abs(n[i + 1:] - n[i])
         found = np.flatnonzero((label[i + 1:] != label[i]) & ((side[i] == 2) | (side[i + 1:] != side[i])) & (gap <= most))
         if len(found):
-            least_edits = (gap[found] + np.abs(bag[i + 1:][found] - bag[i]).sum(axis=1)) / 2
+            words = (gap[found] + np.abs(bag[i + 1 + found, :WORDS_BAG] - bag[i, :WORDS_BAG]).sum(axis=1)) / 2
+            found, words = found[words <= most[found]], words[words <= most[found]]
+            least_edits = np.maximum(words, np.abs(bag[i + 1 + found, WORDS_BAG:] - bag[i, WORDS_BAG:]).sum(axis=1) / 4)
             likely = least_edits <= most[found]
             found, least_edits = found[likely], least_edits[likely]
             for j in found[np.argsort(least_edits, kind="stable")[:width]]:
@@ -211,7 +275,7 @@ def candidates(cells: DataFrame, threshold: float, width: int) -> DataFrame:
                 continue
             cell = b.column("cell").to_numpy()
             nodes, side, n = b.column("node").to_pylist(), b.column("side").to_numpy(), b.column("n").to_numpy().astype(np.int64)
-            bag = np.frombuffer(b"".join(b.column("bag").to_pylist()), np.uint8).reshape(len(b), BAG).astype(np.int16)
+            bag = np.frombuffer(b"".join(b.column("bag").to_pylist()), np.uint8).reshape(len(b), WORDS_BAG + PAIRS_BAG).astype(np.int16)
             label = b.column("class").to_numpy()
             cuts = [0, *(np.flatnonzero(cell[1:] != cell[:-1]) + 1).tolist(), len(b)]
             for s, e in zip(cuts[:-1], cuts[1:], strict=True):
@@ -227,12 +291,13 @@ def candidates(cells: DataFrame, threshold: float, width: int) -> DataFrame:
 
 
 def lettered(docs: DataFrame, nodes: DataFrame, id_col: str, text: str) -> DataFrame:
-    """(node, letters) of the texts that are in a link, one row of each."""
+    """(node, n, letters, bag) of the texts that are in a link, one row of each."""
     body = F.col(f"`{text}`")
-    rows = docs.select(node_of(body).alias("node"), F.col(f"`{id_col}`").cast("long").alias("id"), body.alias("text"))
+    rows = docs.select(node_of(body).alias("node"), F.col(f"`{id_col}`").alias("id"), body.alias("text"))
     wanted = nodes.select(F.col("node").alias("_node"), F.col("id").alias("_id"))
     one = rows.join(wanted, (F.col("node") == F.col("_node")) & F.col("id").eqNullSafe(F.col("_id")), "left_semi")
-    out = one.select("node", word_hashes(F.coalesce("text", F.lit(""))).alias("words")).mapInArrow(letter_batches, "node string, letters string")
+    shape = "node string, n int, letters string, bag binary"
+    out = one.select("node", word_hashes(F.coalesce("text", F.lit(""))).alias("words")).mapInArrow(letter_batches, shape)
     return landed(out.dropDuplicates(["node"]), "dedup-letters")
 
 
@@ -262,6 +327,22 @@ def classes(links: DataFrame) -> DataFrame:
         labels = step.select("node", F.col("next").alias("head"))
 
 
+def merged(heads: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, head) after further links: only the heads of the texts they join are put into components."""
+    def head(end: str) -> DataFrame:
+        return heads.select(F.col("node").alias(end), F.col("head").alias(f"head_{end}"))
+
+    between = links.select("a", "b").join(head("a"), "a", "left").join(head("b"), "b", "left").select(
+        F.coalesce("head_a", "a").alias("a"), F.coalesce("head_b", "b").alias("b")).where("a <> b").distinct()
+    between = landed(between, "dedup-between")
+    if between.isEmpty():
+        return heads
+    further = classes(between)
+    known = heads.unionByName(further.join(heads, "node", "left_anti").select("node", F.col("node").alias("head")))      # texts that were alone
+    later = further.select(F.col("node").alias("head"), F.col("head").alias("_later"))
+    return landed(known.join(later, "head", "left").select("node", F.coalesce("_later", "head").alias("head")), "dedup-heads")
+
+
 def near_classes(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(node, id, class_id) for every distinct text: its least id and the least id of its class."""
     nodes = landed(sketched(docs, id_col, text), "dedup-sketches")
@@ -274,20 +355,17 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "d
     # a bucket of two texts is settled by their link
     large = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 2").select("bucket")
     members = landed(members.join(large, "bucket", "left_semi"), "dedup-members")
+    heads = classes(landed(tried.where("near"), "dedup-near"))
     width = WIDTH
     while True:
-        heads = classes(landed(tried.where("near"), "dedup-near"))
-        found = landed(candidates(celled(members, nodes, heads, threshold), threshold, width), "dedup-candidates")
+        found = landed(candidates(celled(members, letters, heads, threshold), threshold, width), "dedup-candidates")
         fresh = found.select("a", "b").join(tried.select("a", "b"), ["a", "b"], "left_anti")
         checked = landed(verified(fresh, letters, threshold), "dedup-verified")
-        tried = tried.unionByName(checked)
-        last = found.where("more").limit(1).count() == 0
-        if checked.where("near").limit(1).count():
-            heads = None
-        if last:
+        heads = merged(heads, checked.where("near"))
+        if found.where("more").limit(1).count() == 0:
             break
+        tried = tried.unionByName(checked)
         width *= WIDER
-    heads = heads or classes(landed(tried.where("near"), "dedup-near"))
     named = nodes.join(heads, "node", "left").withColumn("head", F.coalesce("head", "node"))
     ids = named.groupBy("head").agg(F.min("id").alias("class_id"))
     return landed(named.select("node", "id", "head").join(ids, "head").select("node", "id", "class_id", "head"), "dedup-classes")
@@ -298,7 +376,7 @@ def with_classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **
     found = near_classes(docs, id_col=id_col, text=text, **options)
     rows = docs.select(node_of(F.col(f"`{text}`")).alias("node"), packed(docs))
     joined = rows.join(found.select("node", "class_id"), "node")
-    return unpacked(joined.withColumn("first", F.col("_row").getField(id_col).cast("long").eqNullSafe(F.col("class_id"))),
+    return unpacked(joined.withColumn("first", F.col("_row").getField(id_col).eqNullSafe(F.col("class_id"))),
                     docs.columns, ["class_id", "first"])
 
 
@@ -308,7 +386,7 @@ def one_per_class(docs: DataFrame, id_col: str = "doc_id", text: str = "text", *
     found = near_classes(docs, id_col=id_col, text=text, **options)
     keep = found.where(F.col("id").eqNullSafe(F.col("class_id"))).groupBy("head").agg(F.min("node").alias("_node"), F.first("id").alias("_id"))
     rows = docs.select(node_of(F.col(f"`{text}`")).alias("node"), packed(docs))
-    kept = rows.join(keep, (F.col("node") == F.col("_node")) & F.col("_row").getField(id_col).cast("long").eqNullSafe(F.col("_id")), "left_semi")
+    kept = rows.join(keep, (F.col("node") == F.col("_node")) & F.col("_row").getField(id_col).eqNullSafe(F.col("_id")), "left_semi")
     return unpacked(kept.dropDuplicates(["node"]), docs.columns)
 
 

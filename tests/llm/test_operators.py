@@ -23,11 +23,11 @@ def texts():
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "pages"):
+    for t in ("documents", "benchmark", "pages", "embeddings"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     want = con.sql(queries.SQL[name]).df()
     got = queries.QUERIES[name](spark, SF).toPandas()[list(want.columns)]
-    key = [c for c in ("doc_id", "item_id", "page_id") if c in want]
+    key = [c for c in ("doc_id", "item_id", "page_id", "query_id", "rank", "vec_id") if c in want]
     pd.testing.assert_frame_equal(got.sort_values(key, ignore_index=True), want.sort_values(key, ignore_index=True))
 
 
@@ -221,17 +221,6 @@ def test_near_dedup_shared_passage(spark, make, monkeypatch, cell):
     assert (got.class_id // 3 == want).all()
 
 
-def test_order_sketches_against_plain():
-    with np.errstate(over="ignore"):
-        rng = np.random.default_rng(1)
-        docs = [rng.integers(1, 9, n).astype(np.uint64) for n in (5, 40, 6)]
-        lengths = np.array([len(d) for d in docs])
-        starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-        got = near_dedup.order_sketches(np.concatenate(docs), starts, lengths)
-        for i, d in enumerate(docs):
-            assert (near_dedup.order_sketches(d, np.array([0]), np.array([len(d)]))[0] == got[i]).all()
-
-
 def test_fixity_edges(spark):
     schema = "file long, offset long, record_id long, url string, payload string"
     a = spark.createDataFrame([(0, i * 100_000, i, "u", f"p{i}") for i in range(40)] + [(1, 0, 99, None, None), (1, 0, 99, None, "")], schema)
