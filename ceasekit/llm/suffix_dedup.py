@@ -346,6 +346,20 @@ def settled_rows(b: pa.RecordBatch, last: tuple) -> tuple[np.ndarray, tuple]:
     return same & (ids > least), (anchor[-1], fragment[len(b) - 1].as_py(), least[-1])
 
 
+def open_rows(rows: pa.RecordBatch, open_anchor: int | None) -> pa.RecordBatch:
+    """Rows without those of anchors that are whole in the batch and have one row or one id only: such an
+    anchor removes nothing. The anchor that is open from the batch before and the last one may go on."""
+    if len(rows) == 0:
+        return rows
+    anchor, ids = rows.column("anchor").to_numpy(), rows.column("id").to_numpy()
+    first = np.concatenate(([True], anchor[1:] != anchor[:-1]))
+    starts = np.flatnonzero(first)
+    several = np.minimum.reduceat(ids, starts) != np.maximum.reduceat(ids, starts)
+    several[0] |= anchor[0] == open_anchor
+    several[-1] = True
+    return rows.filter(pa.array(several[np.cumsum(first) - 1]))
+
+
 def removal_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     block, last = Block(), (None, None, None)
     for b in batches:
@@ -358,7 +372,7 @@ def removal_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             stop = pc.add(start, pc.binary_length(gone.column("fragment")).cast(pa.int32()))
             yield pa.RecordBatch.from_arrays([gone.column("node"), start, stop, pa.nulls(len(gone), pa.binary()), pa.nulls(len(gone), pa.int64())],
                                              names=["node", "start", "stop", "string", "id"])
-        rest = b.filter(pa.array(~settled))
+        rest = open_rows(b.filter(pa.array(~settled)), block.anchor)
         cols = [rest.column(c).to_pylist() for c in ("anchor", "fragment", "id", "node", "start")]
         for row in zip(*cols, strict=True):
             block.add(*row)
