@@ -8,7 +8,7 @@ bounded, hash-drawn sample of labelled rows (``TRAIN_ROWS``); scoring covers eve
 
 Defined cases: a null text is scored like an empty one, by its constant features; labels other
 than 0 and 1, null labels and labels of unknown ids are left out; an id labelled twice is one row with its greatest
-label; with no labelled row every score is 0.5; repeated rows get equal scores; other columns are
+label, and a labelled id of several documents is one row, that of the least text hash; with no labelled row every score is 0.5; repeated rows get equal scores; other columns are
 not used; an empty table gives an empty result.
 """
 
@@ -132,8 +132,8 @@ def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at, where = np.nonzero(x)
             ends = np.concatenate(([0], np.cumsum(np.bincount(at, minlength=len(part))))).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [part.column("_label"), pa.ListArray.from_arrays(pa.array(ends), pa.array(where.astype(np.int32))),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(x[at, where].astype(np.float32)))], names=["y", "at", "x"])
+                [part.column("_order"), part.column("_label"), pa.ListArray.from_arrays(pa.array(ends), pa.array(where.astype(np.int32))),
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(x[at, where].astype(np.float32)))], names=["k", "y", "at", "x"])
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label: str = "quality", train_rows: int = TRAIN_ROWS,
@@ -143,13 +143,17 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label: str
     ids = labels.where(F.col(label).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(F.col(id_col))) \
         .groupBy(F.col(id_col).alias("_id")).agg(F.max(label).cast("int").alias("_label"))
     drawn = ids.orderBy(F.xxhash64("_id"), "_id").limit(train_rows)
-    rows = docs.join(F.broadcast(drawn), F.col(f"`{id_col}`") == F.col("_id")).select("_label", *inputs(docs, **cols))
-    got = rows.mapInArrow(vectors, "y int, at array<int>, x array<float>").limit(2 * train_rows).toArrow()
+    known = docs.join(F.broadcast(drawn), F.col(f"`{id_col}`") == F.col("_id"))
+    # one row of each id: that of the least text hash
+    chosen = known.select("_id", "_label", *inputs(docs, **cols)[1:]).groupBy("_id", "_label").agg(
+        F.min_by(F.struct("_text", "_meta"), F.struct(F.xxhash64("_text"), F.col("_meta"))).alias("_row"))
+    rows = chosen.select(F.xxhash64("_id").alias("_order"), "_label", F.col("_row._text").alias("text"), F.col("_row._meta").alias("n_chars"))
+    got = rows.select("_order", "_label", *inputs(rows)).mapInArrow(vectors, "k long, y int, at array<int>, x array<float>").toArrow()
     x = np.zeros((len(got), BUCKETS + STATS), dtype=np.float32)
     y = np.asarray(got["y"].to_numpy(), dtype=np.float32)
     for i, (at, v) in enumerate(zip(got["at"], got["x"], strict=True)):
         x[i, at.values.to_numpy()] = v.values.to_numpy()
-    order = np.lexsort((x.sum(axis=1), x[:, 0], y))       # the rows arrive in any order
+    order = np.argsort(got["k"].to_numpy(), kind="stable")       # the rows arrive in any order
     return fit(x[order], y[order])
 
 

@@ -43,9 +43,6 @@ MAX_WORD_DISTANCE = 0.30
 MAX_WORD_SHARE = 0.8   # of the distance that a text without any common word has
 
 
-POSITION_BITS = 24     # of a packed (hash, position); longer texts are far beyond any record size
-
-
 def with_counts(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """``docs`` plus working columns ``_q_*``: the base counts and both histograms.
 
@@ -75,30 +72,23 @@ def with_counts(docs: DataFrame, text: str = "text", lang: str = "lang") -> Data
 def with_repeats(df: DataFrame) -> DataFrame:
     """``_q_repeat``: words that lie in a 3-word window found twice or more in the text, the first included.
 
-    Each window becomes one long, its hash above its position. Sorted, equal windows are
-    neighbours (n log n for any text, no pairs); neighbours of equal hash are compared word by word.
-    Neighbours are paired by ``zip_with`` a shifted copy, which costs far less than indexed access."""
-    words, n = F.col("_q_words"), F.col("_q_n")
-    mask = F.lit(-(1 << POSITION_BITS)).cast("long")
+    Windows are hashed to 64 bits. Where a text has equal hashes, its windows are sorted by hash, then by their
+    words, then by place, so that equal windows are neighbours whatever the hash does and however long the text
+    is (n log n, no pairs). Neighbours are paired by ``zip_with`` a shifted copy, which costs far less than
+    indexed access."""
+    words = F.col("_q_words")
     after = lambda c, k: F.slice(c, k + 1, F.greatest(F.size(c) - k, F.lit(0)))
-    at = lambda v: v.bitwiseAND(F.lit((1 << POSITION_BITS) - 1)).cast("int")
-    word = lambda v, k: F.get(words, at(v) + k)
-    chained = lambda a, b: F.xxhash64(a, b)
+    threes = lambda c, op: F.slice(F.zip_with(F.zip_with(c, after(c, 1), op), after(c, 2), op), 1, F.greatest(F.col("_q_n") - 2, F.lit(0)))
     df = df.withColumn("_q_hash", F.transform(words, lambda x: F.xxhash64(x)))
-    df = df.withColumn("_q_hash3", F.zip_with(F.zip_with("_q_hash", after("_q_hash", 1), chained), after("_q_hash", 2), chained))
-    df = df.withColumn("_q_window", F.transform(F.slice("_q_hash3", 1, F.greatest(n - 2, F.lit(0))), lambda x: x.bitwiseAND(mask)))
-    df = df.withColumn("_q_packed", F.when(F.size(F.array_distinct("_q_window")) < F.size("_q_window"), F.transform(
-        "_q_window", lambda x, i: x.bitwiseOR(i.cast("long")))).otherwise(F.array().cast("array<bigint>")))
-    df = df.withColumn("_q_sorted", F.sort_array("_q_packed"))
-    pairs = F.zip_with("_q_sorted", after("_q_sorted", 1), lambda a, b: F.when(
-        a.bitwiseXOR(b).bitwiseAND(mask) == 0, F.struct(a.alias("a"), b.alias("b"))))
-    df = df.withColumn("_q_pairs", F.filter(pairs, lambda v: v.isNotNull()))
-    same = F.filter("_q_pairs", lambda v: (word(v.getField("a"), F.lit(0)) == word(v.getField("b"), F.lit(0)))
-                    & (word(v.getField("a"), F.lit(1)) == word(v.getField("b"), F.lit(1)))
-                    & (word(v.getField("a"), F.lit(2)) == word(v.getField("b"), F.lit(2))))
-    found = F.flatten(F.transform(same, lambda v: F.array(at(v.getField("a")), at(v.getField("b")))))
-    df = df.withColumn("_q_at", F.sort_array(F.array_distinct(found)))
-    steps = F.zip_with("_q_at", after("_q_at", 1), lambda x, y: F.least(F.lit(3), F.coalesce(y - x, F.lit(3))))
+    df = df.withColumn("_q_window", threes(F.col("_q_hash"), lambda a, b: F.xxhash64(a, b)))
+    placed = F.zip_with("_q_window", threes(words, lambda a, b: F.concat_ws(" ", a, b)), lambda h, w: F.struct(h.alias("h"), w.alias("w")))
+    placed = F.transform(placed, lambda x, i: F.struct(x.getField("h").alias("h"), x.getField("w").alias("w"), i.alias("i")))
+    df = df.withColumn("_q_placed", F.when(F.size(F.array_distinct("_q_window")) < F.size("_q_window"), placed))
+    df = df.withColumn("_q_sorted", F.sort_array(F.coalesce("_q_placed", F.array().cast("array<struct<h:bigint,w:string,i:int>>"))))
+    same = lambda a, b: (a.getField("h") == b.getField("h")) & (a.getField("w") == b.getField("w"))
+    pairs = F.zip_with("_q_sorted", after(F.col("_q_sorted"), 1), lambda a, b: F.when(same(a, b), F.array(a.getField("i"), b.getField("i"))))
+    df = df.withColumn("_q_at", F.sort_array(F.array_distinct(F.flatten(F.filter(pairs, lambda v: v.isNotNull())))))
+    steps = F.zip_with("_q_at", after(F.col("_q_at"), 1), lambda x, y: F.least(F.lit(3), F.coalesce(y - x, F.lit(3))))
     return df.withColumn("_q_repeat", F.aggregate(steps, F.lit(0).cast("long"), lambda total, x: total + x))
 
 

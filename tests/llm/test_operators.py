@@ -357,3 +357,41 @@ def test_pipeline_stages(spark, texts):
     leaks = {r.doc_id for r in decontaminate.op4_decontaminate(spark, SF).collect()}
     assert set(seen["decontaminate"].doc_id) == set(seen["near_dedup"].doc_id) - leaks
     assert sorted(seen["shard"].doc_id) == sorted(seen["mix"].doc_id)
+
+
+def test_repeated_windows_do_not_depend_on_hashes(spark, monkeypatch):
+    """With hashes of two values only, repeats are still exact; and a text of more than 2^24 words is counted."""
+    rng = np.random.default_rng(9)
+    rows = [(i, " ".join(rng.choice(list("abcdef"), rng.integers(0, 60))), "en") for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    monkeypatch.setattr(quality.F, "xxhash64", lambda *c, h=F.xxhash64: F.pmod(h(*c), F.lit(2)))
+    got = quality.with_counts(docs).select("doc_id", "_q_repeat").collect()
+    assert {r.doc_id: r["_q_repeat"] for r in got} == {i: brute_quality(t)[4] for i, t, _ in rows}
+    assert sum(r["_q_repeat"] for r in got) > 500
+
+
+def test_classifier_fits_one_row_of_each_id(spark):
+    """Labelled ids of several documents: the same scores on any partitioning, with a bound on the labelled ids only."""
+    rng = np.random.default_rng(2)
+    rows = [(i % 20, " ".join(rng.choice(["good", "fine", "text"] if i % 2 else ["bad", "spam", "#"], 30)), 100) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, quality int")
+    scores = []
+    for n in (1, 7):
+        model = classifier.train(docs.repartition(n), labels, train_rows=20)
+        scores.append(classifier.score(docs, model).toPandas().sort_values(["doc_id", "score"]).score.round(9).tolist())
+    assert scores[0] == scores[1]
+
+
+def test_fixity_null_keys_and_one_root(spark):
+    """Null file, offset and id; files enough for two levels over their roots; a swap of two files' contents."""
+    schema = "file string, offset long, record_id long, url string, payload string"
+    rows = [(None if f == 0 else f"f{f}", i * 200_000 if i < 3 else None, None if i == 1 else f * 10 + i, "u", f"p{f}-{i}") for f in range(300) for i in range(4)]
+    a = spark.createDataFrame(rows, schema)
+    assert fixity.audit(a, a.repartition(3)).count() == 0
+    change = lambda r, **kw: tuple(kw.get(k, v) for k, v in zip(("file", "offset", "record_id", "url", "payload"), r, strict=True))
+    other = [change(r, payload="bad") if k in (2, 3, 401) else r for k, r in enumerate(rows) if k != 5]
+    got = {(r.file, r.offset, r.record_id, r.state) for r in fixity.audit(a, spark.createDataFrame(other, schema)).collect()}
+    assert got == {(*rows[2][:3], "changed"), (*rows[3][:3], "changed"), (*rows[401][:3], "changed"), (*rows[5][:3], "missing")}
+    swapped = [change(r, file={"f1": "f2", "f2": "f1"}.get(r[0], r[0])) for r in rows]
+    assert {r.file for r in fixity.audit(a, spark.createDataFrame(swapped, schema)).collect()} == {"f1", "f2"}
