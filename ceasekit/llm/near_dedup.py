@@ -313,18 +313,35 @@ def verified(links: DataFrame, letters: DataFrame, threshold: float) -> DataFram
 
 
 def classes(links: DataFrame) -> DataFrame:
-    """(node, head): connected components by least-label steps with pointer jumping. Labels are
-    written after each step; only a count of changes reaches the driver."""
-    both = landed(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "dedup-links")
-    labels = landed(both.groupBy("a").agg(F.least(F.first("a"), F.min("b")).alias("head")).select(F.col("a").alias("node"), "head"), "dedup-labels")
+    """(node, head): connected components by contraction. Each place points to its least neighbour if that is
+    less; pointers are shortened to the places they lead to, and the links between these, of which there are
+    far fewer, make the next round. Rounds are written; only whether any link is left reaches the driver."""
+    edges = landed(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "dedup-links")
+    labels = None
     while True:
-        near = both.join(labels.select(F.col("node").alias("b"), "head"), "b").groupBy("a").agg(F.min("head").alias("near"))
-        least_label = labels.join(near.withColumnRenamed("a", "node"), "node").select("node", "head", F.least("head", "near").alias("next"))
-        jump = labels.select(F.col("node").alias("next"), F.col("head").alias("far"))
-        step = landed(least_label.join(jump, "next").select("node", "head", F.least("next", "far").alias("next")), "dedup-labels")
-        if step.where("next <> head").limit(1).count() == 0:
+        both = edges.union(edges.select("b", "a"))
+        parent = shortened(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low")).select("node", F.least("node", "low").alias("head")))
+        if labels is None:
+            labels = parent
+        else:
+            later = parent.select(F.col("node").alias("head"), F.col("head").alias("_later"))
+            labels = landed(labels.join(later, "head", "left").select("node", F.coalesce("_later", "head").alias("head")), "dedup-labels")
+        ends = [parent.select(F.col("node").alias(e), F.col("head").alias(f"head_{e}")) for e in ("a", "b")]
+        heads = edges.join(ends[0], "a").join(ends[1], "b").select(F.least("head_a", "head_b").alias("a"), F.greatest("head_a", "head_b").alias("b"))
+        edges = landed(heads.where("a <> b").distinct(), "dedup-links")
+        if edges.isEmpty():
             return labels
-        labels = step.select("node", F.col("next").alias("head"))
+
+
+def shortened(parent: DataFrame) -> DataFrame:
+    """Pointers (node, head) led on to the places that point to themselves: each round doubles the steps."""
+    parent = landed(parent, "dedup-pointers")
+    while True:
+        on = parent.select(F.col("node").alias("head"), F.col("head").alias("far"))
+        step = landed(parent.join(on, "head").select("node", "head", "far"), "dedup-pointers")
+        parent = step.select("node", F.col("far").alias("head"))
+        if step.where("head <> far").isEmpty():
+            return parent
 
 
 def merged(heads: DataFrame, links: DataFrame) -> DataFrame:

@@ -161,3 +161,23 @@ def test_recall_by_edit_similarity(changed, least):
             x, y = nd.order_sketches(np.concatenate([a, b]), np.array([0, 300]), np.array([300, 300]))
             met += bool((x == y).any())
         assert met >= least * 200
+
+
+def test_components(spark):
+    """Paths, stars and random graphs against union-find; labels are the least member."""
+    rng = np.random.default_rng(5)
+    edges = [(f"p{i:04d}", f"p{i + 1:04d}") for i in range(300)] + [("s0500", f"s{i:04d}") for i in range(500)]
+    edges += [(f"r{a:03d}", f"r{b:03d}") for a, b in rng.integers(0, 900, (700, 2))]
+    parent = {x: x for e in edges for x in e}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    for a, b in edges:
+        a, b = sorted((root(a), root(b)))
+        parent[b] = a
+    got = {r.node: r.head for r in nd.classes(spark.createDataFrame(edges, "a string, b string")).collect()}
+    alone = {a for a, b in edges if a == b} - {x for e in edges if e[0] != e[1] for x in e}
+    assert got == {x: root(x) for x in parent if x not in alone}
+    assert nd.classes(spark.createDataFrame([], "a string, b string")).count() == 0
