@@ -9,12 +9,13 @@ text. Verified links are closed into classes.
 
 Exact copies are one node each (a hash of the text), so that a group of copies of any size
 costs one row per task. In a bucket every text is first linked to the least one. Buckets that then
-still hold several classes are searched for every further pair: their texts are compared in cells of
-at most two times ``CELL`` by length and by counts of words and word pairs, which bound the edit distance
-from below (an edit changes two word counts and four pair counts at most), and what may be near is
-aligned, the likeliest pairs of each text first. This is repeated, with more pairs of each text, until none
-is left out: texts near to each other that share a bucket are of one class. No bucket is cut off. New links
-are closed over the heads of the classes found so far, not over all links again.
+still hold several classes are searched for every further pair, in cells of at most two times ``CELL``
+texts and ``CELL_WORDS`` words: length and counts of words and word pairs bound the edit distance from
+below (an edit changes two word counts and four pair counts at most), and what may be near is aligned,
+the likeliest pairs first, unless its classes have been joined by then. A cell hands on only links that
+join classes, fewer than it has texts, and a pair is aligned in one of its buckets only. So texts near to
+each other that share a bucket are of one class, and no bucket is cut off. New links are closed over the
+heads of the classes found before.
 
 The search is complete within buckets; that near texts share one is likely, not sure (README has the
 recall by edit similarity).
@@ -43,9 +44,7 @@ THRESHOLD = 0.8
 SEED = 7
 SLICE = 250_000        # words that a task works on at once
 WORDS_BAG, PAIRS_BAG = 256, 1024        # counters of the words and of the word pairs of a text
-CELL = 2000            # texts of a bucket that are compared in one step
-WIDTH = 8              # pairs of a text in the first search; each search takes WIDER times as many
-WIDER = 32
+CELL, CELL_WORDS = 1000, 1 << 20        # texts and words of a chunk of a bucket; a cell is two chunks
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -217,16 +216,21 @@ def star_links(members: DataFrame) -> DataFrame:
 
 
 def celled(members: DataFrame, texts: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
-    """(cell, side, node, n, bag, class) of the buckets that hold several classes. A large bucket is
-    split by length into bands, of which only neighbours can have near texts, and by hash into
-    chunks; a cell is a pair of chunks, so that any two texts that may be near meet in one."""
-    classed = members.join(labels, "node", "left").select("bucket", "node", F.xxhash64(F.coalesce("head", "node")).alias("class"))
-    mixed_up = classed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("class").alias("low"), F.max("class").alias("high")) \
-        .where("low <> high").select("bucket", "size")
-    rows = classed.join(mixed_up, "bucket").join(texts.select("node", "n", "bag"), "node")
+    """(cell, bucket, side, node, n, bag, letters, class, buckets) of the buckets that hold several classes; of
+    buckets with the same texts one is kept. A large bucket is split by length into bands, of which only
+    neighbours can have near texts, and by hash into chunks; a cell is a pair of chunks, so that any two texts
+    that may be near meet in one."""
+    classed = members.join(labels, "node", "left").join(texts.select("node", "n"), "node") \
+        .select("bucket", "node", "n", F.xxhash64(F.coalesce("head", "node")).alias("class"))
+    mixed_up = classed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("words"), F.min("class").alias("low"),
+                                             F.max("class").alias("high"), F.bit_xor(F.xxhash64("node")).alias("who"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("who2")) \
+        .where("low <> high").groupBy("size", "words", "who", "who2").agg(F.min("bucket").alias("bucket")).select("bucket", "size", "words")
+    kept = landed(classed.join(mixed_up, "bucket"), "dedup-contested")
+    own = kept.groupBy("node").agg(F.sort_array(F.collect_set("bucket")).alias("buckets"))         # at most SKETCHES
+    rows = kept.drop("n").join(texts, "node").join(own, "node")
     ratio = 1.01 / max(threshold, 0.01)
-    rows = rows.withColumn("k", F.ceil(F.col("size") / CELL).cast("int")) \
-        .withColumn("band", F.floor(F.log(F.col("n")) / F.log(F.lit(ratio))).cast("int")) \
+    rows = rows.withColumn("k", F.ceil(F.greatest(F.col("size") / CELL, F.col("words") / CELL_WORDS)).cast("int")) \
+        .withColumn("band", F.floor(F.log(F.greatest("n", F.lit(1))) / F.log(F.lit(ratio))).cast("int")) \
         .withColumn("i", F.pmod(F.xxhash64("node"), F.col("k")).cast("int"))
     one, i = F.lit(1), F.col("i")
     key = lambda lo, a, hi, b: F.xxhash64("bucket", lo, a, hi, b).alias("cell")
@@ -237,57 +241,107 @@ def celled(members: DataFrame, texts: DataFrame, labels: DataFrame, threshold: f
     above = F.transform(chunks, lambda j: F.struct(key(band, i, band + one, j), side(F.lit(0))))
     below = F.transform(chunks, lambda j: F.struct(key(band - one, j, band, i), side(F.lit(1))))
     whole = F.array(F.struct(F.col("bucket").alias("cell"), side(F.lit(2))))
-    return rows.select(F.explode(F.when(F.col("k") == 1, whole).otherwise(F.concat(same, above, below))).alias("at"), "node", "n", "bag", "class") \
-        .select("at.cell", "at.side", "node", "n", "bag", "class")
+    return rows.select(F.explode(F.when(F.col("k") == 1, whole).otherwise(F.concat(same, above, below))).alias("at"),
+                       "bucket", "node", "n", "bag", "letters", "class", "buckets") \
+        .select("at.cell", "bucket", "at.side", "node", "n", "bag", "letters", "class", "buckets")
 
 
-def cell_pairs(side: np.ndarray, n: np.ndarray, bag: np.ndarray, label: np.ndarray, threshold: float, width: int) -> Iterator[tuple[int, int, bool]]:
-    """Pairs of a cell of different classes that length and counts of words and pairs let be near: of each
-    text the ``width`` likeliest, and whether it has more. An edit changes two counts of words and four of
-    pairs at most."""
+def places(letters: np.ndarray) -> dict[int, int]:
+    """Per letter the bits of its places."""
+    out: dict[int, int] = {}
+    for i, x in enumerate(letters.tolist()):
+        out[x] = out.get(x, 0) | (1 << i)
+    return out
+
+
+def within(a: np.ndarray, b: np.ndarray, most: int) -> bool:
+    """Whether the edit distance is at most ``most``: what both begin and end with is left out, the rest is
+    aligned with a column of the table as the bits of two whole numbers."""
+    short = min(len(a), len(b))
+    differ = a[:short] != b[:short]
+    head = int(differ.argmax()) if differ.any() else short
+    a, b = a[head:], b[head:]
+    short = min(len(a), len(b))
+    if short:
+        differ = a[::-1][:short] != b[::-1][:short]
+        tail = int(differ.argmax()) if differ.any() else short
+        a, b = a[:len(a) - tail], b[:len(b) - tail]
+    if len(a) == 0 or len(b) == 0 or max(len(a), len(b)) <= most:
+        return max(len(a), len(b)) <= most
+    at, m = places(a), len(a)
+    every, high = (1 << m) - 1, 1 << (m - 1)
+    up, down, score, left = every, 0, m, len(b)
+    for x in b.tolist():
+        equal = at.get(x, 0)
+        vertical = equal | down
+        horizontal = (((equal & up) + up) ^ up) | equal
+        more, less = down | (every & ~(horizontal | up)), up & horizontal
+        if more & high:
+            score += 1
+        elif less & high:
+            score -= 1
+        left -= 1
+        if score - left > most:
+            return False
+        more, less = (more << 1) | 1, less << 1
+        up = (less | ~(vertical | more)) & every
+        down = more & vertical & every
+    return score <= most
+
+
+def cell_links(rows: dict, threshold: float) -> Iterator[tuple[int, int]]:
+    """Pairs of a cell that are near and join classes. Of each text the pairs of different classes that length
+    and counts let be near, and whose least common bucket this is, are aligned, the likeliest first."""
+    side, n, bag, label, letters, buckets, bucket = (rows[k] for k in ("side", "n", "bag", "class", "letters", "buckets", "bucket"))
+    names, label = np.unique(label, return_inverse=True)
+    share = float(f"{1 - threshold:.6f}")
     for i in range(len(n) - 1):
-        most = np.floor((1 - float(f"{threshold:.6f}")) * np.maximum(n[i + 1:], n[i]) + 1e-6)
+        most = np.floor(share * np.maximum(n[i + 1:], n[i]) + 1e-9)
         gap = np.abs(n[i + 1:] - n[i])
         found = np.flatnonzero((label[i + 1:] != label[i]) & ((side[i] == 2) | (side[i + 1:] != side[i])) & (gap <= most))
-        if len(found):
-            words = (gap[found] + np.abs(bag[i + 1 + found, :WORDS_BAG] - bag[i, :WORDS_BAG]).sum(axis=1)) / 2
-            found, words = found[words <= most[found]], words[words <= most[found]]
-            least_edits = np.maximum(words, np.abs(bag[i + 1 + found, WORDS_BAG:] - bag[i, WORDS_BAG:]).sum(axis=1) / 4)
-            likely = least_edits <= most[found]
-            found, least_edits = found[likely], least_edits[likely]
-            for j in found[np.argsort(least_edits, kind="stable")[:width]]:
-                yield i, i + 1 + int(j), len(found) > width
-
-
-def candidates(cells: DataFrame, threshold: float, width: int) -> DataFrame:
-    """(a, b, more): see :func:`cell_pairs`; rows of a cell are read one after the other."""
+        if len(found) == 0:
+            continue
+        words = (gap[found] + np.abs(bag[i + 1 + found, :WORDS_BAG] - bag[i, :WORDS_BAG]).sum(axis=1)) / 2
+        found, words = found[words <= most[found]], words[words <= most[found]]
+        least_edits = np.maximum(words, np.abs(bag[i + 1 + found, WORDS_BAG:] - bag[i, WORDS_BAG:]).sum(axis=1) / 4)
+        likely = least_edits <= most[found]
+        found, least_edits = found[likely], least_edits[likely]
+        for j in (i + 1 + found[np.argsort(least_edits, kind="stable")]).tolist():
+            if label[i] != label[j] and min(buckets[i] & buckets[j]) == bucket and within(letters[i], letters[j], int(share * max(n[i], n[j]) + 1e-9)):
+                label[label == label[j]] = label[i]
+                yield i, j
+
+
+def links_of_cells(cells: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): see :func:`cell_links`; rows of a cell are read one after the other."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pairs(held):
-            nodes = [x for part in held for x in part[1]]
-            side, n, bag, label = (np.concatenate([part[k] for part in held]) for k in (2, 3, 4, 5))
-            got = [(*sorted((nodes[i], nodes[j])), more) for i, j, more in cell_pairs(side, n, bag, label, threshold, width)]
-            return pa.RecordBatch.from_pylist([{"a": a, "b": b, "more": m} for a, b, m in got], pa.schema(
-                [("a", pa.string()), ("b", pa.string()), ("more", pa.bool_())]))
-
-        held = []
+        def links(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            t = pa.Table.from_batches(held).combine_chunks()
+            width = WORDS_BAG + PAIRS_BAG
+            rows = {k: t[k].to_numpy() for k in ("side", "class")} | {
+                "n": t["n"].to_numpy().astype(np.int64), "bucket": t["bucket"][0].as_py(),
+                "bag": np.frombuffer(b"".join(t["bag"].to_pylist()), np.uint8).reshape(len(t), width).astype(np.int16),
+                "letters": [np.frombuffer(x.encode("utf-32-le"), np.uint32) for x in t["letters"].to_pylist()],
+                "buckets": [set(x) for x in t["buckets"].to_pylist()]}
+            got = list(cell_links(rows, threshold))
+            if got:
+                ends = [t["node"].take(pa.array(list(side))).combine_chunks() for side in zip(*got, strict=True)]
+                yield pa.RecordBatch.from_arrays(ends, names=["a", "b"])
+
+        held: list[pa.RecordBatch] = []
         for b in batches:
             if not len(b):
                 continue
             cell = b.column("cell").to_numpy()
-            nodes, side, n = b.column("node").to_pylist(), b.column("side").to_numpy(), b.column("n").to_numpy().astype(np.int64)
-            bag = np.frombuffer(b"".join(b.column("bag").to_pylist()), np.uint8).reshape(len(b), WORDS_BAG + PAIRS_BAG).astype(np.int16)
-            label = b.column("class").to_numpy()
             cuts = [0, *(np.flatnonzero(cell[1:] != cell[:-1]) + 1).tolist(), len(b)]
             for s, e in zip(cuts[:-1], cuts[1:], strict=True):
-                if held and held[-1][0] != cell[s]:
-                    if (out := pairs(held)).num_rows:
-                        yield out
+                if held and held[-1].column("cell")[0].as_py() != cell[s]:
+                    yield from links(held)
                     held = []
-                held.append((cell[s], nodes[s:e], side[s:e], n[s:e], bag[s:e], label[s:e]))
-        if held and (out := pairs(held)).num_rows:
-            yield out
-    return cells.repartition("cell").sortWithinPartitions("cell", "node").mapInArrow(run, "a string, b string, more boolean") \
-        .groupBy("a", "b").agg(F.max("more").alias("more"))
+                held.append(b.slice(s, e - s))
+        if held:
+            yield from links(held)
+    return cells.repartition("cell").sortWithinPartitions("cell", "node").mapInArrow(run, "a string, b string").distinct()
 
 
 def lettered(docs: DataFrame, nodes: DataFrame, id_col: str, text: str) -> DataFrame:
@@ -373,16 +427,7 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "d
     large = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 2").select("bucket")
     members = landed(members.join(large, "bucket", "left_semi"), "dedup-members")
     heads = classes(landed(tried.where("near"), "dedup-near"))
-    width = WIDTH
-    while True:
-        found = landed(candidates(celled(members, letters, heads, threshold), threshold, width), "dedup-candidates")
-        fresh = found.select("a", "b").join(tried.select("a", "b"), ["a", "b"], "left_anti")
-        checked = landed(verified(fresh, letters, threshold), "dedup-verified")
-        heads = merged(heads, checked.where("near"))
-        if found.where("more").limit(1).count() == 0:
-            break
-        tried = tried.unionByName(checked)
-        width *= WIDER
+    heads = merged(heads, landed(links_of_cells(celled(members, letters, heads, threshold), threshold), "dedup-found"))
     named = nodes.join(heads, "node", "left").withColumn("head", F.coalesce("head", "node"))
     ids = named.groupBy("head").agg(F.min("id").alias("class_id"))
     return landed(named.select("node", "id", "head").join(ids, "head").select("node", "id", "class_id", "head"), "dedup-classes")

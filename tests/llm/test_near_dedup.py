@@ -134,10 +134,11 @@ def test_ids_of_any_type(spark):
     assert sorted(kept.doc_id) == ["a", "c"]
 
 
-def test_many_rounds_close_one_class(spark, make, monkeypatch):
-    """A chain of texts, each near to the next only, with one pair searched at a time."""
-    monkeypatch.setattr(nd, "WIDTH", 1)
-    monkeypatch.setattr(nd, "WIDER", 2)
+@pytest.mark.parametrize("cell", [(1000, 1 << 20), (7, 1 << 20), (1000, 900)])
+def test_a_chain_is_one_class(spark, make, monkeypatch, cell):
+    """A chain of texts, each near to the next only, in whole buckets and in cells of few texts or words."""
+    monkeypatch.setattr(nd, "CELL", cell[0])
+    monkeypatch.setattr(nd, "CELL_WORDS", cell[1])
     words = [f"w{i}" for i in range(200)]
     rows = []
     for i in range(30):
@@ -181,3 +182,17 @@ def test_components(spark):
     alone = {a for a, b in edges if a == b} - {x for e in edges if e[0] != e[1] for x in e}
     assert got == {x: root(x) for x in parent if x not in alone}
     assert nd.classes(spark.createDataFrame([], "a string, b string")).count() == 0
+
+
+def test_within_is_the_edit_distance():
+    rng = np.random.default_rng(8)
+    for _ in range(600):
+        a = rng.integers(0, rng.integers(2, 9), rng.integers(0, 40)).astype(np.uint32)
+        b = a.copy() if rng.random() < 0.5 else rng.integers(0, 9, rng.integers(0, 40)).astype(np.uint32)
+        for _ in range(rng.integers(0, 6)):
+            at = int(rng.integers(0, len(b) + 1))
+            b = np.concatenate([b[:at], rng.integers(0, 9, rng.integers(0, 2)).astype(np.uint32), b[at + int(rng.integers(0, 2)):]])
+        exact = edit_distance(a, b, 1000)
+        for most in {0, 1, exact - 1, exact, exact + 1, 100}:
+            if most >= 0:
+                assert nd.within(a, b, most) == (exact <= most)
