@@ -158,6 +158,16 @@ def j1(spark, d):
     return s.calls.join(s.raw_info.select(ID, "churned"), ID)
 
 
+@query("j1_inner_join_bucketed", f"""
+SELECT u.{ID}, u.calendar_date, count(*) AS usage_rows, c.cease_placed_date FROM usage u JOIN (
+  SELECT {ID}, min(cease_placed_date) AS cease_placed_date FROM cease GROUP BY 1) c ON u.{ID} = c.{ID} GROUP BY ALL""")
+def j1_bucketed(spark, d):
+    """Daily usage with the customer's first cease request, joined on the usage's buckets."""
+    s = study(spark, d)
+    first = s.cease.groupBy(ID).agg(F.min("cease_placed_date").alias("cease_placed_date"))
+    return s.usage_daily.select(ID, "calendar_date", "usage_rows").join(first, ID)
+
+
 @query("j3_left_join", f"""
 SELECT r.{ID}, r.churned, CAST(u.usage_days AS DOUBLE) AS usage_days FROM raw_info r LEFT JOIN usage_days_a u ON r.{ID} = u.{ID}""")
 def j3(spark, d):

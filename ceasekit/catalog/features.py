@@ -172,6 +172,15 @@ def f7b(spark, d):
     return FE.usage_days_features(s.obs_b, ub, s.cfg)
 
 
+@query("f7_usage_days_features_bucketed", f"""
+SELECT r.{ID}, {_sel(usage_sql('COALESCE(u.usage_days, 0)', 'r.behav_win'))}
+FROM raw_info r LEFT JOIN usage_days_a u ON r.{ID} = u.{ID}""")
+def f7k(spark, d):
+    """Usage-day buckets from the bucketed daily usage: the month join and the count need no shuffle of usage."""
+    s = study(spark, d)
+    return FE.usage_days_features(s.raw_info, OB.daily_usage_in_obs_month(s.usage_daily, s.raw_info, s.cfg), s.cfg)
+
+
 @query("f8_has_calls_feature", f"""
 SELECT r.{ID}, CASE WHEN k.{ID} IS NOT NULL THEN 1 ELSE 0 END AS has_calls
 FROM raw_info r LEFT JOIN calls_in_month k ON r.{ID} = k.{ID}""")

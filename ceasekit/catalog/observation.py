@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from ceasekit.catalog import query
 from ceasekit.catalog.study import study
 from ceasekit.plans import observation as OB
+from ceasekit.plans.quality import StageAudit
+from ceasekit.sources.io import scratch_path
 
 SILVER_COLS = ("unique_customer_identifier, behav_win, churned, contract_status, contract_dd_cancels, "
                "dd_cancel_60_day, ooc_days, technology, speed, line_speed, sales_channel, crm_package_name, tenure_days")
@@ -141,12 +143,7 @@ UNION ALL SELECT 'churned', count(*) FROM churned_baseline
 UNION ALL SELECT 'churned_kept', count(*) FROM churned_kept
 UNION ALL SELECT 'observation_set', count(*) FROM raw_info""")
 def d20(spark, d):
-    s = study(spark, d)
-    cfg = s.cfg
-    parts = [("live", OB.live_baseline(s.info, s.cease, cfg)), ("churned", OB.churned_baseline(s.info, s.cease, cfg)),
-             ("churned_kept", OB.churned_kept(s.info, s.cease, cfg)), ("observation_set", s.raw_info)]
-    out = None
-    for name, df in parts:
-        x = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("stage"), "n")
-        out = x if out is None else out.unionByName(x)
-    return out
+    """All four counts from the one pass that writes the observation set."""
+    s, audit = study(spark, d), StageAudit()
+    OB.observation_set(s.info, s.cease, s.cfg, audit.watch).write.parquet(scratch_path(spark, "audited-raw-info"))
+    return audit.report(spark)

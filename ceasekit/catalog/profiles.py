@@ -13,6 +13,8 @@ from ceasekit.operators.stats import sorted_string_agg
 from ceasekit.plans import fits as FT
 from ceasekit.plans import observation as OB
 from ceasekit.plans import profiles as PR
+from ceasekit.operators.polyfit import fit_groups, value_at
+from ceasekit.operators.prefix import landed
 
 ID = "unique_customer_identifier"
 
@@ -165,6 +167,45 @@ def p11(spark, d):
     return FT.poly_curve(spark, f)
 
 
+@query("p11_curve_check", """
+SELECT kind, CASE kind WHEN 'grid' THEN 500 ELSE 2 END AS points, true AS same_curve FROM (VALUES ('grid'), ('point')) t(kind)""")
+def p11c(spark, d):
+    """The curve against the polynomial of the same points by Chebyshev moments, a fit of its own."""
+    buckets = landed(_seasonal_buckets(study(spark, d)), "seasonal-buckets")
+    curve = FT.poly_curve(spark, FT.poly_fit(buckets, "ooc_mid", "churn_rate", 6, weight="n"))
+    other = fit_groups(buckets, [], "ooc_mid", "churn_rate", 6, weight="n").first()         # seven coefficients
+    at = value_at(F.col("x"), F.lit(other.x_min), F.lit(other.x_max), F.array(*map(F.lit, other.coefficients)))
+    return curve.withColumn("_at", at).groupBy("kind").agg(F.count(F.lit(1)).cast("int").alias("points"),
+                                                           F.every(F.abs(F.col("_at") - F.col("prediction")) < 1e-6).alias("same_curve"))
+
+
+@query("p7_lines_by_segment", """
+SELECT l_linestatus, l_returnflag, count(*) AS n_points, regr_slope(l_extendedprice, l_quantity) AS slope,
+       regr_intercept(l_extendedprice, l_quantity) AS intercept, regr_r2(l_extendedprice, l_quantity) AS r2
+FROM lineitem GROUP BY 1, 2""")
+def p7l(spark, d):
+    """A line per segment of all line items, all segments in one scan."""
+    lines = fit_groups(study(spark, d).table("lineitem"), ["l_linestatus", "l_returnflag"], "l_quantity", "l_extendedprice", 1)
+    half, mid = (F.col("x_max") - F.col("x_min")) / 2, (F.col("x_max") + F.col("x_min")) / 2
+    slope = F.col("coefficients")[1] / half
+    return lines.select("l_linestatus", "l_returnflag", "n_points", slope.alias("slope"), (F.col("coefficients")[0] - slope * mid).alias("intercept"), "r2")
+
+
+@query("p7_fits_by_technology", f"""
+SELECT technology, CAST(k AS INTEGER) AS power, count(*) AS n_points, true AS orthogonal FROM raw_info, range(5) t(k)
+WHERE ooc_days IS NOT NULL GROUP BY 1, 2""")
+def p7t(spark, d):
+    """A polynomial of degree 4 of the label over the days per technology; its residuals are orthogonal to every power."""
+    rows = study(spark, d).raw_info.where(F.col("ooc_days").isNotNull()).select("technology", "ooc_days", "churned")
+    fits = fit_groups(rows, ["technology"], "ooc_days", "churned", 4).withColumnRenamed("technology", "_t")
+    both = rows.join(fits, F.col("technology").eqNullSafe(F.col("_t")))
+    s = (2 * F.col("ooc_days") - F.col("x_min") - F.col("x_max")) / (F.col("x_max") - F.col("x_min"))
+    residual = F.col("churned") - value_at(F.col("ooc_days"), F.col("x_min"), F.col("x_max"), F.col("coefficients"))
+    sums = both.groupBy("technology").agg(F.count(F.lit(1)).alias("n_points"), F.array(*[
+        F.abs(F.sum(residual * F.pow(s, F.lit(k)))) / F.count(F.lit(1)) < 1e-9 for k in range(5)]).alias("_ok"))
+    return sums.select("technology", "n_points", F.posexplode("_ok").alias("power", "orthogonal"))
+
+
 _PROBS = [0.1, 0.25, 0.5, 0.75, 0.9, 0.99]
 
 

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
-from ceasekit.catalog import query
+from ceasekit.catalog import SQL, query
 from ceasekit.catalog.study import study
+from ceasekit.operators.prefix import landed
 from ceasekit.plans import quality as Q
+from ceasekit.sources import io as IO
 
 ID = "unique_customer_identifier"
 WEEK_SQL = "CAST(isoyear({d}) AS VARCHAR) || '-W' || lpad(CAST(week({d}) AS VARCHAR), 2, '0')"
@@ -137,6 +141,14 @@ def q10s(spark, d):
     return summary_stats(g, "days_diff_usage_to_cease")
 
 
+@query("q10_usage_to_event_gap_bucketed", SQL["q10_usage_to_event_gap"])
+def q10b(spark, d):
+    """The gaps from the bucketed daily usage: its side is neither shuffled nor sorted again."""
+    s = study(spark, d)
+    return Q.usage_to_event_gap(s.usage_daily, s.cease, ID, "calendar_date", "cease_placed_date") \
+        .withColumn("days_diff_usage_to_cease", F.col("days_diff_usage_to_cease").cast("int"))
+
+
 @query("q11_usage_after_completed", f"""
 SELECT count(DISTINCT u.{ID}) AS customers, count(*) AS records
 FROM usage u JOIN cease c ON u.{ID} = c.{ID} WHERE u.calendar_date > c.cease_completed_date""")
@@ -175,6 +187,39 @@ def q15(spark, d):
     return Q.missing_full_rows(s.info, s.usage, s.cease, ID)
 
 
+_WITHOUT_USAGE_B = f"SELECT * FROM customer_info i LEFT JOIN cease c USING ({ID}) WHERE {ID} NOT IN (SELECT {ID} FROM usage_b WHERE {ID} IS NOT NULL)"
+
+
+@query("q15_missing_full_rows_b", _WITHOUT_USAGE_B)
+def q15b(spark, d):
+    """Snapshots (with their cease requests) of the customers without any of the dense daily usage: most of them."""
+    s = study(spark, d)
+    return Q.missing_full_rows(s.info, s.usage_b, s.cease, ID)
+
+
+@query("q15_export_missing", _WITHOUT_USAGE_B)
+def q15e(spark, d):
+    """The same rows exported as CSV, part files written by the tasks, and read back with their types."""
+    rows = q15b(spark, d)
+    path = IO.export_csv(rows, IO.scratch_path(spark, "without-usage-csv"))
+    return IO.read_csv(spark, path, rows.schema)
+
+
+@query("q5_sketch_check", """
+SELECT q.*, true AS sizes_within FROM (""" + SQL["q5_membership_movement"] + ") q")
+def q5s(spark, d):
+    """The exact sizes, and whether the estimates from one theta sketch per month are within three standard errors
+    (of a sketch of 2^14 keys: 1 / sqrt(2^14 - 1) of the union's size)."""
+    s = study(spark, d)
+    sketches = landed(Q.period_sketches(s.info, ID, "datevalue"), "period-sketches")
+    guess = landed(Q.estimated_movement(sketches, "datevalue"), "period-estimates")
+    exact = Q.membership_movement(s.info, ID, "datevalue")
+    names = ("only_in_first", "only_in_last", "in_both")
+    bound = 3 / math.sqrt(2 ** 14 - 1) * guess.select("in_either").scalar() + 0.5
+    within = [F.abs(F.col(c) - guess.select(c).scalar()) <= bound for c in names]
+    return exact.select(*names, (within[0] & within[1] & within[2]).alias("sizes_within"))
+
+
 def _missing_sql(table: str, cols) -> str:
     parts = []
     for c, t in cols:

@@ -104,6 +104,15 @@ def s11(spark, d):
     return IO.schema_report(study(spark, d).info)
 
 
+@query("s12_hand_off", """
+SELECT contract_status, CAST(avg(churned) AS DOUBLE) AS churn_rate, count(*) AS customers FROM raw_info GROUP BY 1""")
+def s12(spark, d):
+    """A rate table handed to the driver as pandas, as the study does before it plots, and back."""
+    rates = study(spark, d).raw_info.groupBy("contract_status").agg(F.avg("churned").alias("churn_rate"), F.count(F.lit(1)).alias("customers"))
+    local = IO.hand_off(rates, 10_000)
+    return spark.createDataFrame(local, rates.schema)
+
+
 @query("s13_typed_cleansing", f"""
 SELECT 'unique_customer_identifier' AS column_name, 0 AS rejected
 UNION ALL SELECT 'cease_placed_date', 0 UNION ALL SELECT 'cease_completed_date', 0

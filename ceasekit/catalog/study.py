@@ -17,6 +17,7 @@ from ceasekit.plans import observation as OB
 from ceasekit.sources import fixtures as FX
 
 CFG = FX.FIXTURE_CONFIG
+BUCKETS = 16            # of the daily usage; on a cluster about its size / 256 MB
 _MEMO: dict = {}
 _BRONZE: dict = {}
 
@@ -59,6 +60,16 @@ class Study:
     def usage(self) -> DataFrame:
         return bronze(self.spark, self.sf_dir, "usage", FX.usage)
 
+    @cached_property
+    def usage_daily(self) -> DataFrame:
+        """Usage per customer and day, in buckets of the customer: read by key without a shuffle."""
+        from ceasekit.plans.quality import daily_usage
+        from ceasekit.sources.io import create_namespace, scratch_path, write_table
+        create_namespace(self.spark, "ceasekit_silver")
+        path = scratch_path(self.spark, "usage-daily")
+        daily = daily_usage(self.usage, self.cfg.id_col, self.cfg.usage_date_col, [self.cfg.download_col, self.cfg.upload_col])
+        return write_table(daily, f"ceasekit_silver.usage_daily_{path[-12:]}", path, bucket_by=(BUCKETS, self.cfg.id_col))
+
     @cached_property
     def obs_b(self) -> DataFrame:
         return bronze(self.spark, self.sf_dir, "observation_b", FX.observation_b)

@@ -27,6 +27,10 @@ def max_month(info: DataFrame, cfg: ChurnConfig = DEFAULT):
     return info.select(F.max(cfg.month_col)).scalar()
 
 
+def _unwatched(name: str, df: DataFrame) -> DataFrame:
+    return df
+
+
 def min_month(info: DataFrame, cfg: ChurnConfig = DEFAULT):
     return info.select(F.min(cfg.month_col)).scalar()
 
@@ -118,18 +122,20 @@ def dedup_earliest(df: DataFrame, cfg: ChurnConfig = DEFAULT) -> DataFrame:
     return keep_first(df, cfg.id_col, cfg.behav_col)
 
 
-def churned_kept(info: DataFrame, cease: DataFrame, cfg: ChurnConfig = DEFAULT) -> DataFrame:
+def churned_kept(info: DataFrame, cease: DataFrame, cfg: ChurnConfig = DEFAULT, watch=_unwatched) -> DataFrame:
     """D8 -> D9 -> D10 -> D11, in that order (reasons before dedup: an excluded early
     cease lets a later one through)."""
-    c = churned_baseline(info, cease, cfg)
+    c = watch("churned", churned_baseline(info, cease, cfg))
     c = exclude_reasons(exclude_first_month(c, info, cfg), cfg)
     return dedup_earliest(c, cfg).drop(cfg.reason_col)
 
 
-def observation_set(info: DataFrame, cease: DataFrame, cfg: ChurnConfig = DEFAULT) -> DataFrame:
-    """Live and churned rows in the fixed silver column order."""
+def observation_set(info: DataFrame, cease: DataFrame, cfg: ChurnConfig = DEFAULT, watch=_unwatched) -> DataFrame:
+    """Live and churned rows in the fixed silver column order. ``watch`` (name, frame) sees each stage on
+    the way, e.g. ``StageAudit.watch``, which counts it in the same pass."""
     cols = [cfg.id_col, cfg.behav_col, cfg.label_col, *_attrs(info, cfg)]
-    return union_aligned([live_baseline(info, cease, cfg), churned_kept(info, cease, cfg)], cols)
+    kept = watch("churned_kept", churned_kept(info, cease, cfg, watch))
+    return watch("observation_set", union_aligned([watch("live", live_baseline(info, cease, cfg)), kept], cols))
 
 
 def filter_churned(raw_info: DataFrame, cease: DataFrame, cfg: ChurnConfig = DEFAULT) -> DataFrame:
@@ -150,3 +156,11 @@ def usage_in_obs_month(usage: DataFrame, raw_info: DataFrame, cfg: ChurnConfig =
     obs = raw_info.select(cfg.id_col, cfg.behav_col)
     out = same_month_join(usage, obs, cfg.id_col, cfg.usage_date_col, cfg.behav_col)
     return out.select(*usage.columns, cfg.behav_col)
+
+
+def daily_usage_in_obs_month(daily: DataFrame, raw_info: DataFrame, cfg: ChurnConfig = DEFAULT) -> DataFrame:
+    """D14 from usage bucketed by customer: joined on the customer alone, as a further key would shuffle both
+    sides again; the month is a condition. A customer has one observation month, so no pairs arise."""
+    obs = raw_info.select(cfg.id_col, cfg.behav_col)
+    same_month = F.datediff(month_start(cfg.usage_date_col), cfg.behav_col) == 0
+    return daily.join(obs, cfg.id_col).where(same_month).select(*daily.columns, cfg.behav_col)

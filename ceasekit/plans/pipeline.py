@@ -27,19 +27,21 @@ def run_medallion(spark: SparkSession, raw: dict[str, DataFrame], root: str, cfg
     for layer in ("bronze", "silver", "gold"):
         create_namespace(spark, f"{prefix}_{layer}")
     root = root.rstrip("/")
-    out = {}
+    out, audit = {}, Q.StageAudit()
+
+    def write(name: str, df: DataFrame, path: str, **kw) -> DataFrame:
+        """Written and counted in one pass."""
+        return write_table(audit.watch(name, df), f"{prefix}_{name}", f"{root}/{path}", fmt, **kw)
+
     for name, df in raw.items():
-        out[f"bronze.{name}"] = write_table(df, f"{prefix}_bronze.{name}", f"{root}/bronze/{name}", fmt)
+        out[f"bronze.{name}"] = write(f"bronze.{name}", df, f"bronze/{name}")
     info, cease = out["bronze.customer_info"], out["bronze.cease"]
-    raw_info = write_table(OB.observation_set(info, cease, cfg), f"{prefix}_silver.raw_info",
-                           f"{root}/silver/raw_info", fmt)
-    ubm = write_table(OB.usage_in_obs_month(out["bronze.usage"], raw_info, cfg), f"{prefix}_silver.usage_behav_month",
-                      f"{root}/silver/usage_behav_month", fmt, partition_by=[cfg.behav_col])
-    gold = write_table(FE.gold_dataset(raw_info, ubm, out["bronze.calls"], cfg), f"{prefix}_gold.modeling_dataset",
-                       f"{root}/gold/modeling_dataset", fmt)
-    reduced = write_table(FE.drop_redundant(gold), f"{prefix}_gold.modeling_dataset_reduced",
-                          f"{root}/gold/modeling_dataset_reduced", fmt)
+    raw_info = write("silver.raw_info", OB.observation_set(info, cease, cfg), "silver/raw_info")
+    ubm = write("silver.usage_behav_month", OB.usage_in_obs_month(out["bronze.usage"], raw_info, cfg), "silver/usage_behav_month",
+                partition_by=[cfg.behav_col])
+    gold = write("gold.modeling_dataset", FE.gold_dataset(raw_info, ubm, out["bronze.calls"], cfg), "gold/modeling_dataset")
+    reduced = write("gold.modeling_dataset_reduced", FE.drop_redundant(gold), "gold/modeling_dataset_reduced")
     out.update({"silver.raw_info": raw_info, "silver.usage_behav_month": ubm, "gold.modeling_dataset": gold,
                 "gold.modeling_dataset_reduced": reduced})
-    out["audit"] = Q.stage_counts({k: v for k, v in out.items() if k != "audit"})
+    out["audit"] = audit.report(spark)
     return out

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ceasekit.functions.dates import iso_year_week, month_start
@@ -99,6 +99,14 @@ def usage_to_event_gap(usage: DataFrame, cease: DataFrame, key: str, usage_date:
                                  F.datediff(event_date, "last_usage_date").alias("days_diff_usage_to_cease"))
 
 
+def daily_usage(usage: DataFrame, key: str, date_col: str, measures: Sequence[str] = ()) -> DataFrame:
+    """(key, day, usage_rows, measures): usage per customer and day. A customer has at most a row per day, whatever
+    the raw rows, so the result can be bucketed by customer (``write_table(bucket_by=...)``): gaps, usage days, usage
+    after a date and monthly totals then read it without a shuffle. Rows without a customer or day are left out."""
+    return usage.where(F.col(key).isNotNull() & F.col(date_col).isNotNull()).groupBy(key, date_col).agg(
+        F.count(F.lit(1)).alias("usage_rows"), *[F.sum(m).alias(m) for m in measures])
+
+
 def usage_rows_after(usage: DataFrame, cease: DataFrame, key: str, usage_date: str, event_date: str) -> DataFrame:
     """Per (customer, event date): the event rows on that date (``events``) and the
     usage rows dated strictly after it (``after``, 0 included).
@@ -185,14 +193,44 @@ def label_balance(df: DataFrame, label: str) -> DataFrame:
     return df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
 
 
-def stage_counts(stages: dict) -> DataFrame:
-    """Q20: one row per named stage with its row count (one small job per stage,
-    combined into a single result)."""
-    out = None
-    for name, df in stages.items():
-        x = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("stage"), "n")
-        out = x if out is None else out.unionByName(x)
-    return out
+class StageAudit:
+    """Q20: row counts (and any further aggregates) of named stages, taken while the last one is written.
+
+    Each watched frame carries an ``Observation``, so the audit costs no pass of its own and no stage is
+    computed again. The metrics are there once an action has run over the frames. They are accumulated per
+    task: a stage that Spark runs again after losing its shuffle files can count rows twice, so a figure that
+    must hold is counted on the written table."""
+
+    def __init__(self, **metrics: Column):
+        self.metrics = [F.count(F.lit(1)).alias("n"), *[m.alias(k) for k, m in metrics.items()]]
+        self.names = ["n", *metrics]
+        self.seen: dict[str, Observation] = {}
+
+    def watch(self, name: str, df: DataFrame) -> DataFrame:
+        self.seen[name] = Observation(name)
+        return df.observe(self.seen[name], *self.metrics)
+
+    def report(self, spark: SparkSession) -> DataFrame:
+        """(stage, n, ...) after the write."""
+        rows = [(name, *[o.get.get(m) for m in self.names]) for name, o in self.seen.items()]
+        return spark.createDataFrame(rows, "stage string, n long" + "".join(f", `{m}` double" for m in self.names[1:]))
+
+
+def period_sketches(df: DataFrame, key: str, period_col: str, lg_size: int = 14) -> DataFrame:
+    """(period, keys): a theta sketch of the distinct keys of each period. One pass; sketches of a fixed size that
+    are written once and combined for any two periods."""
+    return df.where(F.col(key).isNotNull()).groupBy(period_col).agg(F.theta_sketch_agg(key, lg_size).alias("keys"))
+
+
+def estimated_movement(sketches: DataFrame, period_col: str, lg_size: int = 14) -> DataFrame:
+    """Q5/U2/Q14 at scale: estimates of the keys only in the first period, only in the last and in both, from the
+    sketches of two periods. The rest of the data is not read."""
+    first = F.min_by("keys", period_col).alias("_a")
+    last = F.max_by("keys", period_col).alias("_b")
+    size = F.theta_sketch_estimate
+    return sketches.agg(first, last).select(
+        size(F.theta_difference("_a", "_b")).alias("only_in_first"), size(F.theta_difference("_b", "_a")).alias("only_in_last"),
+        size(F.theta_intersection("_a", "_b")).alias("in_both"), size(F.theta_union("_a", "_b", lg_size)).alias("in_either"))
 
 
 def months_of(df: DataFrame, date_col: str, name: str = "month") -> DataFrame:

@@ -72,8 +72,10 @@ def drop_table(spark: SparkSession, name: str) -> None:
 
 
 def write_table(df: DataFrame, name: str, path: str, fmt: str | None = None, mode: str = "overwrite",
-                partition_by=None) -> DataFrame:
-    """Write ``df`` as table ``name`` stored at ``path`` and return the table.
+                partition_by=None, bucket_by: tuple[int, str] | None = None) -> DataFrame:
+    """Write ``df`` as table ``name`` stored at ``path`` and return the table. ``bucket_by``
+    (buckets, column) deals the rows into sorted buckets, one file each, so that joins and groups on the column
+    need no shuffle of this table; a key must not hold a large part of the rows then (pre-aggregate first).
 
     Reading a table while overwriting it is refused by Spark for file tables, so
     callers that rewrite a table use :func:`rewrite_deduplicated`.
@@ -82,6 +84,9 @@ def write_table(df: DataFrame, name: str, path: str, fmt: str | None = None, mod
     w = df.write.mode(mode).format(fmt or table_format(spark)).option("path", path)
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if bucket_by:
+        n, key = bucket_by
+        w = df.repartition(n, key).write.mode(mode).format(fmt or "parquet").option("path", path).bucketBy(n, key).sortBy(key)
     w.saveAsTable(name)
     return spark.table(name)
 
@@ -163,3 +168,15 @@ def typed_cleanse(raw: DataFrame, schema: StructType) -> tuple[DataFrame, DataFr
     report = raw.agg(*checks).select(F.inline(F.array(*[
         F.struct(F.lit(f.name).alias("column_name"), F.col(f"`{f.name}`").alias("rejected")) for f in schema.fields])))
     return typed, report
+
+
+HAND_OFF_ROWS = 1_000_000
+
+
+def hand_off(df: DataFrame, max_rows: int = HAND_OFF_ROWS):
+    """A result as a pandas frame on the driver. It must be small by its kind (a rate table, a report); one of
+    more than ``max_rows`` rows is refused with an error, never cut."""
+    got = df.limit(max_rows + 1).toPandas()
+    if len(got) > max_rows:
+        raise ValueError(f"more than {max_rows} rows: write the result as a table instead")
+    return got

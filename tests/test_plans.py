@@ -94,3 +94,24 @@ def test_builders_on_unlanded_inputs(spark):
     for name, df in built.items():
         txt = _plan(df)
         assert "FileScan parquet" in txt and not [b for b in BAD if b in txt], (name, txt)
+
+
+@pytest.mark.parametrize("name", ["j1_inner_join_bucketed", "q10_usage_to_event_gap_bucketed", "f7_usage_days_features_bucketed"])
+def test_bucketed_usage_is_not_shuffled(spark, name):
+    """With joins by sorting, as for large tables: no exchange above the bucketed scan, up to and with its join or group."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = _plan(E.queries()[name](spark, SF)).split("\n")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    at = next(k for k, line in enumerate(lines) if "FileScan" in line and "usage_daily" in line)
+    depth = lambda line: len(re.match(r"[\s:|+\-]*", line).group())
+    above, level = [], depth(lines[at])
+    for line in reversed(lines[:at]):
+        if depth(line) < level:
+            above.append(line)
+            level = depth(line)
+    join = next(line for line in above if "Join" in line)
+    below_join = above[:above.index(join)]
+    assert "Bucketed: true" in lines[at] and not any("Exchange" in line for line in below_join), "\n".join(lines)
