@@ -10,6 +10,7 @@ from ceasekit.catalog import SQL, query
 from ceasekit.catalog.study import study
 from ceasekit.operators.prefix import landed
 from ceasekit.plans import quality as Q
+from ceasekit.sources import fixtures as FX
 from ceasekit.sources import io as IO
 
 ID = "unique_customer_identifier"
@@ -110,6 +111,14 @@ def q8(spark, d):
     return Q.weekly_counts(study(spark, d).cease, "cease_placed_date")
 
 
+@query("q8_weekly_churn_all_orders", f"""SELECT year_week, count(*) AS days_in_week, CAST(sum(churns) AS BIGINT) AS weekly_churns
+FROM (SELECT {WEEK_SQL.format(d='CAST(o_orderdate AS DATE)')} AS year_week, CAST(o_orderdate AS DATE) AS d, count(*) AS churns
+      FROM orders WHERE o_orderstatus = 'F' GROUP BY 1, 2) GROUP BY 1""")
+def q8all(spark, d):
+    """Every finished order as a cease request."""
+    return Q.weekly_counts(FX.cease(spark, d, least_price=0), "cease_placed_date")
+
+
 @query("q9_active_balance", f"""
 SELECT *, CAST((SELECT count(*) FROM customer_info WHERE datevalue = (SELECT min_month FROM info_scalars)) - cumulative_churns AS BIGINT) AS active_customers
 FROM (SELECT *, CAST(sum(weekly_churns) OVER (ORDER BY year_week ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cumulative_churns

@@ -47,11 +47,12 @@ def pick(index: Column, values) -> Column:
     return expr
 
 
-def cease(spark: SparkSession, sf_dir: str) -> DataFrame:
+def cease(spark: SparkSession, sf_dir: str, least_price: float = CEASE_PRICE) -> DataFrame:
+    """Cease requests: finished orders of a total price of ``least_price`` or more (0: all finished orders)."""
     o = table(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
     placed = F.to_date("o_orderdate")
-    return o.where((F.col("o_orderstatus") == "F") & (F.col("o_totalprice") >= CEASE_PRICE)).select(
+    return o.where((F.col("o_orderstatus") == "F") & (F.col("o_totalprice") >= least_price)).select(
         F.col("o_custkey").cast("string").alias(ID),
         placed.alias("cease_placed_date"),
         F.when(k % 3 == 0, F.lit(None).cast("date")).otherwise(F.date_add(placed, 30)).alias("cease_completed_date"),
