@@ -56,7 +56,7 @@ class Simplex(NamedTuple):
 
     def apex(self, x: np.ndarray) -> np.ndarray:
         """Rows x pivots: base coordinates and the altitude, from the distances to the pivots."""
-        d2 = ((x[:, None, :] - self.pivots[None, :, :]) ** 2).sum(axis=2)
+        d2 = np.maximum((x ** 2).sum(axis=1)[:, None] + (self.pivots ** 2).sum(axis=1)[None, :] - 2 * x @ self.pivots.T, 0)
         edge2 = (self.lower ** 2).sum(axis=1)
         base = np.linalg.solve(self.lower, ((d2[:, :1] + edge2 - d2[:, 1:]) / 2).T).T if len(self.lower) else np.empty((len(x), 0))
         altitude = np.sqrt(np.maximum(d2[:, 0] - (base ** 2).sum(axis=1), 0))
@@ -84,7 +84,8 @@ def bounds(apex: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarra
     """Rows x centroids: lower bounds of the squared distances; per row the least upper bound. Without finite
     coordinates the lower bound is 0 and the upper one infinite."""
     with np.errstate(invalid="ignore", over="ignore"):
-        base = ((apex[:, None, :-1] - centres[None, :, :-1]) ** 2).sum(axis=2)
+        sizes = (apex[:, :-1] ** 2).sum(axis=1)[:, None] + (centres[:, :-1] ** 2).sum(axis=1)[None, :]
+        base = np.maximum(sizes - 2 * apex[:, :-1] @ centres[:, :-1].T, 0)
         g, h = apex[:, -1:], centres[None, :, -1]
         slack = MARGIN * ((apex ** 2).sum(axis=1)[:, None] + (centres ** 2).sum(axis=1)[None, :]) + 1
         lower, upper = base + (g - h) ** 2 - slack, base + (g + h) ** 2 + slack
@@ -113,9 +114,12 @@ class Centres:
         least[sure] = np.minimum(least[sure], ((v[sure] - self.x[guess[sure]]) ** 2).sum(axis=1))
         mask = lower <= least[:, None]
         fast = own_small & ~(mask & ~self.small).any(axis=1)
-        i, j = np.nonzero(mask & fast[:, None])
         d2 = np.full(mask.shape, np.inf)
-        d2[i, j] = ((v[i] - self.x[j]) ** 2).sum(axis=1)
+        own = (np.where(own_small[:, None], v, 0) ** 2).sum(axis=1)
+        for j in np.nonzero((mask & fast[:, None]).any(axis=0))[0].tolist():         # whole numbers below 2^53 throughout
+            rows = np.nonzero(mask[:, j] & fast)[0]
+            near = v[rows] @ self.x[j] if 4 * len(rows) < len(v) else (v @ self.x[j])[rows]
+            d2[rows, j] = own[rows] + (self.x[j] ** 2).sum() - 2 * near
         cluster = d2.argmin(axis=1)
         distance = np.where(fast, d2[np.arange(len(x)), cluster], 0).astype(np.int64).tolist()
         for r in np.nonzero(~fast)[0].tolist():
