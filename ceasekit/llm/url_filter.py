@@ -6,7 +6,8 @@ query and fragment, of its host, and of every parent domain of the host.
 
 The as-of join runs once per distinct (key, day), not per capture, so that a host with a third
 of all captures costs a row per day. Interval and probe meet on (key, 32-day block), which
-bounds what is compared for one key. Spark splits skewed partitions of the last join.
+bounds what is compared for one key. List, pages and probes are written once each, as several steps
+read them. Spark splits skewed partitions of the last join.
 
 Defined cases: a null URL or time, or a URL without a host, matches nothing; several adds in a
 row are one interval; on one day an add wins over a remove; an interval holds its first day
@@ -20,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ceasekit.llm.common import packed, table, unpacked
+from ceasekit.llm.common import landed, packed, table, unpacked
 
 BLOCK_DAYS = 32
 FOREVER = 2_000_000      # day number of an open end
@@ -75,12 +76,12 @@ def filter_urls(captures: DataFrame, entries: DataFrame, url: str = "url", time:
     ``entries``: key, category, day (number of days since 1970), added (boolean)."""
     rows = captures.select(packed(captures), host_of(F.col(f"`{url}`")).alias("host"),
                            F.regexp_extract(F.col(f"`{url}`"), r"^[^?#]*", 0).alias("_page"), day_number(F.col(f"`{time}`")).alias("_day"))
-    pages = rows.where("host IS NOT NULL AND _day IS NOT NULL").select("_page", F.col("_day").alias("day")).distinct() \
+    pages = landed(rows.where("host IS NOT NULL AND _day IS NOT NULL").select("_page", F.col("_day").alias("day")).distinct(), "url-pages") \
         .withColumn("key", F.explode(url_keys(F.col("_page"))))
-    spans = validity(entries)
-    # only keys that the list names at all go on
-    pages = pages.join(spans.select("key").distinct(), "key", "left_semi")
-    active = active_entries(pages.select("key", "day").distinct(), spans)
+    spans = landed(validity(entries), "url-spans")
+    # one row per key and day, of keys that the list names at all: a host of a third of all captures is a row per day
+    probes = landed(pages.select("key", "day").distinct().join(spans.select("key").distinct(), "key", "left_semi"), "url-probes")
+    active = active_entries(probes, spans)
     verdicts = pages.join(active, ["key", "day"]).groupBy(F.col("_page").alias("_p"), F.col("day").alias("_d")).agg(
         F.sum(F.size("categories")).alias("n"), F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list("categories")))), ",").alias("c"))
     out = rows.join(verdicts, (F.col("_page") == F.col("_p")) & (F.col("_day") == F.col("_d")), "left")
