@@ -5,9 +5,12 @@ content. Pass 2 puts the rows of each bucket in a canonical order and permutes t
 seeded Fisher-Yates shuffle. The buckets, in order, form one shuffled sequence, which is
 cut into shards of equal row counts (law ``rows``): the counts differ by one at most.
 
-Defined cases: rows with nulls, empty texts or repeated ids are rows like any other; rows
-equal in every column share a bucket and are interchangeable; an empty table gives an
-empty result; a column named like an added one is replaced. The result depends on the
+Rows equal in every column are interchangeable. Up to ``COPIES`` of them share a bucket; of a larger group
+one row is kept with its count, and its copies are dealt out anew, each by its number, so that no group
+of any size fills a bucket or a task.
+
+Defined cases: rows with nulls, empty texts or repeated ids are rows like any other; an empty table gives
+an empty result; a column named like an added one is replaced. The result depends on the
 rows and the seed only, not on how the input is partitioned.
 """
 
@@ -26,6 +29,7 @@ from ceasekit.llm.common import landed, packed, table, unpacked
 SHARDS = 24
 SEED = 20_240_601
 BUCKET_BYTES = 16 << 20   # expected text bytes of a bucket
+COPIES = 1_000            # equal rows that may share a bucket; copies that a task deals out at once
 
 
 def record_bytes(text: Column) -> Column:
@@ -52,6 +56,21 @@ def shuffle_bucket(seed: int):
     return run
 
 
+def dealt_out(rows: DataFrame, buckets: int) -> DataFrame:
+    """``rows`` with large groups of equal rows spread over all buckets by the number of the copy."""
+    key = ["_key", "_key2"]
+    many = landed(rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_copies")).where(F.col("_copies") > COPIES), "shard-copies")
+    if many.isEmpty():
+        return rows
+    one = rows.join(many, key).groupBy(*key).agg(F.first("_row").alias("_row"), F.first("_copies").alias("_copies"))
+    chunk = F.explode(F.sequence(F.lit(0), F.expr(f"(_copies - 1) div {COPIES}")))
+    chunks = one.withColumn("_chunk", chunk).repartition("_key", "_key2", "_chunk")
+    last = F.least(F.col("_copies"), (F.col("_chunk") + 1) * COPIES) - 1
+    copies = chunks.withColumn("_number", F.explode(F.sequence(F.col("_chunk") * COPIES, last)))
+    again = copies.select(F.pmod(F.xxhash64("_key", "_number"), F.lit(buckets)).cast("long").alias("_bucket"), *key, "_row")
+    return rows.join(many, key, "left_anti").select("_bucket", *key, "_row").unionByName(again)
+
+
 def shuffle_into_shards(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, bucket_bytes: int = BUCKET_BYTES,
                         text: str = "text") -> DataFrame:
     """``docs`` plus law ('rows'), shard (0 to ``shards`` - 1) and slot (position in the shard, from 0).
@@ -64,11 +83,11 @@ def shuffle_into_shards(docs: DataFrame, shards: int = SHARDS, seed: int = SEED,
     total = docs.agg(F.sum(record_bytes(F.col(f"`{text}`"))).alias("b")).first().b or 0
     buckets = max(1, math.ceil(total / bucket_bytes))
     spread = F.pmod(keys[0], F.lit(buckets)).cast("long")
-    counts = docs.select(spread.alias("_bucket")).groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    scattered = dealt_out(docs.select(spread.alias("_bucket"), keys[0].alias("_key"), keys[1].alias("_key2"), packed(docs)), buckets)
+    counts = scattered.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     ordered = Window.orderBy("_bucket")
     offsets = landed(counts.select("_bucket", (F.sum("_n").over(ordered) - F.col("_n")).alias("_offset"),
                                    F.sum("_n").over(Window.partitionBy()).alias("_total")), "shard-offsets")
-    scattered = docs.select(spread.alias("_bucket"), keys[0].alias("_key"), keys[1].alias("_key2"), packed(docs))
     schema = T.StructType([T.StructField("_bucket", T.LongType()), T.StructField("_at", T.LongType()),
                            scattered.schema["_row"]])
     mixed = scattered.groupBy("_bucket").applyInArrow(shuffle_bucket(seed), schema)

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import zlib
 
 import duckdb
 import numpy as np
@@ -61,6 +62,48 @@ def test_shards(spark, odd, empty):
     assert sharding.shuffle_into_shards(empty).count() == 0
 
 
+def test_shards_of_a_whole_table(spark, texts):
+    """Bucket by bucket in plain Python, from the rows' hashes: the same shard and slot for every row."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    cols = [F.col(c) for c in docs.columns]
+    for size in (sharding.BUCKET_BYTES, 40_000):
+        keyed = docs.select("doc_id", F.xxhash64(F.lit(sharding.SEED), *cols).alias("a"), F.xxhash64(F.lit(sharding.SEED + 1), *cols).alias("b")).collect()
+        buckets = -(-sum(8 + len((t or "").encode()) for t in texts) // size)
+        order = []
+        for k in range(buckets):
+            mine = sorted((r.a, r.b, r.doc_id) for r in keyed if r.a % buckets == k)
+            place = list(range(len(mine)))
+            draws = np.random.Generator(np.random.PCG64([sharding.SEED, k])).random(len(mine))
+            for i in range(len(mine) - 1, 0, -1):
+                j = int(draws[i] * (i + 1))
+                place[i], place[j] = place[j], place[i]
+            order += [mine[i][2] for i in place]
+        n, want, at = len(order), {}, 0
+        for shard in range(24):
+            for slot in range(n // 24 + (shard < n % 24)):
+                want[order[at]] = (shard, slot)
+                at += 1
+        got = sharding.shuffle_into_shards(docs, bucket_bytes=size).collect()
+        assert {r.doc_id: (r.shard, r.slot) for r in got} == want
+    crc = {r.doc_id: (r.size, r.text_crc32) for r in sharding.op2_shard(spark, SF).collect()}
+    assert crc == {i: (8 + len((t or "").encode()), zlib.crc32((t or "").encode())) for i, t in texts.items()}
+
+
+def test_shards_of_equal_rows(spark, make, monkeypatch):
+    """A row repeated more often than a bucket may hold is spread over the buckets, the same on any partitioning."""
+    monkeypatch.setattr(sharding, "COPIES", 50)
+    docs = make([(1, "same", "en", "s")] * 1234 + [(i, f"text {i}", "en", "s") for i in range(2, 300)])
+    sizes, results = [], []
+    inner = sharding.shuffle_bucket
+    for parts in (1, 6):
+        got = sharding.shuffle_into_shards(docs.repartition(parts), shards=5, bucket_bytes=800).toPandas()
+        results.append(got.sort_values(["shard", "slot"]).text.tolist())
+        assert len(got) == 1532 and (got.text == "same").sum() == 1234
+        sizes.append(got.groupby("shard").text.apply(lambda t: (t == "same").mean()))
+    assert results[0] == results[1] and sharding.shuffle_bucket is inner
+    assert all(0.7 < x < 0.9 for x in sizes[0])                    # spread, not in one stretch
+
+
 def test_fisher_yates_is_uniform():
     seen = np.zeros((4, 4))
     for k in range(4000):
