@@ -177,16 +177,25 @@ def fragments_of(raw: np.ndarray, shared: np.ndarray) -> tuple[np.ndarray, np.nd
     return h[at][some], low[some], high[some] + LENGTH
 
 
-def suffix_order(text: np.ndarray, left: np.ndarray) -> np.ndarray:
-    """Suffixes in order, each read up to its end mark (0), ``left`` characters on; equal ones by place."""
-    n = len(text)
-    padded = np.concatenate([text, np.zeros(8, dtype=text.dtype)]).astype(np.int64)
-    key = np.zeros(n, dtype=np.int64)
-    for k in range(7):
-        key = (key << 9) | np.where(left >= k, padded[k:k + n], 0)
-    width, longest = 7, int(left.max()) + 1
+PACKED = 7             # characters that fit in one whole number
+
+
+def packed_prefix(text: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """The first PACKED characters of each suffix as a number; 0 beyond its end mark (0), ``left`` characters on."""
+    padded = np.concatenate([text, np.zeros(PACKED, dtype=text.dtype)]).astype(np.int64)
+    key = np.zeros(len(text), dtype=np.int64)
+    for k in range(PACKED):
+        key = (key << 9) | np.where(left >= k, padded[k:k + len(text)], 0)
+    return key
+
+
+def suffix_order(key: np.ndarray, left: np.ndarray, length: int) -> np.ndarray:
+    """Suffixes in the order of their first ``length`` characters at least, by prefix doubling from their packed
+    prefixes; equal ones in any order."""
+    n = len(key)
+    width, longest = PACKED, min(length, int(left.max()) + 1)
     while True:
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         ordered = key[order]
         rank = np.empty(n, dtype=np.int64)
         rank[order] = np.cumsum(np.concatenate(([1], (ordered[1:] != ordered[:-1]).astype(np.int64))))
@@ -199,62 +208,70 @@ def suffix_order(text: np.ndarray, left: np.ndarray) -> np.ndarray:
 
 
 def prefix_groups(text: np.ndarray, left: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """(suffixes in order, boundary flags): suffixes with no boundary between them share ``length`` bytes.
-
-    Breadth first from the empty string: an interval of suffixes that start with w is extended to
-    the left by each character of the transform. The end of a new interval is a boundary with a
-    common prefix of the level before. An interval whose end was known is not extended again."""
-    order = suffix_order(text, left)
+    """(suffixes in order, boundary flags): suffixes with no boundary between them share ``length`` bytes, if
+    they have as many.
+
+    Breadth first: the intervals of suffixes that start with w, at first those of PACKED characters, are
+    extended to the left by each character of the transform. The end of a new interval is a boundary with a
+    common prefix of the level before. An interval whose end was known is not extended again; nor is one of
+    a w with an end mark, which no string of ``length`` bytes starts with."""
+    key = packed_prefix(text, left)
+    order = suffix_order(key, left, length).astype(np.int32)
     n = len(order)
-    rank = np.empty(n, dtype=np.int64)
-    rank[order] = np.arange(n)
+    rank = np.empty(n, dtype=np.int32)
+    rank[order] = np.arange(n, dtype=np.int32)
     before = order - 1
     transform = np.where(before >= 0, text[before], 0)
     step = np.where(before >= 0, rank[before], 0)         # place of the suffix one longer
-    boundary = np.zeros(n + 1, dtype=bool)
-    boundary[[0, n]] = True
-    # level 1: one interval for each first character, the end mark's as well
-    first = text[order]
-    starts = np.flatnonzero(np.concatenate(([True], first[1:] != first[:-1])))
+    ordered = key[order]
+    boundary = np.concatenate(([True], ordered[1:] != ordered[:-1], [True]))
+    starts = np.flatnonzero(boundary[:-1])
     ends = np.concatenate((starts[1:], [n]))
-    boundary[ends] = True
-    for _ in range(length - 1):
+    real = left[order[starts]] >= PACKED
+    starts, ends = starts[real], ends[real]
+    for _ in range(length - PACKED):
         if len(starts) == 0:
             break
         sizes = ends - starts
-        owner = np.repeat(np.arange(len(starts)), sizes)
-        at = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes) + starts[owner]
-        real = transform[at] != 0
-        at, owner = at[real], owner[real]
-        to = step[at]
-        by = np.argsort(to, kind="stable")
-        to, owner, char = to[by], owner[by], transform[at][by]
+        owner = np.repeat(np.arange(len(starts), dtype=np.int32), sizes)
+        at = np.arange(len(owner)) + np.repeat(starts - np.cumsum(sizes) + sizes, sizes)
+        char = transform[at]
+        real = char != 0
+        to, owner, char = step[at[real]], owner[real], char[real]
         if len(to) == 0:
             break
+        by = np.argsort(to)
+        to, owner, char = to[by], owner[by], char[by]
         cut = np.flatnonzero((to[1:] != to[:-1] + 1) | (owner[1:] != owner[:-1]) | (char[1:] != char[:-1])) + 1
-        starts, ends = to[np.concatenate(([0], cut))], to[np.concatenate((cut - 1, [len(to) - 1]))] + 1
+        starts, ends = to[np.concatenate(([0], cut))].astype(np.int64), to[np.concatenate((cut - 1, [len(to) - 1]))].astype(np.int64) + 1
         new = ~boundary[ends]
         boundary[ends] = True
         starts, ends = starts[new], ends[new]
     return order, boundary
 
 
-def least_owners(fragments: list[bytes], ids: np.ndarray) -> list[np.ndarray]:
-    """For every fragment and place in it, the least id of the fragments that have the same LENGTH bytes there or elsewhere."""
+def late_ranges(fragments: list[bytes], ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(fragment, from, to) of the places whose LENGTH bytes a fragment of a smaller id has as well, as ranges of
+    bytes in the fragment."""
     sizes = np.array([len(f) for f in fragments])
     joined = np.frombuffer(b"\0".join(fragments) + b"\0", dtype=np.uint8).astype(np.int16) + 1
     ends = np.cumsum(sizes + 1)
     joined[ends - 1] = 0
     left = np.repeat(ends - 1, sizes + 1) - np.arange(len(joined))
     order, boundary = prefix_groups(joined, left, LENGTH)
-    owner = np.repeat(np.arange(len(fragments)), sizes + 1)
-    whole = left >= LENGTH
-    value = np.where(whole, ids[owner], NO_ID)[order]
+    own = np.where(left >= LENGTH, np.repeat(ids, sizes + 1), NO_ID)
     group = np.flatnonzero(boundary[:-1])
-    least = np.minimum.reduceat(value, group)
-    of = np.empty(len(joined), dtype=np.int64)
-    of[order] = np.repeat(least, np.diff(np.concatenate((group, [len(order)]))))
-    return [of[e - s - 1:e - LENGTH] for s, e in zip(sizes, ends, strict=True)]
+    least = np.empty(len(joined), dtype=np.int64)
+    least[order] = np.repeat(np.minimum.reduceat(own[order], group), np.diff(np.concatenate((group, [len(order)]))))
+    gone = np.flatnonzero(least < own)
+    gone = gone[left[gone] >= LENGTH]
+    if len(gone) == 0:
+        return gone, gone, gone
+    cut = np.flatnonzero(np.diff(gone) > 1) + 1            # fragments are apart, as their last places are never whole
+    first, last = gone[np.concatenate(([0], cut))], gone[np.concatenate((cut - 1, [len(gone) - 1]))]
+    owner = np.searchsorted(ends, first, side="right")
+    begin = (ends - sizes - 1)[owner]
+    return owner, first - begin, last - begin + LENGTH
 
 
 class Block:
@@ -311,13 +328,9 @@ class Block:
 
     def settle(self) -> None:
         if self.fragments:
-            least = least_owners(self.fragments, np.array(self.ids, dtype=np.int64))
-            for own, row_id, (node, start) in zip(least, self.ids, self.rows, strict=True):
-                gone = np.flatnonzero(own < row_id)
-                if len(gone):
-                    cut = np.flatnonzero(np.diff(gone) > 1) + 1
-                    for a, b in zip(gone[np.concatenate(([0], cut))].tolist(), gone[np.concatenate((cut - 1, [len(gone) - 1]))].tolist(), strict=True):
-                        self.out.append((node, start + a, start + b + LENGTH))
+            for owner, a, b in zip(*(x.tolist() for x in late_ranges(self.fragments, np.array(self.ids, dtype=np.int64))), strict=True):
+                node, start = self.rows[owner]
+                self.out.append((node, start + a, start + b))
         self.fragments, self.ids, self.rows, self.size, self.begin = [], [], [], 0, 0
 
     def drain(self) -> Iterator[pa.RecordBatch]:
