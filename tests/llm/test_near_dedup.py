@@ -49,6 +49,8 @@ def test_all_pairs_of_a_table(spark):
             a, b = sorted((root(a), root(b)))
             parent[b] = a
     assert [got[i] for i in ids] == [root(i) for i in ids]
+    kept = nd.one_per_class(spark.read.parquet(f"{SF}/documents.parquet")).toPandas()
+    assert sorted(kept.doc_id) == sorted({root(i) for i in ids})               # the document of the least id of each class
 
 
 def hashed(rng, n, values):
