@@ -47,8 +47,10 @@ ODD = np.uint64(0x9E3779B97F4A7C15)
 def gram_hashes(raw: np.ndarray) -> np.ndarray:
     """Hashes of all GRAM-byte substrings, from hashes of 2, 4, 8 and 16 bytes."""
     def join(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        x = a * ODD + b
-        return x ^ (x >> np.uint64(29))
+        x = a * ODD
+        x += b
+        x ^= x >> np.uint64(29)
+        return x
     h = raw.astype(np.uint64) + np.uint64(1)
     by = {}
     width = 1
@@ -57,8 +59,9 @@ def gram_hashes(raw: np.ndarray) -> np.ndarray:
         width *= 2
         by[width] = h
     out = join(by[16][:len(raw) - GRAM + 1], by[8][16:16 + len(raw) - GRAM + 1])
-    out = out * ODD
-    return out ^ (out >> np.uint64(32))
+    out *= ODD
+    out ^= out >> np.uint64(32)
+    return out
 
 
 def sliding(x: np.ndarray, width: int, op) -> np.ndarray:
@@ -71,13 +74,47 @@ def sliding(x: np.ndarray, width: int, op) -> np.ndarray:
     return op(out[:len(out) - rest], out[rest:]) if rest else out
 
 
-def anchors(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hashes of all grams, least hash of each string, places that are some string's anchor)."""
-    h = gram_hashes(raw)
-    least = sliding(h, SPAN, np.minimum)
-    edge = np.zeros(SPAN - 1, dtype=np.uint64)
-    most = sliding(np.concatenate([edge, least, edge]), SPAN, np.maximum)
-    return h, least, np.flatnonzero(most == h)
+class Anchored:
+    """Texts one after the other, with the anchors of all of them found at once.
+
+    ``hashes``: of all grams (those across two texts as the greatest number); ``least``: the least gram hash of each
+    string, 0 where a string would leave its text; ``at``: places that are some string's anchor, ``of`` their text."""
+
+    def __init__(self, raws: list[np.ndarray]):
+        sizes = np.array([len(x) for x in raws], dtype=np.int64)
+        self.raw = np.concatenate(raws) if len(raws) > 1 else raws[0]
+        self.ends = np.cumsum(sizes)
+        self.starts = self.ends - sizes
+        self.hashes = gram_hashes(self.raw)
+        self.blank(self.hashes, GRAM - 1, np.iinfo(np.uint64).max)
+        self.least = sliding(self.hashes, SPAN, np.minimum)
+        self.blank(self.least, LENGTH - 1, 0)
+        edge = np.zeros(SPAN - 1, dtype=np.uint64)
+        most = sliding(np.concatenate([edge, self.least, edge]), SPAN, np.maximum)
+        self.at = np.flatnonzero((most == self.hashes) & (most != 0))
+        self.of = np.searchsorted(self.ends, self.at, side="right")
+
+    def blank(self, values: np.ndarray, last: int, value: int) -> None:
+        """Put ``value`` at the ``last`` places of each text (all places of a shorter one)."""
+        first = np.maximum(self.ends - last, self.starts)
+        n = self.ends - first
+        place = np.arange(int(n.sum())) + np.repeat(first - np.cumsum(n) + n, n)
+        values[place[place < len(values)]] = value
+
+
+TOGETHER = 1 << 16          # bytes of texts that are searched at once; a longer text is searched alone
+
+
+def together(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about TOGETHER bytes."""
+    start, held = 0, 0
+    for i, n in enumerate(sizes):
+        if i > start and held + n > TOGETHER:
+            yield start, i
+            start, held = i, 0
+        held += n
+    if sizes:
+        yield start, len(sizes)
 
 
 def raw_of(value) -> np.ndarray:
@@ -104,20 +141,20 @@ def anchor_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     seen: set[int] = set()
     with np.errstate(over="ignore"):
         for b in batches:
-            found, nodes = [], []
+            fresh = []
             for node, body in zip(b.column("node").to_pylist(), b.column("body"), strict=True):
-                if node in seen:
-                    continue
-                seen.add(node)
-                raw = raw_of(body)
-                if len(raw) >= LENGTH:
-                    h, _, at = anchors(raw)
-                    own = np.unique(h[at])
-                    found.append(own)
-                    nodes.append(np.full(len(own), node, dtype=np.int64))
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64)), pa.array(np.concatenate(nodes))],
-                                                 names=["anchor", "node"])
+                if node not in seen:
+                    seen.add(node)
+                    if len(body.as_buffer()) >= LENGTH:
+                        fresh.append((node, raw_of(body)))
+            for s, e in together([len(raw) for _, raw in fresh]):
+                t = Anchored([raw for _, raw in fresh[s:e]])
+                h = t.hashes[t.at]
+                order = np.lexsort((h, t.of))
+                h, of = h[order], t.of[order]
+                own = np.concatenate(([True], (h[1:] != h[:-1]) | (of[1:] != of[:-1])))
+                nodes = np.array([node for node, _ in fresh[s:e]], dtype=np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(h[own].view(np.int64)), pa.array(nodes[of[own]])], names=["anchor", "node"])
 
 
 def shared_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,33 +185,32 @@ def fragment_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     """(node, id, packed body, shared anchors) -> (anchor, fragment, id, node, start): all strings of an anchor."""
     with np.errstate(over="ignore"):
         for b in batches:
-            for first in range(0, len(b), 128):
-                part = b.slice(first, 128)
-                cols: tuple[list, list, list, list, list] = ([], [], [], [], [])
-                ids, nodes = part.column("id").to_pylist(), part.column("node").to_pylist()
-                for i in range(len(part)):
-                    body = unpacked_body(part, i)
-                    key, low, high = fragments_of(np.frombuffer(body, dtype=np.uint8), part.column("shared")[i].values.to_numpy().view(np.uint64))
-                    cols[0].append(key.view(np.int64))
-                    cols[1].extend([body[s:e] for s, e in zip(low.tolist(), high.tolist(), strict=True)])
-                    cols[2].append(np.full(len(key), ids[i], dtype=np.int64))
-                    cols[3].append(np.full(len(key), nodes[i], dtype=np.int64))
-                    cols[4].append(low.astype(np.int32))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(cols[0])), pa.array(cols[1], pa.binary()), *[
-                    pa.array(np.concatenate(c)) for c in cols[2:]]], names=["anchor", "fragment", "id", "node", "start"])
-
-
-def fragments_of(raw: np.ndarray, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(anchor, begin, end) of the strings of each shared anchor: a contiguous run of them."""
-    h, least, at = anchors(raw)
-    at = at[np.isin(h[at], shared)]
+            for s, e in together(b.column("size").to_pylist()):
+                part = b.slice(s, e - s)
+                t = Anchored([np.frombuffer(unpacked_body(part, i), dtype=np.uint8) for i in range(len(part))])
+                shared = part.column("shared")
+                which, low, high = fragments_of(t, shared.flatten().to_numpy().view(np.uint64), np.diff(shared.offsets.to_numpy()))
+                text, whole = t.of[which], t.raw.tobytes()
+                pieces = [whole[i:j] for i, j in zip(low.tolist(), high.tolist(), strict=True)]
+                ids, nodes = part.column("id").to_numpy(), part.column("node").to_numpy()
+                yield pa.RecordBatch.from_arrays([pa.array(t.hashes[t.at[which]].view(np.int64)), pa.array(pieces, pa.binary()), pa.array(ids[text]),
+                                                  pa.array(nodes[text]), pa.array((low - t.starts[text]).astype(np.int32))],
+                                                 names=["anchor", "fragment", "id", "node", "start"])
+
+
+def fragments_of(t: Anchored, shared: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(anchor place, begin, end) of the strings of each text's shared anchors: a contiguous run of them.
+    ``shared``: the texts' shared anchors one after the other. Anchors are told apart by hash and text mixed into
+    one number; should two meet, a fragment too many is made, which alone removes nothing."""
+    mark = lambda h, text: h + text.astype(np.uint64) * ODD
+    wanted = np.flatnonzero(np.isin(mark(t.hashes[t.at], t.of), mark(shared, np.repeat(np.arange(len(lengths)), lengths))))
+    at = t.at[wanted]
     place = at[None, :] - np.arange(SPAN)[:, None]
-    inside = (place >= 0) & (place < len(least))
-    mine = inside & (least[np.clip(place, 0, len(least) - 1)] == h[at][None, :])
+    mine = (place >= 0) & (place < len(t.least)) & (t.least[np.clip(place, 0, len(t.least) - 1)] == t.hashes[at][None, :])
     some = mine.any(axis=0)
     high = at - mine.argmax(axis=0)
     low = at - (SPAN - 1 - mine[::-1].argmax(axis=0))
-    return h[at][some], low[some], high[some] + LENGTH
+    return wanted[some], low[some], high[some] + LENGTH
 
 
 PACKED = 7             # characters that fit in one whole number
