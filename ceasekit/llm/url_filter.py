@@ -80,7 +80,8 @@ def filter_urls(captures: DataFrame, entries: DataFrame, url: str = "url", time:
         .withColumn("key", F.explode(url_keys(F.col("_page"))))
     spans = landed(validity(entries), "url-spans")
     # one row per key and day, of keys that the list names at all: a host of a third of all captures is a row per day
-    probes = landed(pages.select("key", "day").distinct().join(spans.select("key").distinct(), "key", "left_semi"), "url-probes")
+    # (written first, as Spark would move the semi join below the distinct)
+    probes = landed(pages.select("key", "day").distinct(), "url-probes").join(spans.select("key").distinct(), "key", "left_semi")
     active = active_entries(probes, spans)
     verdicts = pages.join(active, ["key", "day"]).groupBy(F.col("_page").alias("_p"), F.col("day").alias("_d")).agg(
         F.sum(F.size("categories")).alias("n"), F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list("categories")))), ",").alias("c"))
