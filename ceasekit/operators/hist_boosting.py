@@ -257,6 +257,47 @@ def split_nodes(tree: Tree, sums: np.ndarray, level: int, offsets: np.ndarray, c
     return bool((tree.feature[first:first + nodes] >= 0).any())
 
 
+def added(parts: list[np.ndarray], models: int, level: int, cells: int) -> np.ndarray:
+    return sum(parts[1:], parts[0]) if parts else np.zeros((models, 2 ** level, cells + 1, 2), np.int64)
+
+
+def summed(blocks: RDD, growing: list[tuple], tree: int, level: int, cells: int, p: TreeParams, unit: float) -> np.ndarray:
+    """The sums of one level over all tasks."""
+    models = len(growing)
+
+    def add(part: Iterator[dict]) -> Iterator[np.ndarray]:
+        total = None
+        for block in part:
+            s = level_sums(block, growing, tree, level, cells, p, unit)
+            total = s if total is None else total + s
+        if total is not None:
+            yield total
+
+    parts = blocks.mapPartitions(add)
+    if blocks.getNumPartitions() <= 4:
+        return added(parts.collect(), models, level, cells)
+    return parts.treeReduce(np.add)
+
+
+def grown(n: int, number: int, models: int, width: int, p: TreeParams, unit: float, offsets: np.ndarray, common: np.ndarray,
+          sums: Callable, advance: Callable) -> list[list[Tree]]:
+    """``n`` trees of each model from tree ``number`` on. ``sums`` gives those of a level, ``advance`` puts the last
+    trees into the margins. The columns of a tree are drawn by the seed."""
+    out: list[list[Tree]] = [[] for _ in range(models)]
+    for tree in range(number, number + n):
+        if tree > number:
+            advance([trees[-1].arrays() for trees in out])
+        new = [Tree.empty(p.depth) for _ in range(models)]
+        columns = sorted(np.random.default_rng([p.seed, tree]).choice(width, max(1, int(p.column_sample * width)), replace=False).tolist())
+        for level in range(p.depth):
+            found = sums([t.arrays() for t in new], tree, level)
+            if not [m for m in range(models) if split_nodes(new[m], found[m], level, offsets, common, columns, p, unit)]:
+                break
+        for m in range(models):
+            out[m].append(new[m])
+    return out
+
+
 class Training:
     """Models that grow together, one tree at a time each, over one written table. ``members`` tells from
     (part, fold) which rows each model is trained on; the cuts are given or taken from ``cuts_from``."""
@@ -290,54 +331,41 @@ class Training:
             total[r.cell] = r.n
         return int(total[-1]), np.array([int(total[a:b].argmax()) for a, b in itertools.pairwise(offsets)], np.uint8)
 
-    def columns(self, tree: int) -> list[int]:
-        """Features of a tree, drawn by the seed."""
-        n = max(1, int(self.p.column_sample * len(self.features)))
-        return sorted(np.random.default_rng([self.p.seed, tree]).choice(len(self.features), n, replace=False).tolist())
-
     def grow(self, n: int) -> None:
-        """``n`` more trees of each model; then the margins are advanced and written."""
-        depth = self.p.depth
-        blocks = blocks_of(self.state, len(self.features), self.models, self.members, self.n_rows, self.offsets, self.common)
-        blocks = blocks.persist(StorageLevel.MEMORY_AND_DISK)
-        done: list[list[tuple]] = [[] for _ in range(self.models)]
-        for _ in range(n):
-            number = len(self.trees[0])
-            new = [Tree.empty(depth) for _ in range(self.models)]
-            columns = self.columns(number)
-            before = None
-            if number and done[0]:
-                last = [d[-1] for d in done]
-                before, blocks = blocks, blocks.map(lambda b, last=last: with_tree(b, last, depth)).persist(StorageLevel.MEMORY_AND_DISK)
-            for level in range(depth):
-                sums = self._sums(blocks, new, number, level)
-                if before is not None:
-                    before.unpersist()
-                    before = None
-                if not [m for m in range(self.models) if split_nodes(new[m], sums[m], level, self.offsets, self.common, columns, self.p, self.unit)]:
-                    break
-            for m in range(self.models):
-                self.trees[m].append(new[m])
-                done[m].append(new[m].arrays())
-        blocks.unpersist()
-        self._advance(done)
-
-    def _sums(self, blocks: RDD, new: list[Tree], number: int, level: int) -> np.ndarray:
-        growing, cells, p, unit = [t.arrays() for t in new], int(self.offsets[-1]), self.p, self.unit
-
-        def add(part: Iterator[dict]) -> Iterator[np.ndarray]:
-            total = None
-            for block in part:
-                s = level_sums(block, growing, number, level, cells, p, unit)
-                total = s if total is None else total + s
-            if total is not None:
-                yield total
-
-        parts = blocks.mapPartitions(add)
-        if blocks.getNumPartitions() <= 4:
-            found = parts.collect()
-            return sum(found[1:], found[0]) if found else np.zeros((self.models, 2 ** level, cells + 1, 2), np.int64)
-        return parts.treeReduce(np.add)
+        """``n`` more trees of each model; then the margins are advanced and written. Rows that one task holds
+        anyway (``ROWS_PER_TASK``) grow all of them in that task; the sums and so the trees are the same."""
+        p, models, width, number = self.p, self.models, len(self.features), len(self.trees[0])
+        offsets, common, unit, cells = self.offsets, self.common, self.unit, int(self.offsets[-1])
+        blocks = blocks_of(self.state, width, models, self.members, self.n_rows, offsets, common)
+        if blocks.getNumPartitions() == 1:
+            def here(part: Iterator[dict]) -> Iterator[list[list[Tree]]]:
+                held = list(part)
+
+                def sums(growing: list[tuple], tree: int, level: int) -> np.ndarray:
+                    return added([level_sums(b, growing, tree, level, cells, p, unit) for b in held], models, level, cells)
+
+                def advance(last: list[tuple]) -> None:
+                    held[:] = [with_tree(b, last, p.depth) for b in held]
+                yield grown(n, number, models, width, p, unit, offsets, common, sums, advance)
+
+            new = blocks.mapPartitions(here).collect()[0]
+        else:
+            kept = [blocks.persist(StorageLevel.MEMORY_AND_DISK)]
+
+            def sums(growing: list[tuple], tree: int, level: int) -> np.ndarray:
+                found = summed(kept[-1], growing, tree, level, cells, p, unit)
+                while len(kept) > 1:
+                    kept.pop(0).unpersist()
+                return found
+
+            def advance(last: list[tuple]) -> None:
+                kept.append(kept[-1].map(lambda b: with_tree(b, last, p.depth)).persist(StorageLevel.MEMORY_AND_DISK))
+            new = grown(n, number, models, width, p, unit, offsets, common, sums, advance)
+            for b in kept:
+                b.unpersist()
+        for m in range(models):
+            self.trees[m] += new[m]
+        self._advance([[t.arrays() for t in trees] for trees in new])
 
     def _advance(self, done: list[list[tuple]]) -> None:
         """Write the margins after the new trees, and ``trail``: per model and new tree the margin so far."""
