@@ -3,7 +3,8 @@
 The rows are binned once (quantile cuts, bin 0 for a missing value) and written with a margin per
 model. Each level of a tree is one job: every task adds up gradients and hessians per (model, node,
 feature, bin), and only these sums are reduced, their number fixed by the depth and the bins. The
-driver picks the split of each node from the sums; no row reaches it. Several models (one per
+driver picks the split of each node from the sums; no row reaches it. Where the rows fill one task only,
+that task grows a block of trees by itself, from the same sums. Several models (one per
 cross-validation fold) share a pass, as a further key of the same histogram.
 
 After a block of trees the margins are advanced and written again, so lineage stays short, training
